@@ -10,7 +10,8 @@ import base64
 import heapq
 import os
 import re
-from collections.abc import Callable, Iterable
+import struct
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
@@ -25,22 +26,23 @@ UNSAFE_SPACE, UNSAFE_LINE = re.compile(r" (?:\s|\Z)"), re.compile(r"\n(?:\s|\Z)"
 
 
 class Memo(dict):
-    """Piece -> ids as little-endian unsigned 32-bit integers, through encode(list of pieces) on a miss."""
+    """Piece -> ids as little-endian unsigned 32-bit integers, by encode(piece) on a miss. Holds what the last pieces needed: a full memo becomes the old one, and what is asked of that moves up."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], most: int = MEMO):
-        self.encode, self.most = encode, most
+    def __init__(self, encode: Callable[[str], bytes], most: int = MEMO):
+        self.encode, self.half, self.old = encode, most // 2, {}
+
+    def __missing__(self, piece):
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.pop(piece, None)
+        if ids is None:
+            ids = self.encode(piece)
+        self[piece] = ids
+        return ids
 
     def ids(self, pieces: list) -> bytes:
-        try:
-            return b"".join(map(self.__getitem__, pieces))
-        except KeyError:
-            missing = list({p for p in pieces if p not in self})
-            if len(self) + len(missing) > self.most:
-                self.clear()
-                missing = list(set(pieces))
-            for p, ids in zip(missing, self.encode(missing), strict=True):
-                self[p] = np.asarray(ids, "<u4").tobytes()
-            return b"".join(map(self.__getitem__, pieces))
+        return b"".join(map(self.__getitem__, pieces))
 
 
 def spaced(text: str) -> list[str] | None:
@@ -60,14 +62,24 @@ class Library:
 
         self.tool, self.cut = Tokenizer.from_file(path), cut
         self.tool.encode_special_tokens = True
-        self.memo = Memo(lambda pieces: [e.ids for e in self.tool.encode_batch([p if isinstance(p, str) else p.decode() for p in pieces], add_special_tokens=False)])
+        self.memo = Memo(self.piece)
+
+    def piece(self, piece: str | bytes) -> bytes:
+        """A letter and the full stop or comma that ends a piece are matches of their own."""
+        text = piece if isinstance(piece, str) else piece.decode()
+        if text[-1:] in (".", ",") and text[-2:-1].isalpha():
+            return self.memo[piece[:-1]] + self.memo[piece[-1:]]
+        return self.whole(text)
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.cut == "words":
             return self.memo.ids(text.encode().lower().split())
         pieces = spaced(text)
         if pieces is None:
-            return np.asarray(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self.whole(text)
         return self.memo.ids(pieces)
 
 
@@ -136,8 +148,8 @@ class ByteBPE:
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.matches = Memo(lambda found: map(self.match, found))
-        self.memo = Memo(lambda pieces: [np.frombuffer(self.matches.ids(self.split(p)), "<u4") for p in pieces])
+        self.matches = Memo(self.match)
+        self.memo = Memo(lambda piece: self.matches.ids(self.split(piece)))
 
     def encode(self, text: str) -> bytes:
         pieces = spaced(text)
@@ -146,10 +158,10 @@ class ByteBPE:
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-    def match(self, piece: str) -> list[int]:
+    def match(self, piece: str) -> bytes:
         key = piece.encode()
         whole = self.hash.find(key)
-        return self.merge(key) if whole is None else [whole]
+        return struct.pack("<I", whole) if whole is not None else np.asarray(self.merge(key), "<u4").tobytes()
 
     def merge(self, key: bytes) -> list[int]:
         """Merges the pair of least rank, the leftmost of equals, until none has a rank."""
