@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, packing, sorted_table
-from .common import text_rows
+from . import byte_bpe, fingerprint, packing, quality, sorted_table
+from .common import materialize, text_rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = materialize(quality.measure(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text"), "measured")
+    kept = quality.judge(measured, quality.cutoffs(measured, table(spark, sf_dir, "labels")))
+    return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_sorted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_table.digests(sorted_table.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -29,5 +35,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_byte_bpe, op6_sorted_table, op8_packing)}
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.digests(fingerprint.edits(table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_byte_bpe, op5_quality_rules, op6_sorted_table, op8_packing, op10_fingerprints)}
 ORACLE: dict[str, str] = {}
