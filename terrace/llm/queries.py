@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, packing, quality, sorted_table, toxicity
+from . import byte_bpe, fingerprint, ngram_join, packing, quality, sorted_table, toxicity
 from .common import materialize, text_rows
 
 
@@ -37,6 +37,10 @@ def op6_sorted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_table.digests(sorted_table.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
@@ -45,5 +49,5 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.digests(fingerprint.edits(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op4_byte_bpe, op5_quality_rules, op6_sorted_table, op8_packing, op10_fingerprints)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op4_byte_bpe, op5_quality_rules, op6_sorted_table, op7_ngram_join, op8_packing, op10_fingerprints)}
 ORACLE: dict[str, str] = {}
