@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, ngram_join, packing, quality, sorted_table, toxicity
+from . import byte_bpe, fingerprint, ngram_join, packing, quality, sorted_table, substring_dedup, toxicity
 from .common import materialize, text_rows
 
 
@@ -21,6 +21,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "clauses")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = byte_bpe.encode(text_rows(table(spark, sf_dir, "documents")), ranks, public_tokenizers.PATTERN).drop("text")
@@ -49,5 +53,5 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.digests(fingerprint.edits(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op4_byte_bpe, op5_quality_rules, op6_sorted_table, op7_ngram_join, op8_packing, op10_fingerprints)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op3_substring_dedup, op4_byte_bpe, op5_quality_rules, op6_sorted_table, op7_ngram_join, op8_packing, op10_fingerprints)}
 ORACLE: dict[str, str] = {}
