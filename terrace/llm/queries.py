@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, fingerprint, ngram_join, packing, quality, sorted_table, substring_dedup, toxicity
+from . import byte_bpe, chat_tree, fingerprint, ngram_join, packing, quality, sorted_table, substring_dedup, toxicity, url_lists
 from .common import materialize, text_rows
 
 
@@ -21,6 +21,26 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "clauses")
 
 
+def url_entries(pages: DataFrame) -> DataFrame:
+    """The tables have no list, so one is derived from the hosts of pages: dated entries of hosts and of their parent domains, by fixed rules of their digests."""
+    host = url_lists.host_of(F.col("url"))
+    hosts = pages.select(host.alias("host")).where("host <> ''").distinct()
+    parents = hosts.select(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("host")).where("host <> ''").distinct()
+    crc = F.conv(F.substring(F.md5(F.col("host").cast("binary")), 1, 6), 16, 10).cast("long")
+    dated = lambda n, gap: F.date_add(F.lit("2024-01-01").cast("date"), (crc % n + gap).cast("int"))
+    one = hosts.where(crc % 3 == 0).select(F.col("host").alias("key"), F.when(crc % 2 == 0, "block").otherwise("allow").alias("action"), dated(200, 0).alias("dated"))
+    end = hosts.where(crc % 9 == 0).select(F.col("host").alias("key"), F.lit("delist").alias("action"), dated(200, 90).alias("dated"))
+    wide = parents.where(crc % 4 == 1).select(F.col("host").alias("key"), F.lit("block").alias("action"), dated(300, 0).alias("dated"))
+    return one.union(end).union(wide)
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # pages say no date of fetching; it is derived from page_id
+    captures = pages.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 366).cast("int")))
+    return url_lists.judge(captures, url_entries(pages))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -49,9 +69,52 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op9_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_tree.digests(chat_tree.read_back(*chat_tree.build(rows)))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.digests(fingerprint.edits(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op3_substring_dedup, op4_byte_bpe, op5_quality_rules, op6_sorted_table, op7_ngram_join, op8_packing, op10_fingerprints)}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_url_filters, op3_substring_dedup, op4_byte_bpe, op5_quality_rules, op6_sorted_table, op7_ngram_join, op8_packing, op9_chat_tree, op10_fingerprints)}
+ORACLE: dict[str, str] = {
+    "op2_url_filters": r"""
+        WITH p AS (
+            SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS fetched,
+                   rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.') AS host,
+                   regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]*)', 1) AS path
+            FROM pages),
+        h AS (SELECT host, CAST('0x' || substr(md5(host), 1, 6) AS BIGINT) AS c FROM (SELECT DISTINCT host FROM p WHERE host <> '')),
+        d AS (SELECT host, CAST('0x' || substr(md5(host), 1, 6) AS BIGINT) AS c FROM (SELECT DISTINCT regexp_extract(host, '([^.]+\.[^.]+)$', 1) AS host FROM p) WHERE host <> ''),
+        e AS (
+            SELECT host AS key, CASE WHEN c % 2 = 0 THEN 'block' ELSE 'allow' END AS action, DATE '2024-01-01' + CAST(c % 200 AS INTEGER) AS dated FROM h WHERE c % 3 = 0
+            UNION ALL SELECT host, 'delist', DATE '2024-01-01' + CAST(c % 200 + 90 AS INTEGER) FROM h WHERE c % 9 = 0
+            UNION ALL SELECT host, 'block', DATE '2024-01-01' + CAST(c % 300 AS INTEGER) FROM d WHERE c % 4 = 1),
+        i AS (SELECT *, lead(dated) OVER (PARTITION BY key ORDER BY dated) AS valid_to FROM (SELECT key, dated, min(action) AS action FROM e GROUP BY key, dated)),
+        k AS (
+            SELECT DISTINCT page_id, url, fetched, unnest(list_concat([host || path, host],
+                   list_transform(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1), lambda n: array_to_string(string_split(host, '.')[n:], '.')))) AS key
+            FROM p WHERE host <> ''),
+        m AS (
+            SELECT page_id, url, k.fetched, k.key, i.action, i.dated, row_number() OVER (PARTITION BY page_id, url, k.fetched ORDER BY length(k.key) DESC, k.key DESC) AS r
+            FROM k JOIN i ON k.key = i.key AND i.action <> 'delist' AND i.dated <= k.fetched AND (i.valid_to IS NULL OR k.fetched < i.valid_to))
+        SELECT p.page_id, p.fetched, p.host, coalesce(m.action, 'none') AS verdict, m.key AS matched, m.dated AS valid_from
+        FROM (SELECT DISTINCT page_id, url, fetched, host FROM p) p LEFT JOIN (SELECT * FROM m WHERE r = 1) m ON p.page_id = m.page_id AND p.url = m.url
+    """,
+    "op9_chat_tree": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        s AS (SELECT *, role || text AS both FROM c)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(15 + length(both) + length(both) - length(translate(both, '\<>', ''))) AS BIGINT) AS formatted_chars
+        FROM s GROUP BY conv_id
+    """,
+}
