@@ -109,12 +109,12 @@ ORACLE: dict[str, str] = {
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
             UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
-        s AS (SELECT *, role || text AS both FROM c)
+        s AS (SELECT *, role || text AS said FROM c)
         SELECT conv_id, count(*) AS n_turns,
                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
                CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-               CAST(sum(15 + length(both) + length(both) - length(translate(both, '\<>', ''))) AS BIGINT) AS formatted_chars
+               CAST(sum(15 + length(said) + length(said) - length(translate(said, '\<>', ''))) AS BIGINT) AS formatted_chars
         FROM s GROUP BY conv_id
     """,
 }
