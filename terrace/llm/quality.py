@@ -81,6 +81,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     """stratum and, for each rule, the largest bin that is kept: cutoffs under which, with confidence 1 - error over all strata and rules, at most risk of a stratum's good documents are rejected.
 
     Holdout: the rows of measured that labels mark (quality 1: good) and the base rules keep; a document labelled more than once counts by its least label. Each rule has an equal part of risk, each pair of stratum and rule an equal part of error (Bonferroni). Within a pair, cutoffs are tested from the mildest on, each only if those before it hold, so the steps need no further correction: a cutoff holds if a false rejection rate of its part of risk would show so few rejected good documents with a chance of at most its part of error (exact binomial). Of the cutoffs that hold, the mildest is taken that rejects at least `enough` of the bad documents that the strictest rejects.
+    measured should be a written table (materialize): its columns are used many times over.
     A stratum with too few labels has no cutoff and loses no document. All that is gathered is a count for each stratum, rule and bin.
     """
     marked = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("__quality"))
