@@ -11,7 +11,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, os.environ.get("P
 
 @pytest.fixture(scope="session")
 def spark():
-    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    session = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
