@@ -94,29 +94,15 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     score = sum(w[i : i + len(grams)] for i in range(k))[first]
                     keys = (np.minimum(score * 17, 255).astype(np.uint64) << np.uint64(55)) | (distinct >> np.uint64(9))
                     p = n - -(-percent * n // 100) + 1
-                    digest = xxhash.xxh3_128_intdigest(distinct.tobytes())
-                    out.append((doc, n, (digest & (1 << 64) - 1) - (1 << 63), (digest >> 64) - (1 << 63), np.sort(keys)[:p].astype(np.int64)))
+                    out.append((doc, n, *digest(distinct), np.sort(keys)[:p].astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 4 else pa.list_(pa.int64())) for i in range(5)], names=SIGNATURE.names)
 
     return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNATURE), "signatures")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """doc_id and its set (ascending), of the documents in ids. Of rows that repeat an id, the digest says which one is meant."""
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("grams", T.ArrayType(T.LongType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = Shingler(width)
-        for batch in batches:
-            for part in slices(batch):
-                sets = [tool.set(t) for t in part.column(1).to_pylist()]
-                h1 = [(xxhash.xxh3_128_intdigest(s.tobytes()) & (1 << 64) - 1) - (1 << 63) for s in sets]
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(h1, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=schema.names)
-
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, schema).dropDuplicates(["id", "h1"])
+def digest(grams: np.ndarray) -> tuple[int, int]:
+    d = xxhash.xxh3_128_intdigest(grams.tobytes())
+    return (d & (1 << 64) - 1) - (1 << 63), (d >> 64) - (1 << 63)
 
 
 def need(a, b, percent: int):
@@ -124,11 +110,16 @@ def need(a, b, percent: int):
     return F.ceil(percent * (a + b) / (100 + percent))
 
 
-def product(percent: int):
+def product(width: int, percent: int):
     """A tile of the product: the overlap counts of its left and right rows, column block by column block; out come links that span the tile's linked rows."""
 
     def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["id", "h1"]).reset_index(drop=True)
+        tool = Shingler(width)
+        pdf["grams"] = [tool.set(t) for t in pdf["text"]]
+        right_text = [len(g) > 0 and digest(g)[0] == h for g, h in zip(pdf["grams"], pdf["h1"], strict=True)]
+        pdf = pdf[right_text].sort_values(["id", "h1"]).reset_index(drop=True)
+        if pdf.empty:
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
         same = pdf["ti"].iloc[0] == pdf["tj"].iloc[0]
         rows = range(len(pdf)) if same else np.flatnonzero(pdf["block"].to_numpy() == pdf["ti"].iloc[0])
         cols = range(len(pdf)) if same else np.flatnonzero(pdf["block"].to_numpy() == pdf["tj"].iloc[0])
@@ -200,16 +191,16 @@ def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     pairs = materialize(a.join(b, on).select("id_a", "h1_a", "id_b", "h1_b").distinct(), "pairs")
 
     heavy = multi.where(F.col("c") > LIGHT).select("g", "id", "h1", "c")
-    ids = pairs.select(F.col("id_a").alias("id")).union(pairs.select("id_b")).union(heavy.select("id")).distinct()
-    sets = materialize(sets_of(docs, ids, width), "sets")
-    side = lambda s: sets.select(F.col("id").alias(f"id_{s}"), F.col("h1").alias(f"h1_{s}"), F.col("grams").alias(f"grams_{s}"))
-    with_sets = pairs.join(side("a"), ["id_a", "h1_a"]).join(side("b"), ["id_b", "h1_b"])
-    links = with_sets.select("id_a", "id_b", "grams_a", "grams_b").mapInArrow(verify(percent), EDGES)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    a, b = texts.alias("a"), texts.alias("b")
+    first = pairs.join(a, pairs["id_a"] == F.col("a.doc_id")).select("id_a", "h1_a", "id_b", "h1_b", F.col("a.text").alias("text_a"))
+    both = first.join(b, first["id_b"] == F.col("b.doc_id")).select("id_a", "h1_a", "text_a", "id_b", "h1_b", F.col("b.text").alias("text_b"))
+    links = both.mapInArrow(verify(width, percent), EDGES)
 
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     dealt = heavy.withColumn("block", F.pmod(F.xxhash64("id", "h1"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    tiles = dealt.select("g", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "id", "h1").join(sets, ["id", "h1"])
-    products = tiles.groupBy("g", "ti", "tj").applyInPandas(product(percent), EDGES)
+    tiles = dealt.select("g", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "id", "h1").join(texts.withColumnRenamed("doc_id", "id"), "id")
+    products = tiles.groupBy("g", "ti", "tj").applyInPandas(product(width, percent), EDGES)
 
     grouped = components(links.union(products), "links")
     named = classes.join(grouped, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component_id"))
@@ -217,18 +208,24 @@ def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id"))).alias("component_id"))
 
 
-def verify(percent: int):
+def verify(width: int, percent: int):
+    """Of pairs with their texts, those that link. A text whose digest is not the one meant (rows that repeat an id) makes no link."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool, last = Shingler(width), (None, None)
         for batch in batches:
             for part in slices(batch):
-                a, b = part.column(0).to_numpy(), part.column(1).to_numpy()
-                x, y = part.column(2), part.column(3)
-                keep = []
-                for i in range(part.num_rows):
-                    p, q = x[i].values.to_numpy(), y[i].values.to_numpy()
-                    both = len(np.intersect1d(p, q, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(p) + len(q) - both))
-                keep = np.array(keep, bool)
-                yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+                a, b = [], []
+                for id_a, h_a, text_a, id_b, h_b, text_b in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    y = tool.set(text_b) if last[0] != (id_b, h_b) else last[1]
+                    last = ((id_b, h_b), y) if len(y) and digest(y)[0] == h_b else (None, None)
+                    x = tool.set(text_a)
+                    if last[0] is None or not len(x) or digest(x)[0] != h_a:
+                        continue
+                    over = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * over >= percent * (len(x) + len(y) - over):
+                        a.append(id_a)
+                        b.append(id_b)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
