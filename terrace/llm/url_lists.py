@@ -48,9 +48,9 @@ def judge(captures: DataFrame, entries: DataFrame, id_: str = "page_id", url: st
     rows = captures.select(F.col(id_).alias("id"), F.col(url).alias("url"), F.col(fetched).alias("fetched")).distinct()
     wide = rows.select("id", "fetched", "url", F.explode(keys_of(F.col("url"))).alias("key"))
     held = intervals(entries)
-    # Only keys that a list names are counted; salts of a key lie below its number of salts.
-    named = wide.join(held.select("key").distinct(), "key", "left_semi")
-    many = named.groupBy("key").count().select("key", F.greatest(F.lit(1), F.least(F.ceil(F.col("count") / HOT_ROWS), F.lit(MOST_SALTS))).cast("int").alias("salts"))
+    # Keys are counted before they meet the list, so that a key of many captures travels as one row a task; salts of a key lie below its number of salts.
+    counted = wide.groupBy("key").count().join(held.select("key").distinct(), "key", "left_semi")
+    many = counted.select("key", F.greatest(F.lit(1), F.least(F.ceil(F.col("count") / HOT_ROWS), F.lit(MOST_SALTS))).cast("int").alias("salts"))
     listed = held.join(many, "key").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     salts = F.broadcast(many) if many.count() <= MOST_KEYS_SENT else many
     dealt = wide.join(salts, "key").withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.col("salts")).cast("int")).drop("salts")
