@@ -154,7 +154,9 @@ def test_toxicity(spark, odd):
     classify = toxicity.Classifier([])
     seen = [m for found, _ in toxicity.clauses(machine, classify, rows[11][1]) for m in found]
     assert seen == [(toxicity.INSULT, 1, 1, 0), (toxicity.INSULT, 1, 0, 0)]
-    assert [m for f, _ in toxicity.clauses(machine, classify, "he said what an idiot.") for m in f] == [(toxicity.INSULT, 0, 0, 1)]
+    # "he" is a target word: it marks up to four words on, and no further
+    for said, at in (("someone said what an idiot.", 0), ("he said what an idiot.", 1), ("he said oh what an idiot.", 0)):
+        assert [m for f, _ in toxicity.clauses(machine, classify, said) for m in f] == [(toxicity.INSULT, at, 0, 1)]
     labels = spark.createDataFrame([(12, 1, 1)], "doc_id long, quality int, toxic int")
     out = toxicity.score(table, toxicity.fit(table, labels)).collect()
     assert len(out) == len(rows) and all(0 <= r["score"] <= 1 for r in out)
