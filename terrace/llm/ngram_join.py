@@ -180,7 +180,9 @@ def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     classes = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
     reps = some.join(classes.select(F.col("id").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
     post = materialize(reps.select(F.col("doc_id").alias("id"), "h1", "n", F.posexplode("prefix").alias("at", "g")), "postings")
-    shared = post.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # Grams that the same classes have give the same pairs: of those, one is enough.
+    member = [F.bit_xor(F.xxhash64(*c)).alias(f"x{i}") for i, c in enumerate((("id", "h1"), ("h1", "id")))]
+    shared = post.groupBy("g").agg(F.count(F.lit(1)).alias("c"), *member).where("c > 1").groupBy("c", "x0", "x1").agg(F.min("g").alias("g")).select("g", "c")
     multi = materialize(post.join(shared, "g"), "shared")
 
     light = multi.where(F.col("c") <= LIGHT)
