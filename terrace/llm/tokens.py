@@ -6,6 +6,7 @@ pieces are cut at spaces, where none of the vocabularies' patterns joins what st
 
 from __future__ import annotations
 
+import array
 import base64
 import heapq
 import os
@@ -21,6 +22,8 @@ from .common import map_batches
 
 #: Entries that a memo holds before it starts anew.
 MEMO = 500_000
+#: Pieces that are encoded in one call of a library, at most.
+TOGETHER = 20_000
 #: A space or line end before more white space or at the end: there, whole runs of white space belong together.
 UNSAFE_SPACE, UNSAFE_LINE = re.compile(r" (?:\s|\Z)"), re.compile(r"\n(?:\s|\Z)")
 
@@ -31,10 +34,20 @@ class Memo(dict):
     def __init__(self, encode: Callable[[str], bytes], most: int = MEMO):
         self.encode, self.half, self.old = encode, most // 2, {}
 
-    def __missing__(self, piece):
+    def turn(self) -> None:
         if len(self) >= self.half:
             self.old = dict(self)
             self.clear()
+
+    def known(self, piece) -> bytes | None:
+        """A piece's ids if they are held; what the old memo has moves up."""
+        ids = self.get(piece)
+        if ids is None and (ids := self.old.pop(piece, None)) is not None:
+            self[piece] = ids
+        return ids
+
+    def __missing__(self, piece):
+        self.turn()
         ids = self.old.pop(piece, None)
         if ids is None:
             ids = self.encode(piece)
@@ -54,7 +67,12 @@ def spaced(text: str) -> list[str] | None:
 
 
 class Library:
-    """A file of the tokenizers library. cut: "space" for byte-level files, "words" for those that drop white space and lower-case."""
+    """A file of the tokenizers library. cut: "space" for byte-level files, "words" for those that drop white space and lower-case.
+
+    Pieces that the memo lacks are encoded many at a time, in one string with a mark between them that is a match and an id of its own.
+    """
+
+    MARKS = {"space": ("\n", "\n"), "words": ("|", " | ")}
 
     def __init__(self, path: str, cut: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,24 +80,57 @@ class Library:
 
         self.tool, self.cut = Tokenizer.from_file(path), cut
         self.tool.encode_special_tokens = True
-        self.memo = Memo(self.piece)
-
-    def piece(self, piece: str | bytes) -> bytes:
-        """A letter and the full stop or comma that ends a piece are matches of their own."""
-        text = piece if isinstance(piece, str) else piece.decode()
-        if text[-1:] in (".", ",") and text[-2:-1].isalpha():
-            return self.memo[piece[:-1]] + self.memo[piece[-1:]]
-        return self.whole(text)
+        self.mark, self.between = self.MARKS[cut]
+        self.mark_ids = self.whole(self.mark)
+        self.memo = Memo(lambda piece: self.whole(piece if isinstance(piece, str) else piece.decode()))
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array.array("I", self.tool.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def together(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. None holds the mark, or begins (but for one space) or ends with white space."""
+        ids = np.frombuffer(array.array("I", self.tool.encode_batch_fast([self.between.join(texts)], add_special_tokens=False)[0].ids), "<u4")
+        at = np.flatnonzero(ids == np.frombuffer(self.mark_ids, "<u4")[0]) if len(self.mark_ids) == 4 else ()
+        if len(at) != len(texts) - 1:
+            return [self.whole(t) for t in texts]
+        raw, starts, stops = ids.tobytes(), [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), 4 * len(ids)]
+        return [raw[i:j] for i, j in zip(starts, stops, strict=True)]
+
+    def apart(self, text: str) -> bool:
+        """Whether a text's ids are the same beside marks."""
+        return self.mark not in text and not text[-1:].isspace() and (text[:1] == " " or not text[:1].isspace())
+
+    def learn(self, pieces: list) -> None:
+        """Puts pieces into the memo. A letter and the full stop or comma that ends a piece are matches of their own, and so is a line end before anything but white space."""
+        known, fresh, later = self.memo.known, {}, []
+        for piece in pieces:
+            text = piece if isinstance(piece, str) else piece.decode()
+            core, head, tail = text, b"", b""
+            if self.cut == "space" and text[:1] == "\n" and text[1:2] and not text[1:2].isspace():
+                core, head = text[1:], self.mark_ids
+            if core[-1:] in (".", ",") and core[-2:-1].lower().isalpha():
+                core, tail = core[:-1], self.memo[piece[-1:]]
+            key = core if isinstance(piece, str) else core.encode()
+            if (head or tail) and (ids := known(key)) is not None:
+                self.memo[piece] = head + ids + tail
+            else:
+                fresh[key] = core
+                if head or tail:
+                    later.append((piece, key, head, tail))
+        plain = {k: t for k, t in fresh.items() if self.apart(t)}
+        self.memo.update(zip(plain, self.together(list(plain.values())), strict=True) if plain else ())
+        for piece, key, head, tail in later:
+            self.memo[piece] = head + self.memo[key] + tail
 
     def encode(self, text: str) -> bytes:
-        if self.cut == "words":
-            return self.memo.ids(text.encode().lower().split())
-        pieces = spaced(text)
+        pieces = text.encode().lower().split() if self.cut == "words" else spaced(text)
         if pieces is None:
             return self.whole(text)
+        lacking = {p for p, ids in zip(pieces, map(self.memo.get, pieces)) if ids is None}
+        missing = [p for p in lacking if self.memo.known(p) is None]
+        for at in range(0, len(missing), TOGETHER):
+            self.memo.turn()
+            self.learn(missing[at : at + TOGETHER])
         return self.memo.ids(pieces)
 
 
