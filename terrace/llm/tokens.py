@@ -65,9 +65,9 @@ class Library:
         self.memo = Memo(self.piece)
 
     def piece(self, piece: str | bytes) -> bytes:
-        """A letter and the full stop or comma that ends a piece are matches of their own."""
+        """A letter and the full stop or comma that ends a piece are matches of their own, unless lower-casing puts a mark after the letter."""
         text = piece if isinstance(piece, str) else piece.decode()
-        if text[-1:] in (".", ",") and text[-2:-1].isalpha():
+        if text[-1:] in (".", ",") and text[-2:-1].lower().isalpha():
             return self.memo[piece[:-1]] + self.memo[piece[-1:]]
         return self.whole(text)
 
