@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import map_batches, materialize, slices
 
-#: A unit of fewer words counts only together with the units before it.
+#: A unit of fewer words counts only together with its neighbours.
 LEAST_WORDS = 8
 LINE = re.compile(r"\S[^\n]*")
-SENTENCE = re.compile(r"(?=\S)[^\n]*?[.!?]+(?=[ \t\n]|\Z)|\S[^\n]*")
+SENTENCE = re.compile(r"(?=\S)[^\n]*?(?:[.!?]+(?=[ \t\n]|\Z)|[。！？]+)|\S[^\n]*")
 PARAGRAPH = re.compile(r"\S(?:[^\n]+\n?)*")
+#: Scripts without spaces between words (Thai to Lao, Myanmar, Khmer, kana, ideographs): two characters count as a word more.
+SPACELESS = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
 UNITS = {"line": LINE, "sentence": SENTENCE, "paragraph": PARAGRAPH}
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
 OCCURRENCES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("again", T.BooleanType())])
@@ -30,27 +32,36 @@ def normalise(unit: str) -> str:
     return " ".join(unit.lower().split())
 
 
+def weight(words: str) -> int:
+    """Number of words of a normalised unit."""
+    return words.count(" ") + 1 + (0 if words.isascii() else len(SPACELESS.findall(words)) // 2)
+
+
 def units(text: str, unit: str, least: int = LEAST_WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, digest) of the units that can be told apart from chance.
+    """(start, end, digest) of the passages that can be told apart from chance: the shortest runs of units that have `least` words or more.
 
-    A unit of `least` words or more has the digest of its own words. A shorter one has that of the unit before it and its own words, so it repeats only where a whole passage does; before the first long unit of a text, short ones have none.
+    A unit of so many words is a run alone. A shorter one starts a run with the units after it and ends one with the units before it. So each unit of any passage of whole units and `least` words lies in a run within that passage, whatever is around it: a passage that repeats is found whole. A line is a passage of its sentences. Texts of fewer words have none.
     """
-    before = None
-    for found in UNITS[unit].finditer(text):
-        words = normalise(found.group())
-        if not words:
-            continue
-        if words.count(" ") + 1 >= least:
-            before = xxhash.xxh3_128_digest(words.encode())
-        elif before is not None:
-            before = xxhash.xxh3_128_digest(before + words.encode())
-        else:
+    parts = [(*found.span(), words, weight(words)) for found in UNITS[unit].finditer(text) if (words := normalise(found.group()))]
+    first, before, total = 0, -1, 0
+    for i, (_, end, _, n) in enumerate(parts):
+        total += n
+        if total < least:
             continue
-        yield *found.span(), before
+        # the shortest run that ends here, and those that reach `least` here for the first time
+        while True:
+            rest = total - parts[first][3]
+            if rest < least or first > before:
+                yield parts[first][0], end, xxhash.xxh3_128_digest(" ".join(p[2] for p in parts[first : i + 1]).encode())
+            if rest < least:
+                break
+            total = rest
+            first += 1
+        before = first
 
 
 def occurrences(docs: DataFrame, unit: str, least: int) -> DataFrame:
-    """A row for each unit of each text: doc_id, digest (96 bits), start, end (code points), again (the text has had it before)."""
+    """A row for each run of units of each text: doc_id, digest (96 bits), start, end (code points), again (the text has had it before, and the first ended where this one starts or earlier)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,12 +69,11 @@ def occurrences(docs: DataFrame, unit: str, least: int) -> DataFrame:
                 out: list[list] = [[], [], [], []]
                 ids: list[int] = []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    had: set[bytes] = set()
+                    had: dict[bytes, int] = {}
                     for start, end, digest in units(text or "", unit, least):
                         ids.append(doc)
-                        for column, value in zip(out, (digest, start, end, digest in had), strict=True):
+                        for column, value in zip(out, (digest, start, end, had.setdefault(digest, end) <= start), strict=True):
                             column.append(value)
-                        had.add(digest)
                 digests = np.frombuffer(b"".join(d[:12] for d in out[0]), [("a", "<i8"), ("b", "<i4")])
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests["a"].copy()), pa.array(digests["b"].copy()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_())], names=OCCURRENCES.names)
 
@@ -73,7 +83,7 @@ def occurrences(docs: DataFrame, unit: str, least: int) -> DataFrame:
 def dedup(docs: DataFrame, unit: str = "sentence", least: int = LEAST_WORDS) -> DataFrame:
     """The rows of docs with text cleaned and removed (array of start and end in the text as it was, in code points) added, n_removed beside it.
 
-    Of units with the same digest the one of the least doc_id stays, in a text the first; all others go, with the white space after them. Digests are grouped with a minimum that each task takes beforehand, so a unit in a third of all texts is one row a task.
+    Of runs of units with the same digest the one of the least doc_id stays, in a text the first; all others go, with the white space after them. Spans that overlap are one. Of a run that stays, a part can go that also lies in another run: each unit stays somewhere. Digests are grouped with a minimum that each task takes beforehand, so a run in a third of all texts is one row a task.
     Null and empty texts, and rows with a null doc_id, stay as they are, with nothing removed. Rows that repeat an id have equal rank: what they have in common stays in each. The row of a text stays even if nothing of the text does. Columns named removed and n_removed are replaced.
     """
     found = occurrences(docs, unit, least)
@@ -87,11 +97,14 @@ def dedup(docs: DataFrame, unit: str = "sentence", least: int = LEAST_WORDS) ->
     def one(text: str | None, spans: list | None) -> tuple:
         if not spans or text is None:
             return text, [], 0
-        out, at, gone = [], 0, []
+        apart: list[list[int]] = []
         for s in spans:
-            start, end = max(s["start"], at), min(s["end"], len(text))
-            if start >= end:
-                continue
+            if apart and s["start"] < apart[-1][1]:
+                apart[-1][1] = max(apart[-1][1], s["end"])
+            else:
+                apart.append([s["start"], s["end"]])
+        out, at, gone = [], 0, []
+        for start, end in apart:
             while end < len(text) and text[end].isspace():
                 end += 1
             out.append(text[at:start])

@@ -226,6 +226,34 @@ def test_substring_dedup(spark, odd):
     assert second[2] == "Yes. Else here. End." and second[1] == f"{PASSAGE} Yes. No. "
 
 
+def test_substring_dedup_finds_short_units(spark):
+    said = lambda k: " ".join(f"p{k}w{j}" for j in range(7)) + "."
+    passage = " ".join(said(k) for k in range(70))
+    lead = lambda i: " ".join(f"lead{i}x{j}" for j in range(11)) + "."
+    nine = "The and attion to thanedble the, anea. Hash on."
+    han = "我们把每一行文字都按原样处理。然后再看它的句子。"
+    rows = [(1, f"{lead(1)} {passage} {lead(2)}"), (2, f"Short. {passage} End."), (3, f"{nine}\n{lead(3)}"), (4, f"{lead(4)}\n{nine}\nOh."), (5, f"甲乙丙。{han}"), (6, f"丁戊。{han}己庚。"), (7, f"{lead(7)} Tail one. And two."), (8, f"Oh. {lead(7)} Tail one. Other."), (9, "Ha. " * 20)]
+    for unit in ("sentence", "line"):
+        out = {r["doc_id"]: r for r in substring_dedup.dedup(docs(spark, rows), unit).collect()}
+        assert all(out[i]["n_removed"] == 0 for i in (1, 3, 5, 7))
+        assert out[4]["text"] == f"{lead(4)}\nOh." and out[4]["n_removed"] == 1
+        if unit == "sentence":
+            assert {i: out[i]["text"] for i in (2, 6, 8)} == {2: "Short. End.", 6: "丁戊。己庚。", 8: "Oh. Other."}
+            # what stays of a text that repeats itself holds the whole run
+            assert out[9]["text"] == "Ha. " * 8
+    # brute force: a unit goes where a run of whole units that has it, of 8 words or more, lies in an earlier text
+    rng = random.Random(8)
+    pool = [" ".join(f"u{k}v{j}" for j in range(rng.randint(1, 10))) + "." for k in range(25)]
+    many = [(i, [rng.randrange(25) for _ in range(rng.randint(1, 14))]) for i in range(40)]
+    out = {r["doc_id"]: r["text"] for r in substring_dedup.dedup(docs(spark, [(i, " ".join(pool[k] for k in ks)) for i, ks in many])).collect()}
+    had: set = set()
+    for i, ks in many:
+        runs = [(a, b) for a in range(len(ks)) for b in range(a + 1, len(ks) + 1) if sum(len(pool[k].split()) for k in ks[a:b]) >= 8]
+        gone = {u for a, b in runs if tuple(ks[a:b]) in had or any(tuple(ks[c:d]) == tuple(ks[a:b]) and d <= a for c, d in runs) for u in range(a, b)}
+        assert out[i].split() == " ".join(pool[k] for u, k in enumerate(ks) if u not in gone).split(), i
+        had |= {tuple(ks[a:b]) for a, b in runs}
+
+
 def test_chat_tree(spark):
     rows = [(1, 0, "user", "a<b> \\l"), (1, 1, "assistant", "</turn> ok"), (2, 0, "user", "a<b> \\l"), (2, 1, "assistant", "other"), (3, 0, "user", "a<b> \\l"), (3, 1, "assistant", "</turn> ok"), (4, 0, None, None), (None, 0, "user", "x"), (5, 1, "user", "tie"), (5, 1, "user", "tie")]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
