@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import CLASSES, PERCENTS, SIZE_EDGES, SQUARE_METRES_AN_ACRE, Grid
 
 #: Raw cover codes to classes, as the raster comparison has them.
-REMAP = {1: "DEVELOPED", 2: "AGRICULTURE", 3: "FOREST", 4: "RANGELAND_PASTURE", 5: "OTHER"}
+REMAP = {
+    1: "DEVELOPED", 2: "AGRICULTURE", 3: "RANGELAND_PASTURE", 4: "FOREST", 5: "OTHER", 6: "OTHER", 7: "OTHER", 8: "DEVELOPED",
+    9: "FOREST", 10: "RANGELAND_PASTURE", 11: "AGRICULTURE", 12: "AGRICULTURE", 13: "OTHER", 14: "OTHER", 15: "OTHER",
+}
 
 
 def bucket(acreage: Column, edges: tuple[float, ...] = SIZE_EDGES) -> Column:
@@ -56,13 +59,18 @@ def histogram(px: DataFrame) -> DataFrame:
 
 
 def class_acres(px: DataFrame, names: dict[int, str], grid: Grid) -> DataFrame:
-    """Cells, acres and share of cells with data for each class name; other values fall away."""
+    """Cells, acres and share of cells with data for each class name; other values fall away, see unmapped()."""
     name = F.coalesce(*[F.when(F.col("val") == k, v) for k, v in names.items()])
     counts = histogram(px.where("val <> 0")).select(name.alias("class"), "n").where("class is not null").groupBy("class").agg(F.sum("n").alias("cells"))
     total = counts.agg(F.sum("cells").alias("total"))
     return counts.crossJoin(F.broadcast(total)).select("class", "cells", F.round(F.col("cells") * grid.pixel_area / SQUARE_METRES_AN_ACRE, 4).alias("acres"), F.round(F.col("cells") * 100 / F.col("total"), 6).alias("pct"))
 
 
+def unmapped(px: DataFrame, names: dict[int, str]) -> DataFrame:
+    """Values above 0 that have no class name, with their cells."""
+    return histogram(px.where((F.col("val") > 0) & ~F.col("val").isin(list(names))))
+
+
 def error_metrics(rows: DataFrame, truth: str, estimate: str) -> DataFrame:
     """Mean and root mean square error, largest, mean, median, deviation, least and most, and correlation."""
     e = F.col(estimate) - F.col(truth)

@@ -196,6 +196,11 @@ def class_remap_acres(spark, d):
     return analysis.class_acres(derived.raster(spark, d), analysis.REMAP, derived.grid_of(spark, d))
 
 
+@query(f"WITH {PARCELS} SELECT val, count(*) AS n FROM px WHERE val > 15 GROUP BY val")
+def class_remap_unmapped(spark, d):
+    return analysis.unmapped(derived.raster(spark, d), analysis.REMAP)
+
+
 @query(f"""WITH {PARCELS} SELECT val, count(*) AS n FROM px WHERE val <> 0 AND "row" * 30 + 15 < (SELECT H FROM g) * 6 AND col * 30 + 15 >= 720 AND col * 30 + 15 < 1440 GROUP BY val""")
 def masked_histogram(spark, d):
     grid = derived.grid_of(spark, d)

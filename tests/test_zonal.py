@@ -122,3 +122,25 @@ def test_against_sql(spark, name):
     rel = db.sql(entry.oracle_sql()[name])
     at = [list(rel.columns).index(c) for c in sorted(df.columns)]
     assert found == sorted(repr(tuple(r[i] for i in at)) for r in rel.fetchall())
+
+
+#: The raster comparison's table, from the reference (scripts/analyze_raster_comparison_optimized.py:84-100), by code from 1.
+COMPARED = "DEVELOPED AGRICULTURE RANGELAND_PASTURE FOREST OTHER OTHER OTHER DEVELOPED FOREST RANGELAND_PASTURE AGRICULTURE AGRICULTURE OTHER OTHER OTHER".split()
+
+
+def test_class_remap_takes_all_codes_of_the_reference(spark):
+    from terrace.operators import analysis
+    from terrace.plans import queries
+    from terrace.sources import derived
+
+    cells = [(k, k, v) for k, v in enumerate([0, -1, 16, 16, 200, *(v for v in range(1, 16) for _ in range(v))])]
+    px = spark.createDataFrame(cells, "row long, col long, val int")
+    out = {r["class"]: r["cells"] for r in analysis.class_acres(px, analysis.REMAP, derived.grid_of(spark, DATA)).collect()}
+    assert out == {c: sum(v for v, x in enumerate(COMPARED, 1) if x == c) for c in set(COMPARED)}
+    assert {r["val"]: r["n"] for r in analysis.unmapped(px, analysis.REMAP).collect()} == {16: 2, 200: 1}
+    db = duckdb.connect()
+    for t in ("orders", "part"):
+        db.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
+    sql = f"WITH {queries.PARCELS}, c AS (SELECT {COMPARED}[val] AS class, count(*) AS cells FROM px WHERE val BETWEEN 1 AND 15 GROUP BY 1) SELECT class, cells, round(cells * 900.0 / 4046.86, 4) AS acres, round(cells * 100.0 / sum(cells) OVER (), 6) AS pct FROM c"
+    assert sorted(map(tuple, entry.queries()["class_remap_acres"](spark, DATA).collect())) == sorted(db.sql(sql).fetchall())
+    assert entry.queries()["class_remap_unmapped"](spark, DATA).count() == len(db.sql(entry.oracle_sql()["class_remap_unmapped"]).fetchall())
