@@ -22,7 +22,7 @@ PARAGRAPH = re.compile(r"\S(?:[^\n]+\n?)*")
 SPACELESS = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
 UNITS = {"line": LINE, "sentence": SENTENCE, "paragraph": PARAGRAPH}
 SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-OCCURRENCES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("again", T.BooleanType())])
+OCCURRENCES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("of", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("again", T.BooleanType())])
 
 
 def normalise(unit: str) -> str:
@@ -61,38 +61,38 @@ def units(text: str, unit: str, least: int = LEAST_WORDS) -> Iterator[tuple[int,
 
 
 def occurrences(docs: DataFrame, unit: str, least: int) -> DataFrame:
-    """A row for each run of units of each text: doc_id, digest (96 bits), start, end (code points), again (the text has had it before, and the first ended where this one starts or earlier)."""
+    """A row for each run of units of each text: doc_id, of (digest of the text), digest (96 bits), start, end (code points), again (the text has had it before, and the first ended where this one starts or earlier)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 out: list[list] = [[], [], [], []]
-                ids: list[int] = []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                ids: list[tuple[int, int]] = []
+                for doc, of, text in zip(*[c.to_pylist() for c in part.columns], strict=True):
                     had: dict[bytes, int] = {}
                     for start, end, digest in units(text or "", unit, least):
-                        ids.append(doc)
+                        ids.append((doc, of))
                         for column, value in zip(out, (digest, start, end, had.setdefault(digest, end) <= start), strict=True):
                             column.append(value)
                 digests = np.frombuffer(b"".join(d[:12] for d in out[0]), [("a", "<i8"), ("b", "<i4")])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests["a"].copy()), pa.array(digests["b"].copy()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_())], names=OCCURRENCES.names)
+                yield pa.RecordBatch.from_arrays([pa.array([i[0] for i in ids], pa.int64()), pa.array([i[1] for i in ids], pa.int64()), pa.array(digests["a"].copy()), pa.array(digests["b"].copy()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_())], names=OCCURRENCES.names)
 
-    return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null").mapInArrow(run, OCCURRENCES), "units")
+    return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("of"), "text").where("doc_id is not null").mapInArrow(run, OCCURRENCES), "units")
 
 
 def dedup(docs: DataFrame, unit: str = "sentence", least: int = LEAST_WORDS) -> DataFrame:
     """The rows of docs with text cleaned and removed (array of start and end in the text as it was, in code points) added, n_removed beside it.
 
     Of runs of units with the same digest the one of the least doc_id stays, in a text the first; all others go, with the white space after them. Spans that overlap are one. Of a run that stays, a part can go that also lies in another run: each unit stays somewhere. Digests are grouped with a minimum that each task takes beforehand, so a run in a third of all texts is one row a task.
-    Null and empty texts, and rows with a null doc_id, stay as they are, with nothing removed. Rows that repeat an id have equal rank: what they have in common stays in each. The row of a text stays even if nothing of the text does. Columns named removed and n_removed are replaced.
+    Null and empty texts, and rows with a null doc_id, stay as they are, with nothing removed. Rows that repeat an id have equal rank: what they have in common stays in each, and each is cut by its own text. The row of a text stays even if nothing of the text does. Columns named removed and n_removed are replaced.
     """
     found = occurrences(docs, unit, least)
     first = found.where("not again").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    later = found.where("not again").join(first, ["h1", "h2"]).where("doc_id > first").select("doc_id", "start", "end")
-    again = found.where("again").select("doc_id", "start", "end")
-    cuts = later.union(again).distinct().groupBy(F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
+    later = found.where("not again").join(first, ["h1", "h2"]).where("doc_id > first").select("doc_id", "of", "start", "end")
+    again = found.where("again").select("doc_id", "of", "start", "end")
+    cuts = later.union(again).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("of").alias("__of")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
     plain = docs.drop("removed", "n_removed")
-    joined = plain.join(cuts, plain["doc_id"] == F.col("__id"), "left").drop("__id")
+    joined = plain.join(cuts, (plain["doc_id"] == F.col("__id")) & (F.xxhash64(plain["text"]) == F.col("__of")), "left").drop("__id", "__of")
 
     def one(text: str | None, spans: list | None) -> tuple:
         if not spans or text is None:

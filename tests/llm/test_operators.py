@@ -226,6 +226,16 @@ def test_substring_dedup(spark, odd):
     assert second[2] == "Yes. Else here. End." and second[1] == f"{PASSAGE} Yes. No. "
 
 
+def test_substring_dedup_cuts_each_row_of_an_id_by_its_own_text(spark, odd):
+    table, rows = odd
+    own = " ".join(f"own{i}" for i in range(90)) + "."
+    more = [(1, PASSAGE), (12, own), (12, f"Lead. {PASSAGE} End."), (12, f"{own} {own} {PASSAGE}")]
+    out = Counter((r["text"], r["n_removed"]) for r in substring_dedup.dedup(docs(spark, more)).collect() if r["doc_id"] == 12)
+    assert out == Counter([(own, 0), ("Lead. End.", 1), (f"{own} ", 2)])
+    both = {r["text"]: r["n_removed"] for r in substring_dedup.dedup(table).collect() if r["doc_id"] == 12}
+    assert both == {t: 0 for i, t in rows if i == 12}
+
+
 def test_substring_dedup_finds_short_units(spark):
     said = lambda k: " ".join(f"p{k}w{j}" for j in range(7)) + "."
     passage = " ".join(said(k) for k in range(70))
