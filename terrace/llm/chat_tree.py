@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import materialize, numbered, with_offsets
 
 OPEN, MIDDLE, CLOSE = "<turn ", ">", "</turn>\n"
+#: Tokens of the stream by which nodes and intervals meet; the result does not depend on it.
+BLOCK = 1024
 
 
 def escape(text: Column) -> Column:
@@ -40,13 +42,15 @@ def turns(conversations: DataFrame) -> DataFrame:
 def build(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes, members).
 
-    nodes, a row for each turn of the tree: node, depth, emitted (first token's place in the depth-first stream), position (its position id: tokens of the turns above), size, loss (an assistant's turn), loss_from and loss_to (places in formatted that bear loss), formatted, attends (from and to in the stream, ascending, of all turns above and of its own; tokens see those intervals up to themselves).
+    nodes, a row for each turn of the tree: node, depth, emitted (first token's place in the depth-first stream), position (its position id: tokens of the turns above), size, loss (an assistant's turn), loss_from and loss_to (places in formatted that bear loss), formatted, attends (from and to in the stream, ascending, of all turns above, adjacent ones as one interval, and last of its own; tokens see those intervals up to themselves).
     members, a row for each turn of each conversation: conv_id, depth, node, emitted, size.
+    Both are written out whole.
 
     Conversations in the order of their paths (the digests from the first turn on; equal ones by conv_id) are the leaves from left to right. A node belongs to the first conversation that has it, found by a minimum over ranks that each task takes beforehand; a conversation emits what belongs to it, the end of its path. Two-pass prefix sums give ranks and places. A first turn that a third of all conversations share is one row a task in the minimum, and a skewed join, not a group, elsewhere.
+    Turns above are adjacent in the stream as long as one conversation emits them, so their intervals grow with the branches a conversation takes, not with its turns.
     An empty table gives empty results; repeated conversations share all nodes.
     """
-    found = materialize(turns(conversations), "turns")
+    found = materialize(turns(conversations).drop("text"), "turns")
     paths = found.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("depth", "node"))), lambda x: F.substring(x["node"], 1, 16)), "").alias("path"), F.sum("size").alias("total"))
     ordered = paths.repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id").select("conv_id", F.lit(1).cast("long").alias("one"))
     ranks = with_offsets(numbered(ordered, "one", "ranks"), "one", "rank").select("conv_id", "rank")
@@ -58,24 +62,40 @@ def build(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     stream = emits.repartitionByRange("rank").sortWithinPartitions("rank")
     shift = with_offsets(numbered(stream, "emits", "stream"), "emits", "place").select(F.col("rank").alias("owner"), (F.col("place") - F.col("first")).alias("shift"))
     members = materialize(own.join(shift, "owner").withColumn("emitted", F.col("position") + F.col("shift")).drop("shift"), "members")
-    way = Window.partitionBy("conv_id").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
-    mine = members.withColumn("attends", F.collect_list(F.struct(F.col("emitted").alias("from"), (F.col("emitted") + F.col("size")).alias("to"))).over(way)).where("rank = owner")
+    way = Window.partitionBy("conv_id").orderBy("depth")
+    end = F.lag(F.col("emitted") + F.col("size")).over(way)
+    # only where the stream does not go on from the turn above does a list get longer
+    leaps = members.withColumn("end", end).withColumn("leap", F.col("end").isNull() | (F.col("end") != F.col("emitted")))
+    so_far = way.rowsBetween(Window.unboundedPreceding, 0)
+    lists = leaps.withColumn("froms", F.collect_list(F.when(F.col("leap"), F.col("emitted"))).over(so_far)).withColumn("tos", F.collect_list(F.when(F.col("leap"), F.col("end"))).over(so_far))
+    interval = lambda a, b: F.struct(a.alias("from"), b.alias("to"))
+    start = F.element_at("froms", -1)
+    open_one = F.when(start < F.col("emitted"), F.array(interval(start, F.col("emitted")))).otherwise(F.array())
+    closed = F.zip_with(F.slice("froms", F.lit(1), F.size("tos")), "tos", interval)
+    mine = lists.where("rank = owner").withColumn("attends", F.concat(closed, open_one, F.array(interval(F.col("emitted"), F.col("emitted") + F.col("size")))))
     texts = found.select("conv_id", "depth", "role", "formatted")
     head = F.length(F.lit(OPEN)) + F.length(escape(F.col("role"))) + F.length(F.lit(MIDDLE))
     nodes = mine.join(texts, ["conv_id", "depth"]).select(
         "node", "depth", "emitted", "position", "size", (F.col("role") == "assistant").alias("loss"), head.alias("loss_from"), (F.length("formatted") - F.length(F.lit(CLOSE))).alias("loss_to"), "formatted", "attends"
     )
-    return nodes, members.select("conv_id", "depth", "node", "emitted", "size")
+    return materialize(nodes, "nodes"), members.select("conv_id", "depth", "node", "emitted", "size")
 
 
 def read_back(nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """Conversations from the output alone: conv_id, formatted, and turns (array of role, text and loss_text) in order."""
-    raw = nodes.select("node", "formatted", "loss", "loss_from", "loss_to")
-    rows = members.join(raw, "node")
+    """Conversations from the output alone: conv_id, formatted, and turns (array of position, depth, role, text, loss_text and formatted) in order.
+
+    A conversation is what its last token sees: the intervals that its last turn attends to, read from the stream in the order of position ids. Members only say where that turn is. Intervals meet nodes by blocks of the stream.
+    """
+    last = members.groupBy("conv_id").agg(F.max_by("emitted", "depth").alias("emitted"))
+    seen = last.join(nodes.select("emitted", "attends"), "emitted").select("conv_id", F.explode("attends").alias("i")).select("conv_id", F.col("i.from").alias("from"), F.col("i.to").alias("to"))
+    block = lambda at: F.floor(at / BLOCK)
+    blocks = seen.withColumn("block", F.explode(F.sequence(block(F.col("from")), block(F.col("to") - 1))))
+    stream = nodes.select(block(F.col("emitted")).alias("block"), "emitted", "position", "depth", "formatted", "loss", "loss_from", "loss_to")
+    rows = blocks.join(stream, (blocks["block"] == stream["block"]) & (F.col("emitted") >= F.col("from")) & (F.col("emitted") < F.col("to")))
     role = F.regexp_extract("formatted", r"(?s)\A<turn ([^>]*)>", 1)
     text = F.regexp_extract("formatted", r"(?s)\A<turn [^>]*>(.*)</turn>\n\z", 1)
     masked = F.when(F.col("loss"), F.col("formatted").substr(F.col("loss_from") + 1, F.col("loss_to") - F.col("loss_from"))).otherwise("")
-    turn = F.struct("depth", unescape(role).alias("role"), unescape(text).alias("text"), unescape(masked).alias("loss_text"), "formatted")
+    turn = F.struct("position", "depth", unescape(role).alias("role"), unescape(text).alias("text"), unescape(masked).alias("loss_text"), "formatted")
     grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
     return grouped.select("conv_id", "turns", F.array_join(F.transform("turns", lambda t: t["formatted"]), "").alias("formatted"))
 

@@ -282,6 +282,38 @@ def test_chat_tree(spark):
     assert chat_tree.read_back(*chat_tree.build(table.limit(0))).count() == 0
 
 
+def test_chat_tree_reads_the_stream(spark):
+    rng = random.Random(9)
+    said = {}
+    for c in range(40):
+        said[c] = [rng.choice("ab") * rng.choice((1, 5, 900)) for _ in range(rng.randint(1, 9))]
+    said[50] = [f"turn {k}" for k in range(300)]
+    said[51] = said[50][:150] + ["other"]
+    table = spark.createDataFrame([(c, k, "assistant" if k % 2 else "user", t) for c, ts in said.items() for k, t in enumerate(ts)], "conv_id long, turn long, role string, text string")
+    nodes, members = chat_tree.build(table)
+    # both are tables that were written with all columns
+    assert nodes.inputFiles() and members.inputFiles()
+    got = nodes.orderBy("emitted").collect()
+    stream = "".join(r["formatted"] for r in got)
+    owner = {r["node"]: r for r in got}
+    paths: dict = {}
+    for m in members.orderBy("conv_id", "depth").collect():
+        paths.setdefault(m["conv_id"], []).append(owner[m["node"]])
+    for c, path in paths.items():
+        whole = [f"<turn {'assistant' if k % 2 else 'user'}>{t}</turn>\n" for k, t in enumerate(said[c])]
+        assert "".join(stream[a:b] for a, b in path[-1]["attends"]) == "".join(whole)
+        for k, r in enumerate(path):
+            assert r["position"] == len("".join(whole[:k])) and all(a < b for a, b in r["attends"])
+            assert all(x[1] < y[0] for x, y in zip(r["attends"], r["attends"][1:-1], strict=False))
+    # 300 turns of two conversations: a list does not get longer with each turn
+    assert max(len(r["attends"]) for r in paths[50] + paths[51]) <= 3
+    read = {r["conv_id"]: [t["text"] for t in r["turns"]] for r in chat_tree.read_back(nodes, members).collect()}
+    assert read == said
+    # what is read depends on the intervals: without those of the turns above, only last turns are left
+    cut = nodes.withColumn("attends", F.slice("attends", -1, 1))
+    assert {r["conv_id"]: [t["text"] for t in r["turns"]] for r in chat_tree.read_back(cut, members).collect()} == {c: ts[-1:] for c, ts in said.items()}
+
+
 def test_fingerprints(spark, odd):
     table, rows = odd
     out = fingerprint.edits(table)
