@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,23 +14,31 @@ from pyspark.sql.window import Window
 
 #: ASCII white space: what [^\x20\x09-\x0D]+ leaves out.
 WORD = r"[^\x20\x09-\x0D]+"
+#: sent() broadcasts up to so many rows of one or two numbers.
+MOST_SENT = 1_000_000
 #: with_offsets() broadcasts up to so many rows of 12 bytes, and joins by shuffle beyond.
 MOST_PARTS_SENT = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of our own only where the session names none."""
+    """The folder that driver and executors share. Where the session names none, a folder of our own on a local master; elsewhere an error, since executors would each write to their own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     own = spark.sparkContext._jsc.sc().getCheckpointDir()
     if own.isDefined():
         return own.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     made = tempfile.mkdtemp(prefix="terrace-")
     spark.sparkContext.setCheckpointDir(f"file://{made}")
     return shared_dir(spark)
 
 
+#: Folders of the tables that materialize() returned, as long as someone holds them.
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/terrace/{name}-{uuid.uuid4().hex}"
 
@@ -38,7 +47,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back: cuts the lineage, and a lost executor costs nothing."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialize() wrote and nothing needs any longer."""
+    for df in tables:
+        path = _written.pop(df, None)
+        if path:
+            jvm = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            jvm.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jvm, True)
+
+
+def sent(df: DataFrame, most: int = MOST_SENT) -> DataFrame:
+    """A written table of one or two numbers a row, marked for broadcast if it has so few rows; else as it is, so that a join shuffles."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def map_batches(df: DataFrame, per_row: Callable[..., tuple], inputs: list[str], fields: list[tuple[str, T.DataType]], setup: Callable[[], object] | None = None) -> DataFrame:
@@ -111,22 +136,23 @@ def with_offsets(rows: DataFrame, value: str, out: str) -> DataFrame:
 
 
 def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
-    """(id, component) for the ids of edges (a, b): the smallest id that links reach. Large-star and small-star rounds; every round is a join and a minimum by key, written out."""
-    both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    """(id, component) for the ids of edges (a, b): the smallest id that links reach. Large-star and small-star rounds; every round is a join and a minimum by key, written out, and what the round before wrote is deleted."""
+    print_of = lambda e: tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
     edges = materialize(edges.select("a", "b").where("a <> b").distinct(), name)
+    last = print_of(edges)
     for _ in range(most_rounds):
-        if edges.isEmpty():
+        if not last[0]:
             break
-        e = both(edges)
-        least = e.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = e.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        down = materialize(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*").where("a <> b").distinct()
         new = materialize(small, name)
-        old_n, new_n = edges.count(), new.count()
-        same = old_n == new_n and new.join(edges, ["a", "b"], "left_anti").isEmpty()
-        edges = new
+        now = print_of(new)
+        discard(edges, down)
+        edges, same, last = new, now == last, now
         if same:
             break
     else:

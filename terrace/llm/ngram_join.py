@@ -8,18 +8,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import components, materialize, slices, words_of
+from .common import components, discard, materialize, sent, slices, words_of
 from .tokens import Memo
 
 #: Words are counted in so many buckets; the counts (8 bytes each) are what tasks are sent.
 BUCKETS = 1 << 16
-#: A gram that more classes than this share is multiplied in tiles of BLOCK by BLOCK rows, others pair by pair.
-LIGHT, BLOCK = 48, 256
-COLUMNS = 4096
+#: A tile of the product has about so many rows on either side.
+BLOCK = 128
+#: Products of single entries that a tile works on at once.
+AT_ONCE = 1 << 20
 
-SIGNATURE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+SIGNATURE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("uid", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
 EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -69,7 +71,7 @@ def word_counts(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, h1, h2 (digest of the set; null if it is empty) and prefix: the rarest grams, so many that two sets whose likeness is enough have one in common.
+    """doc_id, n, h1, h2 (digest of the set; null if it is empty), uid (a number of the row) and prefix: the rarest grams, so many that two sets whose likeness is enough have one in common.
 
     Rarity is estimated from the counts of a gram's words. Any order of grams that is the same for all documents gives the same links; this one keeps lists short.
     """
@@ -77,7 +79,7 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
     rank = docs.sparkSession.sparkContext.broadcast((weight * 15 / max(1.0, weight.max() * width)).astype(np.float64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, weights = Shingler(width), rank.value
+        tool, weights, uid = Shingler(width), rank.value, TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch):
                 out: list[tuple] = []
@@ -86,16 +88,17 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     grams = tool.grams(words)
                     distinct, first = np.unique(grams, return_index=True)
                     n = len(distinct)
+                    uid += 1
                     if not n:
-                        out.append((doc, 0, None, None, []))
+                        out.append((doc, 0, None, None, uid, []))
                         continue
                     w = weights[(words % np.uint64(BUCKETS)).astype(np.int64)]
                     k = min(width, len(words))
                     score = sum(w[i : i + len(grams)] for i in range(k))[first]
                     keys = (np.minimum(score * 17, 255).astype(np.uint64) << np.uint64(55)) | (distinct >> np.uint64(9))
                     p = n - -(-percent * n // 100) + 1
-                    out.append((doc, n, *digest(distinct), np.sort(keys)[:p].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 4 else pa.list_(pa.int64())) for i in range(5)], names=SIGNATURE.names)
+                    out.append((doc, n, *digest(distinct), uid, np.sort(keys)[:p].astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 5 else pa.list_(pa.int64())) for i in range(6)], names=SIGNATURE.names)
 
     return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNATURE), "signatures")
 
@@ -105,54 +108,40 @@ def digest(grams: np.ndarray) -> tuple[int, int]:
     return (d & (1 << 64) - 1) - (1 << 63), (d >> 64) - (1 << 63)
 
 
-def need(a, b, percent: int):
-    """Least overlap that gives two sets of these sizes the likeness: 100 * i >= percent * (a + b - i)."""
-    return F.ceil(percent * (a + b) / (100 + percent))
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The product of two sparse incidence matrices, rows given as sorted sets of column numbers: overlap counts, left by right.
 
-
-def product(width: int, percent: int):
-    """A tile of the product: the overlap counts of its left and right rows, column block by column block; out come links that span the tile's linked rows."""
-
-    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        tool = Shingler(width)
-        pdf["grams"] = [tool.set(t) for t in pdf["text"]]
-        right_text = [len(g) > 0 and digest(g)[0] == h for g, h in zip(pdf["grams"], pdf["h1"], strict=True)]
-        pdf = pdf[right_text].sort_values(["id", "h1"]).reset_index(drop=True)
-        if pdf.empty:
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        same = pdf["ti"].iloc[0] == pdf["tj"].iloc[0]
-        rows = range(len(pdf)) if same else np.flatnonzero(pdf["block"].to_numpy() == pdf["ti"].iloc[0])
-        cols = range(len(pdf)) if same else np.flatnonzero(pdf["block"].to_numpy() == pdf["tj"].iloc[0])
-        sets, ids = pdf["grams"].tolist(), pdf["id"].to_numpy()
-        left, right = [np.asarray(sets[i]) for i in rows], [np.asarray(sets[i]) for i in cols]
-        if not left or not right:
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        common = np.intersect1d(np.concatenate(left), np.concatenate(right))
-        over = np.zeros((len(left), len(right)), np.float32)
-        for at in range(0, len(common), COLUMNS):
-            part = common[at : at + COLUMNS]
-            over += incidence(left, part) @ incidence(right, part).T
-        m, n = np.array([len(s) for s in left], np.float64), np.array([len(s) for s in right], np.float64)
-        linked = 100 * over.astype(np.float64) >= percent * (m[:, None] + n[None, :] - over)
-        i, j = np.nonzero(linked)
-        a, b = ids[np.asarray(rows)[i]], ids[np.asarray(cols)[j]]
-        return spanning(a, b)
-
-    return tile
-
-
-def incidence(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(sets), len(columns)), np.float32)
-    for k, s in enumerate(sets):
-        at = np.searchsorted(columns, s)
-        at[at == len(columns)] = 0
-        out[k, at[columns[at] == s]] = 1
-    return out
-
-
-def spanning(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-    """Of links a - b, as few as keep the same documents connected."""
-    parent: dict[int, int] = {}
+    Entries are put in column order; column block by column block, each left entry meets the right entries of its column, and the counts are added up.
+    """
+    over = np.zeros(len(left) * len(right), np.int64)
+    if not over.size:
+        return over.reshape(len(left), len(right))
+    x, i = np.concatenate(left), np.repeat(np.arange(len(left)), [len(s) for s in left])
+    y, j = np.concatenate(right), np.repeat(np.arange(len(right)), [len(s) for s in right])
+    order = np.argsort(y, kind="stable")
+    y, j = y[order], j[order]
+    low, high = np.searchsorted(y, x, "left"), np.searchsorted(y, x, "right")
+    some = high > low
+    i, low, times = i[some], low[some], (high - low)[some]
+    done = np.cumsum(times)
+    start = 0
+    while start < len(times):
+        stop = max(start + 1, int(np.searchsorted(done, (done[start - 1] if start else 0) + AT_ONCE, "right")))
+        t = times[start:stop]
+        within = np.arange(int(t.sum())) - np.repeat(np.cumsum(t) - t, t)
+        cells = np.repeat(i[start:stop], t) * len(right) + j[np.repeat(low[start:stop], t) + within]
+        over += np.bincount(cells, minlength=over.size)
+        start = stop
+    return over.reshape(len(left), len(right))
+
+
+def linked(over: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Cells of a tile whose counts reach the bound that the two sizes set."""
+    return 100 * over >= percent * (left[:, None] + right[None, :] - over)
+
+
+def roots(a: list[int], b: list[int], parent: dict[int, int]) -> list[tuple[int, int]]:
+    """Of links a - b, as few as keep the same documents connected, given what parent joins already."""
 
     def root(x: int) -> int:
         parent.setdefault(x, x)
@@ -162,72 +151,167 @@ def spanning(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
         return x
 
     kept = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+    for x, y in zip(a, b, strict=True):
         if x != y and (p := root(x)) != (q := root(y)):
             parent[p] = q
             kept.append((x, y))
-    return pd.DataFrame(kept, columns=["a", "b"]).astype("int64")
+    return kept
 
 
-def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles and component_id (the least doc_id that links reach) for every row of docs.
+def possible(n_a, at_a, n_b, at_b, percent: int):
+    """Can two rows link that have a common gram at these places of their prefixes? Works on columns and on arrays."""
+    least = np.minimum if isinstance(n_a, np.ndarray) else F.least
+    reach = 1 + least(at_a, at_b) + least(n_a - at_a - 1, n_b - at_b - 1)
+    # overlap >= percent * (n_a + n_b) / (100 + percent) is what the likeness asks for
+    return (100 * n_a >= percent * n_b) & (100 * n_b >= percent * n_a) & ((100 + percent) * reach >= percent * (n_a + n_b))
 
-    Two rows link when their shingle sets' overlap is at least percent of their union. Equal sets are one class, found by digest; classes are linked. Candidate classes share one of their rarest grams; the counts of those grams' rows come pair by pair for short lists and, for long ones, as tiles of a matrix product, dealt over tasks, which count all overlaps of a tile without a row for each pair. Every link between classes is found or follows from those found.
-    Null and empty texts, and texts without words: n_shingles 0, component_id the row's own doc_id. Rows with a null id are returned with a null component and link to nothing. Rows that repeat an id are one document whose links are those of all its texts. Other columns are left out.
-    """
-    found = signatures(docs, width, percent)
-    some = found.where("n > 0 and doc_id is not null")
-    classes = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
-    reps = some.join(classes.select(F.col("id").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
-    post = materialize(reps.select(F.col("doc_id").alias("id"), "h1", "n", F.posexplode("prefix").alias("at", "g")), "postings")
-    # Grams that the same classes have give the same pairs: of those, one is enough.
-    member = [F.bit_xor(F.xxhash64(*c)).alias(f"x{i}") for i, c in enumerate((("id", "h1"), ("h1", "id")))]
-    shared = post.groupBy("g").agg(F.count(F.lit(1)).alias("c"), *member).where("c > 1").groupBy("c", "x0", "x1").agg(F.min("g").alias("g")).select("g", "c")
-    multi = materialize(post.join(shared, "g"), "shared")
-
-    light = multi.where(F.col("c") <= LIGHT)
-    a, b = light.select("g", *[F.col(c).alias(f"{c}_a") for c in ("id", "h1", "n", "at")]), light.select("g", *[F.col(c).alias(f"{c}_b") for c in ("id", "h1", "n", "at")])
-    size = (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))
-    reach = 1 + F.least(F.col("at_a"), F.col("at_b")) + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1)
-    on = (a["g"] == b["g"]) & (F.col("id_a") < F.col("id_b")) & size & (reach >= need(F.col("n_a"), F.col("n_b"), percent))
-    pairs = materialize(a.join(b, on).select("id_a", "h1_a", "id_b", "h1_b").distinct(), "pairs")
-
-    heavy = multi.where(F.col("c") > LIGHT).select("g", "id", "h1", "c")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    a, b = texts.alias("a"), texts.alias("b")
-    first = pairs.join(a, pairs["id_a"] == F.col("a.doc_id")).select("id_a", "h1_a", "id_b", "h1_b", F.col("a.text").alias("text_a"))
-    both = first.join(b, first["id_b"] == F.col("b.doc_id")).select("id_a", "h1_a", "text_a", "id_b", "h1_b", F.col("b.text").alias("text_b"))
-    links = both.mapInArrow(verify(width, percent), EDGES)
 
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    dealt = heavy.withColumn("block", F.pmod(F.xxhash64("id", "h1"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    tiles = dealt.select("g", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "id", "h1").join(texts.withColumnRenamed("doc_id", "id"), "id")
-    products = tiles.groupBy("g", "ti", "tj").applyInPandas(product(width, percent), EDGES)
+def viable(percent: int):
+    """Of a tile of a list's rows (without their sets), those that may link with a row of another component there: what the size-derived bounds leave of the tile."""
 
-    grouped = components(links.union(products), "links")
-    named = classes.join(grouped, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component_id"))
-    out = found.select("doc_id", F.col("n").alias("n_shingles"), "h1", "h2").join(named, ["h1", "h2"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id"))).alias("component_id"))
+    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+        same = bool((pdf["ti"] == pdf["tj"]).iloc[0])
+        left = pdf if same else pdf[pdf["block"] == pdf["ti"]]
+        right = pdf if same else pdf[pdf["block"] == pdf["tj"]]
+        n_a, at_a, c_a, n_b, at_b, c_b = (x[c].to_numpy(np.int64) for x in (left, right) for c in ("n", "at", "component"))
+        may = possible(n_a[:, None], at_a[:, None], n_b[None, :], at_b[None, :], percent) & (c_a[:, None] != c_b[None, :])
+        # the list's first row has met all others already
+        may[left["first"].to_numpy(bool)] = False
+        may[:, right["first"].to_numpy(bool)] = False
+        found = pd.concat([left[may.any(1)], right[may.any(0)]]).drop_duplicates("uid")
+        return found[["g", "ti", "tj", "block", "uid", "component"]]
 
+    return keep
 
-def verify(width: int, percent: int):
-    """Of pairs with their texts, those that link. A text whose digest is not the one meant (rows that repeat an id) makes no link."""
+
+def product(percent: int):
+    """Tiles in the order of their keys, their rows with the sets: the counts of each tile and, of the links that they give, those that join components. A tile is complete when the key changes; rows come one after the other, so a task holds one tile at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, last = Shingler(width), (None, None)
+        key, rows = None, []
+
+        def close() -> list[tuple[int, int]]:
+            left = [r for r in rows if r[0] == key[1]]
+            right = left if key[1] == key[2] else [r for r in rows if r[0] == key[2]]
+            if not left or not right:
+                return []
+            a, b = np.array([r[1] for r in left]), np.array([r[1] for r in right])
+            sets = [[np.frombuffer(r[3], "<u8") for r in side] for side in (left, right)]
+            over = overlaps(*sets)
+            i, j = np.nonzero(linked(over, *(np.array([len(s) for s in side]) for side in sets), percent))
+            return roots(a[i].tolist(), b[j].tolist(), {r[1]: r[2] for r in rows} | {r[2]: r[2] for r in rows})
+
         for batch in batches:
+            out: list[tuple[int, int]] = []
+            for g, ti, tj, block, id_, component, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (g, ti, tj) != key:
+                    out += close() if rows else []
+                    key, rows = (g, ti, tj), []
+                rows.append((block, id_, component, grams))
+            yield edge_batch(out)
+        yield edge_batch(close() if rows else [])
+
+    return run
+
+
+def edge_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(2)], names=["a", "b"])
+
+
+def against_first(percent: int):
+    """Rows of the product whose left side is one row: tiles in order, in each the first row (side 0) before the others. Only the first row's set is kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, lead_id, first = None, 0, None
+        for batch in batches:
+            out: list[tuple[int, int]] = []
             for part in slices(batch):
-                a, b = [], []
-                for id_a, h_a, text_a, id_b, h_b, text_b in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    y = tool.set(text_b) if last[0] != (id_b, h_b) else last[1]
-                    last = ((id_b, h_b), y) if len(y) and digest(y)[0] == h_b else (None, None)
-                    x = tool.set(text_a)
-                    if last[0] is None or not len(x) or digest(x)[0] != h_a:
-                        continue
-                    over = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * over >= percent * (len(x) + len(y) - over):
-                        a.append(id_a)
-                        b.append(id_b)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                for lead, salt, side, id_, grams in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    if side == 0:
+                        key, lead_id, first = (lead, salt), id_, np.frombuffer(grams, "<u8")
+                    elif (lead, salt) == key:
+                        row = np.frombuffer(grams, "<u8")
+                        over = overlaps([first], [row])
+                        if linked(over, np.array([len(first)]), np.array([len(row)]), percent)[0, 0]:
+                            out.append((lead_id, id_))
+            yield edge_batch(out)
 
     return run
+
+
+def incidence(docs: DataFrame, wanted: DataFrame, width: int, name: str) -> DataFrame:
+    """uid, id and grams (the sorted set, 8 bytes each) of the wanted rows (uid, id, h1: a written table), written out. Of rows that repeat an id, h1 says whose set is meant."""
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("grams", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = Shingler(width)
+        for batch in batches:
+            for part in slices(batch):
+                out = [(i, digest(s)[0], s.astype("<u8").tobytes()) for i, text in zip(*(c.to_pylist() for c in part.columns), strict=True) if len(s := tool.set(text))]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=schema.names)
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    few = texts.join(sent(wanted.select("id")), "id", "left_semi")
+    return materialize(few.mapInArrow(run, schema).join(wanted, ["id", "h1"]).select("uid", "id", "grams").dropDuplicates(["uid"]), name)
+
+
+def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles and component_id (the least doc_id that links reach) for every row of docs.
+
+    Two rows link when their shingle sets' overlap is at least percent of their union. Equal sets are one class, found by digest, and one row of the incidence matrix. The product of that matrix with itself is computed in blocks, and only where it can hold a link: rows that have one of their rarest grams in common stand in that gram's list, and a list is a square of the product.
+    First the row of each list's first class: what links to it is one component with it. Then, of the lists that still hold several components, the tiles of BLOCK by BLOCK classes, each with the classes only that the size-derived bounds leave. Overlaps are counted column by column inside a tile; pairs below the bound are never written, and of those above it only links that join components. So a group of c near copies costs about c rows, not c squared. Every link between classes is found or follows from those found.
+    Null and empty texts, and texts without words: n_shingles 0, component_id the row's own doc_id. Rows with a null id are returned with a null component and link to nothing. Rows that repeat an id are one document whose links are those of all its texts. A very long text is one row of 8 bytes a shingle; a tile holds about 2 * BLOCK rows. An empty table gives no rows. Other columns are left out, whatever their names.
+    """
+    found = signatures(docs, width, percent)
+    some = found.where("n > 0 and doc_id is not null")
+    least = F.min(F.struct("doc_id", "uid"))
+    classes = materialize(some.groupBy("h1", "h2").agg(least.alias("m"), F.count(F.lit(1)).alias("rows")).select("h1", "h2", F.col("m.doc_id").alias("id"), F.col("m.uid").alias("uid"), "rows"), "classes")
+    copies = materialize(some.select("uid", "h1", "h2").join(classes.where("rows > 1").select("h1", "h2", F.col("uid").alias("kept")), ["h1", "h2"]).where("uid <> kept").select("uid"), "copies")
+    posts = some.join(sent(copies), "uid", "left_anti").select("uid", "n", F.posexplode("prefix").alias("at", "g"))
+    lists = materialize(posts.groupBy("g").count().where("count > 1").select("g"), "lists")
+    owners = classes.select("uid", "id", "h1")
+    every = materialize(posts.join(lists, "g").join(owners.drop("h1"), "uid"), "listed")
+    # Grams that the same classes have give the same pairs: of those, one is enough.
+    member = [F.bit_xor(F.xxhash64("uid", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    row = F.struct("id", "uid", "n", "at")
+    shared = every.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min(row).alias("first"), *member).groupBy("c", "x0", "x1").agg(F.min(F.struct("g", "first")).alias("m")).select("m.g", "m.first", "c")
+    multi = materialize(every.join(shared, "g"), "shared")
+    discard(lists, copies, every)
+
+    may = possible(F.col("first.n"), F.col("first.at"), F.col("n"), F.col("at"), percent)
+    is_first = F.col("uid") == F.col("first.uid")
+    stars = materialize(multi.where(~is_first & may).select(F.col("first.uid").alias("lead"), "uid").distinct(), "stars")
+    wanted = materialize(stars.select("uid").union(stars.select("lead")).distinct().join(owners, "uid"), "wanted")
+    grams = incidence(docs, wanted, width, "star-rows")
+    sized = materialize(stars.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("salts")), "salts")
+    others = stars.join(sized, "lead").select("lead", F.pmod(F.xxhash64("uid"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("side"), "uid").join(grams, "uid")
+    firsts = sized.select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("lead").alias("uid")).join(grams, "uid")
+    tiles = firsts.unionByName(others).select("lead", "salt", "side", "id", "grams").repartition("lead", "salt").sortWithinPartitions("lead", "salt", "side")
+    near = components(tiles.mapInArrow(against_first(percent), EDGES).union(same_id(some, classes)), "near")
+    discard(stars, wanted, grams, sized)
+
+    placed = materialize(multi.join(near, "id", "left").select("g", "uid", "n", "at", is_first.alias("first"), "c", F.coalesce("component", "id").alias("component")), "placed")
+    apart = placed.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("g")
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    dealt = placed.where("c > 2").join(apart, "g", "left_semi").withColumn("block", F.pmod(F.xxhash64("uid"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    squares = dealt.select("g", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "uid", "n", "at", "component", "first")
+    left = materialize(squares.groupBy("g", "ti", "tj").applyInPandas(viable(percent), "g long, ti int, tj int, block int, uid long, component long"), "tiles")
+    wanted = materialize(left.select("uid").distinct().join(owners, "uid"), "wanted")
+    grams = incidence(docs, wanted, width, "tile-rows")
+    key = ["g", "ti", "tj"]
+    filled = left.join(grams, "uid").select(*key, "block", "id", "component", "grams").repartition(*key).sortWithinPartitions(*key)
+    links = near.select(F.col("id").alias("a"), F.col("component").alias("b")).union(filled.mapInArrow(product(percent), EDGES))
+    whole = components(links, "links")
+    discard(multi, placed, left, wanted, grams)
+
+    named = classes.join(whole, "id", "left").where("rows > 1 or component is not null").select("h1", "h2", F.coalesce("component", "id").alias("least"))
+    out = some.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    alone = found.where("not (n > 0 and doc_id is not null)").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return out.union(alone)
+
+
+def same_id(some: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) of documents whose rows have different texts to the classes of those texts."""
+    rows = some.select("doc_id", "h1", "h2")
+    several = rows.groupBy("doc_id").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low < high").select("doc_id")
+    return rows.join(several, "doc_id", "left_semi").join(classes, ["h1", "h2"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))

@@ -186,14 +186,50 @@ def test_ngram_join(spark, odd, monkeypatch):
             words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
         many.append((i, " ".join(words)))
     expected = brute(many, 3, 90)
-    for light in (1, 10**6):
-        monkeypatch.setattr(ngram_join, "LIGHT", light)
+    # texts that have half of their words, rare ones, in common without a link, so that lists keep several components
+    for i in range(40):
+        half = [f"r{j}" for j in range(50)] + [f"o{i // 4}x{j}" for j in range(60)]
+        half[60 + i % 4] = f"y{i}"
+        many.append((100 + i, " ".join(half)))
+    expected = brute(many, 3, 90)
+    calls: list[int] = []
+    shape = ngram_join.viable
+    monkeypatch.setattr(ngram_join, "viable", lambda percent: calls.append(percent) or shape(percent))
+    for block in (5, 128):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
         found = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(docs(spark, many), 3, 90).collect()}
         assert found == expected
+    assert calls and len(set(expected.values())) > 10
+
+
+def test_product_counts_overlaps():
+    rng = random.Random(4)
+    sets = [np.array(sorted({rng.randrange(60) for _ in range(rng.randint(0, 40))}), np.uint64) for _ in range(30)]
+    for at_once in (7, 1 << 20):
+        ngram_join.AT_ONCE, before = at_once, ngram_join.AT_ONCE
+        over = ngram_join.overlaps(sets[:12], sets[12:])
+        ngram_join.AT_ONCE = before
+        assert over.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets[12:]] for a in sets[:12]]
+    assert ngram_join.overlaps([], sets).shape == (0, 30)
+
+
+def test_ngram_join_runs_the_product_on_the_tables(spark):
+    """The tiles of the product, and not its first rows alone, have work on the given documents."""
+    docs_ = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(docs_, 5, 80).collect()}
+    assert out == brute([(r["doc_id"], r["text"] or "") for r in docs_.collect()], 5, 80)
+
+
+def test_ngram_join_repeated_id(spark):
+    text = lambda k: " ".join(f"t{k}w{j}" for j in range(40))
+    rows = [(1, text(1)), (2, text(2)), (3, text(1)), (3, text(2)), (4, text(3)), (None, text(1))]
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(docs(spark, rows), 3, 90).collect()}
+    assert out == {1: 1, 2: 1, 3: 1, 4: 4, None: None}
 
 
 def brute(rows, width, percent):
-    sets = {i: {tuple(t.lower().split()[k : k + width]) for k in range(len(t.split()) - width + 1)} for i, t in rows}
+    words = {i: t.encode().lower().split() for i, t in rows}
+    sets = {i: {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set() for i, w in words.items()}
     parent = {i: i for i in sets}
 
     def root(x):
@@ -203,7 +239,7 @@ def brute(rows, width, percent):
 
     for a in sets:
         for b in sets:
-            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 p, q = sorted((root(a), root(b)))
                 parent[q] = p
     return {i: root(i) for i in sets}
