@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import itertools
+import json
 import os
 import re
 import struct
@@ -20,7 +22,9 @@ from pyspark.sql import DataFrame, types as T
 from .common import map_batches
 
 #: Entries that a memo holds before it starts anew.
-MEMO = 500_000
+MEMO = 200_000
+# Fixed value: how byte-level files cut text.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A space or line end before more white space or at the end: there, whole runs of white space belong together.
 UNSAFE_SPACE, UNSAFE_LINE = re.compile(r" (?:\s|\Z)"), re.compile(r"\n(?:\s|\Z)")
 
@@ -53,23 +57,66 @@ def spaced(text: str) -> list[str] | None:
     return [first] * bool(first) + [p if p[:1] == "\n" else " " + p for p in rest]
 
 
+#: The rank table's pattern matching has no stack for long runs of white space; texts with one go to the library.
+LONG_BLANK = re.compile(r"\s{500}")
+#: End-of-word mark inside rank tables: a byte that no UTF-8 text has.
+WORD_END = b"\xff"
+#: Pieces that normalising leaves as they are, lower-case letters apart: here words can be cut without the library.
+PLAIN = re.compile(r"[!-@\[-~\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def byte_of_char() -> dict[str, int]:
+    """The characters that byte-level files write for bytes: printable Latin-1 stands for itself, the others follow from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+def merge_ranks(model: dict) -> dict[bytes, int] | None:
+    """Byte strings to ids of a byte-level BPE file, if its ids tell the order of its merges too: single bytes (and word ends) first, then a merge's result after that of the merge before. Then the pair of least rank is the pair whose result has the least id, and ids and ranks are one table. None: they are not."""
+    byte, suffix = byte_of_char(), model.get("end_of_word_suffix") or ""
+    made = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    if None in made or any(x >= y for x, y in itertools.pairwise(made)) or len(model["vocab"]) != len(made) + 256 * (1 + bool(suffix)) or made and made[0] != len(model["vocab"]) - len(made):
+        return None
+    ends = [t for t in model["vocab"] if suffix and t.endswith(suffix)]
+    marked = set(ends)
+    return {bytes(byte[c] for c in (t[: -len(suffix)] if t in marked else t)) + WORD_END * (t in marked): i for t, i in model["vocab"].items()}
+
+
 class Library:
-    """A file of the tokenizers library. cut: "space" for byte-level files, "words" for those that drop white space and lower-case."""
+    """A file of the tokenizers library. cut: "space" for byte-level files, "words" for those that drop white space and lower-case.
+
+    Merging is left to a rank table, which gives the same ids as the file's merges in a fraction of the time; what the table can't express goes to the library itself.
+    """
 
     def __init__(self, path: str, cut: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tool, self.cut = Tokenizer.from_file(path), cut
         self.tool.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            stated = json.load(file)
+        ranks = merge_ranks(stated["model"])
+        self.table = None
+        if ranks is not None and cut == "space" and (stated.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not stated.get("normalizer"):
+            self.table = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+        elif ranks is not None and cut == "words":
+            import regex
+
+            self.table = tiktoken.Encoding("file", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+            self.words = regex.compile(stated["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.memo = Memo(self.piece)
 
-    def piece(self, piece: str | bytes) -> bytes:
-        """A letter and the full stop or comma that ends a piece are matches of their own, unless lower-casing puts a mark after the letter."""
-        text = piece if isinstance(piece, str) else piece.decode()
+    def piece(self, piece: bytes) -> bytes:
+        """A word between white space. A letter and the full stop or comma that ends it are matches of their own, unless lower-casing puts a mark after the letter."""
+        text = piece.decode()
         if text[-1:] in (".", ",") and text[-2:-1].lower().isalpha():
             return self.memo[piece[:-1]] + self.memo[piece[-1:]]
-        return self.whole(text)
+        if self.table is None or not PLAIN.fullmatch(text):
+            return self.whole(text)
+        words = [text] if text.isalpha() else self.words(text)
+        return b"".join(packed(self.table._encode_single_piece(w.encode() + WORD_END)) for w in words)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -77,10 +124,13 @@ class Library:
     def encode(self, text: str) -> bytes:
         if self.cut == "words":
             return self.memo.ids(text.encode().lower().split())
-        pieces = spaced(text)
-        if pieces is None:
+        if self.table is None or LONG_BLANK.search(text):
             return self.whole(text)
-        return self.memo.ids(pieces)
+        return np.asarray(self.table.encode_ordinary(text), "<u4").tobytes()
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

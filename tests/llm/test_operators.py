@@ -55,6 +55,7 @@ def test_encoders_match_the_libraries():
     rng = random.Random(1)
     parts = [" ", "  ", "\n", " \n", "\t", "a", "Bc", "é", ".", ",", "1", "\x1c", "\x85", "'s", "<|endoftext|>", "日", "x" * 30, "İ", "Σ", "\u0301", "\xa0", "|", "🙂"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4000)] + ["İ.", "aİ, b"]
+    texts += [" " * 300_000, "a" * 300_000, "!" * 50_000, "x" + "\n \n" * 50_000, "9" * 50_000, " " * 499 + "b", "Ünï'll don't — 3½ naïve façade's ½"]
     ours = ByteBPE(RANKS, public_tokenizers.PATTERN)
     theirs = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ours.ranks, special_tokens={})
     for t in texts:
