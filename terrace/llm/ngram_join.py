@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -21,7 +21,8 @@ BLOCK = 128
 #: Products of single entries that a tile works on at once.
 AT_ONCE = 1 << 20
 
-SIGNATURE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("uid", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+SIGNATURE = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("uid", T.LongType()), T.StructField("sketch", T.BinaryType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+TILE_ROW = pa.schema([("g", pa.int64()), ("ti", pa.int32()), ("tj", pa.int32()), ("block", pa.int32()), ("uid", pa.int64()), ("component", pa.int64())])
 EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -71,7 +72,7 @@ def word_counts(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, h1, h2 (digest of the set; null if it is empty), uid (a number of the row) and prefix: the rarest grams, so many that two sets whose likeness is enough have one in common.
+    """doc_id, n, h1, h2 (digest of the set; null if it is empty), uid (a number of the row), sketch (see sketch_of()) and prefix: the rarest grams, so many that two sets whose likeness is enough have one in common.
 
     Rarity is estimated from the counts of a gram's words. Any order of grams that is the same for all documents gives the same links; this one keeps lists short.
     """
@@ -90,15 +91,16 @@ def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     n = len(distinct)
                     uid += 1
                     if not n:
-                        out.append((doc, 0, None, None, uid, []))
+                        out.append((doc, 0, None, None, uid, None, []))
                         continue
                     w = weights[(words % np.uint64(BUCKETS)).astype(np.int64)]
                     k = min(width, len(words))
                     score = sum(w[i : i + len(grams)] for i in range(k))[first]
                     keys = (np.minimum(score * 17, 255).astype(np.uint64) << np.uint64(55)) | (distinct >> np.uint64(9))
                     p = n - -(-percent * n // 100) + 1
-                    out.append((doc, n, *digest(distinct), uid, np.sort(keys)[:p].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 5 else pa.list_(pa.int64())) for i in range(6)], names=SIGNATURE.names)
+                    out.append((doc, n, *digest(distinct), uid, sketch_of(distinct), np.sort(keys)[:p].astype(np.int64)))
+                kinds = [pa.int64()] * 5 + [pa.binary(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=SIGNATURE.names)
 
     return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNATURE), "signatures")
 
@@ -108,6 +110,20 @@ def digest(grams: np.ndarray) -> tuple[int, int]:
     return (d & (1 << 64) - 1) - (1 << 63), (d >> 64) - (1 << 63)
 
 
+def sketch_of(grams: np.ndarray) -> bytes:
+    """For each remainder of gram hashes, whether an odd number of grams has it: about one bit a gram. Two sets differ in as many grams at least as their sketches differ in bits."""
+    bits = max(64, 1 << (len(grams) - 1).bit_length())
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which the sketches in the rows of a and b differ; the longer ones are folded to the length of the others."""
+    k = min(a.shape[1], b.shape[1])
+    a, b = (np.bitwise_xor.reduce(x.reshape(len(x), -1, k), axis=1) if x.shape[1] > k else x for x in (a, b))
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+
+
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """The product of two sparse incidence matrices, rows given as sorted sets of column numbers: overlap counts, left by right.
 
@@ -166,50 +182,82 @@ def possible(n_a, at_a, n_b, at_b, percent: int):
     return (100 * n_a >= percent * n_b) & (100 * n_b >= percent * n_a) & ((100 + percent) * reach >= percent * (n_a + n_b))
 
 
+def may_link(n_a: np.ndarray, n_b: np.ndarray, a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarray:
+    """Of pairs of rows by size and sketch: do the sketches leave overlap enough? 2 * overlap = n_a + n_b - difference, and sketches bound the difference from below."""
+    out, kinds = np.zeros(len(n_a), bool), defaultdict(list)
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        kinds[len(x), len(y)].append(i)
+    for (p, q), which in kinds.items():
+        step = max(1, AT_ONCE // (p + q))
+        for at in range(0, len(which), step):
+            some = np.array(which[at : at + step])
+            apart = differ(np.stack([a[i] for i in some]), np.stack([b[i] for i in some]))
+            total = n_a[some] + n_b[some]
+            out[some] = (100 + percent) * (total - apart) >= 2 * percent * total
+    return out
+
+
+def star_links(percent: int):
+    """Of pairs (lead, uid, and n and sketch of both), those that sketches leave."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                a, b = ([np.frombuffer(x, np.uint8) for x in part.column(c).to_pylist()] for c in ("sketch_a", "sketch_b"))
+                keep = may_link(*(part.column(c).to_numpy() for c in ("n_a", "n_b")), a, b, percent)
+                yield part.select(["lead", "uid"]).filter(pa.array(keep))
+
+    return run
+
+
+def tiles_of(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """(g, ti, tj) and rows of each tile, from batches in the order of these keys: a task holds one tile at a time."""
+    key, rows = None, []
+    for batch in batches:
+        for g, ti, tj, *row in zip(*(batch.column(c).to_pylist() for c in ("g", "ti", "tj", *names)), strict=True):
+            if (g, ti, tj) != key:
+                if rows:
+                    yield key, rows
+                key, rows = (g, ti, tj), []
+            rows.append(tuple(row))
+    if rows:
+        yield key, rows
+
+
 def viable(percent: int):
-    """Of a tile of a list's rows (without their sets), those that may link with a row of another component there: what the size-derived bounds leave of the tile."""
+    """Of the tiles of lists (rows without their sets), the rows that may link with a row of another component in their tile: what the bounds derived from sizes, places and sketches leave of the product."""
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        same = bool((pdf["ti"] == pdf["tj"]).iloc[0])
-        left = pdf if same else pdf[pdf["block"] == pdf["ti"]]
-        right = pdf if same else pdf[pdf["block"] == pdf["tj"]]
-        n_a, at_a, c_a, n_b, at_b, c_b = (x[c].to_numpy(np.int64) for x in (left, right) for c in ("n", "at", "component"))
-        may = possible(n_a[:, None], at_a[:, None], n_b[None, :], at_b[None, :], percent) & (c_a[:, None] != c_b[None, :])
-        # the list's first row has met all others already
-        may[left["first"].to_numpy(bool)] = False
-        may[:, right["first"].to_numpy(bool)] = False
-        found = pd.concat([left[may.any(1)], right[may.any(0)]]).drop_duplicates("uid")
-        return found[["g", "ti", "tj", "block", "uid", "component"]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (g, ti, tj), rows in tiles_of(batches, ["block", "uid", "component", "first", "n", "at", "sketch"]):
+            left, right = ([r for r in rows if r[0] == t] for t in (ti, tj))
+            if not left or not right:
+                continue
+            # the list's first row has met all others already
+            c_a, f_a, n_a, at_a, c_b, f_b, n_b, at_b = (np.array([r[k] for r in side]) for side in (left, right) for k in (2, 3, 4, 5))
+            may = possible(n_a[:, None], at_a[:, None], n_b[None, :], at_b[None, :], percent) & (c_a[:, None] != c_b[None, :]) & ~f_a[:, None] & ~f_b[None, :]
+            i, j = np.nonzero(np.triu(may, 1) if ti == tj else may)
+            sketches = [[np.frombuffer(r[6], np.uint8) for r in side] for side in (left, right)]
+            keep = may_link(n_a[i], n_b[j], [sketches[0][x] for x in i], [sketches[1][x] for x in j], percent)
+            chosen = {left[x] for x in i[keep]} | {right[x] for x in j[keep]}
+            if chosen:
+                columns = [[g] * len(chosen), [ti] * len(chosen), [tj] * len(chosen), *zip(*(r[:3] for r in sorted(chosen)), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, TILE_ROW, strict=True)], schema=TILE_ROW)
 
-    return keep
+    return run
 
 
 def product(percent: int):
-    """Tiles in the order of their keys, their rows with the sets: the counts of each tile and, of the links that they give, those that join components. A tile is complete when the key changes; rows come one after the other, so a task holds one tile at a time."""
+    """The tiles' rows with their sets: the overlap counts of each tile and, of the links that they give, those that join components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
-
-        def close() -> list[tuple[int, int]]:
-            left = [r for r in rows if r[0] == key[1]]
-            right = left if key[1] == key[2] else [r for r in rows if r[0] == key[2]]
+        for (_, ti, tj), rows in tiles_of(batches, ["block", "id", "component", "grams"]):
+            left, right = ([r for r in rows if r[0] == t] for t in (ti, tj))
             if not left or not right:
-                return []
+                continue
             a, b = np.array([r[1] for r in left]), np.array([r[1] for r in right])
             sets = [[np.frombuffer(r[3], "<u8") for r in side] for side in (left, right)]
-            over = overlaps(*sets)
-            i, j = np.nonzero(linked(over, *(np.array([len(s) for s in side]) for side in sets), percent))
-            return roots(a[i].tolist(), b[j].tolist(), {r[1]: r[2] for r in rows} | {r[2]: r[2] for r in rows})
-
-        for batch in batches:
-            out: list[tuple[int, int]] = []
-            for g, ti, tj, block, id_, component, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (g, ti, tj) != key:
-                    out += close() if rows else []
-                    key, rows = (g, ti, tj), []
-                rows.append((block, id_, component, grams))
-            yield edge_batch(out)
-        yield edge_batch(close() if rows else [])
+            i, j = np.nonzero(linked(overlaps(*sets), *(np.array([len(s) for s in side]) for side in sets), percent))
+            yield edge_batch(roots(a[i].tolist(), b[j].tolist(), {r[1]: r[2] for r in rows} | {r[2]: r[2] for r in rows}))
 
     return run
 
@@ -259,7 +307,7 @@ def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach) for every row of docs.
 
     Two rows link when their shingle sets' overlap is at least percent of their union. Equal sets are one class, found by digest, and one row of the incidence matrix. The product of that matrix with itself is computed in blocks, and only where it can hold a link: rows that have one of their rarest grams in common stand in that gram's list, and a list is a square of the product.
-    First the row of each list's first class: what links to it is one component with it. Then, of the lists that still hold several components, the tiles of BLOCK by BLOCK classes, each with the classes only that the size-derived bounds leave. Overlaps are counted column by column inside a tile; pairs below the bound are never written, and of those above it only links that join components. So a group of c near copies costs about c rows, not c squared. Every link between classes is found or follows from those found.
+    First the row of each list's first class: what links to it is one component with it. Then, of the lists that still hold several components, the tiles of BLOCK by BLOCK classes, each with the classes only that bounds leave which follow from sizes, from the places of the gram in both rows and from sketches of a bit a gram. Overlaps are counted column by column inside a tile; pairs below the bound are never written, and of those above it only links that join components. So a group of c near copies costs about c rows, not c squared. Every link between classes is found or follows from those found.
     Null and empty texts, and texts without words: n_shingles 0, component_id the row's own doc_id. Rows with a null id are returned with a null component and link to nothing. Rows that repeat an id are one document whose links are those of all its texts. A very long text is one row of 8 bytes a shingle; a tile holds about 2 * BLOCK rows. An empty table gives no rows. Other columns are left out, whatever their names.
     """
     found = signatures(docs, width, percent)
@@ -277,32 +325,38 @@ def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shared = every.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min(row).alias("first"), *member).groupBy("c", "x0", "x1").agg(F.min(F.struct("g", "first")).alias("m")).select("m.g", "m.first", "c")
     multi = materialize(every.join(shared, "g"), "shared")
     discard(lists, copies, every)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     may = possible(F.col("first.n"), F.col("first.at"), F.col("n"), F.col("at"), percent)
     is_first = F.col("uid") == F.col("first.uid")
-    stars = materialize(multi.where(~is_first & may).select(F.col("first.uid").alias("lead"), "uid").distinct(), "stars")
+    met = materialize(multi.where(~is_first & may).select(F.col("first.uid").alias("lead"), "uid").distinct(), "met")
+    sketch = materialize(some.join(sent(materialize(multi.select("uid").distinct(), "in-lists")), "uid", "left_semi").select("uid", "n", "sketch"), "sketches")
+    side = lambda name, s: sketch.select(F.col("uid").alias(name), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+    pairs = met.join(side("lead", "a"), "lead").join(side("uid", "b"), "uid")
+    stars = materialize(pairs.mapInArrow(star_links(percent), "lead long, uid long"), "stars")
     wanted = materialize(stars.select("uid").union(stars.select("lead")).distinct().join(owners, "uid"), "wanted")
     grams = incidence(docs, wanted, width, "star-rows")
     sized = materialize(stars.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("salts")), "salts")
     others = stars.join(sized, "lead").select("lead", F.pmod(F.xxhash64("uid"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("side"), "uid").join(grams, "uid")
     firsts = sized.select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("lead").alias("uid")).join(grams, "uid")
-    tiles = firsts.unionByName(others).select("lead", "salt", "side", "id", "grams").repartition("lead", "salt").sortWithinPartitions("lead", "salt", "side")
+    tiles = firsts.unionByName(others).select("lead", "salt", "side", "id", "grams").repartition(tasks, "lead", "salt").sortWithinPartitions("lead", "salt", "side")
     near = components(tiles.mapInArrow(against_first(percent), EDGES).union(same_id(some, classes)), "near")
-    discard(stars, wanted, grams, sized)
+    discard(met, stars, wanted, grams, sized)
 
     placed = materialize(multi.join(near, "id", "left").select("g", "uid", "n", "at", is_first.alias("first"), "c", F.coalesce("component", "id").alias("component")), "placed")
     apart = placed.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("g")
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     dealt = placed.where("c > 2").join(apart, "g", "left_semi").withColumn("block", F.pmod(F.xxhash64("uid"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     squares = dealt.select("g", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "uid", "n", "at", "component", "first")
-    left = materialize(squares.groupBy("g", "ti", "tj").applyInPandas(viable(percent), "g long, ti int, tj int, block int, uid long, component long"), "tiles")
+    key = ["g", "ti", "tj"]
+    looked = squares.join(sketch.drop("n"), "uid").repartition(tasks, *key).sortWithinPartitions(*key)
+    left = materialize(looked.mapInArrow(viable(percent), "g long, ti int, tj int, block int, uid long, component long"), "tiles")
     wanted = materialize(left.select("uid").distinct().join(owners, "uid"), "wanted")
     grams = incidence(docs, wanted, width, "tile-rows")
-    key = ["g", "ti", "tj"]
-    filled = left.join(grams, "uid").select(*key, "block", "id", "component", "grams").repartition(*key).sortWithinPartitions(*key)
+    filled = left.join(grams, "uid").select(*key, "block", "id", "component", "grams").repartition(tasks, *key).sortWithinPartitions(*key)
     links = near.select(F.col("id").alias("a"), F.col("component").alias("b")).union(filled.mapInArrow(product(percent), EDGES))
     whole = components(links, "links")
-    discard(multi, placed, left, wanted, grams)
+    discard(multi, placed, left, wanted, grams, sketch)
 
     named = classes.join(whole, "id", "left").where("rows > 1 or component is not null").select("h1", "h2", F.coalesce("component", "id").alias("least"))
     out = some.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))

@@ -214,9 +214,24 @@ def test_product_counts_overlaps():
     assert ngram_join.overlaps([], sets).shape == (0, 30)
 
 
+def test_sketches_bound_differences():
+    rng = random.Random(6)
+    rows = []
+    for _ in range(200):
+        base = {rng.randrange(1 << 60) for _ in range(rng.randint(1, 300))}
+        other = {x for x in base if rng.random() > 0.1} | {rng.randrange(1 << 60) for _ in range(rng.randint(0, 40))}
+        rows.append((base, other or {1}))
+    for percent in (80, 90):
+        sets = [[np.array(sorted(x), np.uint64) for x in side] for side in zip(*rows, strict=True)]
+        sketches = [[np.frombuffer(ngram_join.sketch_of(x), np.uint8) for x in side] for side in sets]
+        may = ngram_join.may_link(*(np.array([len(x) for x in side]) for side in sets), *sketches, percent)
+        links = np.array([100 * len(a & b) >= percent * len(a | b) for a, b in rows])
+        assert links.any() and not (links & ~may).any() and (~may).sum() > 20
+
+
 def test_ngram_join_runs_the_product_on_the_tables(spark):
     """The tiles of the product, and not its first rows alone, have work on the given documents."""
-    docs_ = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs_ = spark.read.parquet(f"{SF}/documents.parquet")
     out = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(docs_, 5, 80).collect()}
     assert out == brute([(r["doc_id"], r["text"] or "") for r in docs_.collect()], 5, 80)
 
