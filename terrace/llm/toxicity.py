@@ -1,6 +1,6 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become class symbols; transducers for target, negation and reported speech are composed into one machine that runs over each clause and rewrites insults and threats into what they are there (at someone, negated, reported). A clause scores by its matches' weights, a text by its clauses.
+Words become class symbols; transducers for target, negation, reported speech and weights are composed into one machine that runs over each clause and rewrites insults and threats into what they are there (at someone, negated, reported), with a weight. A clause scores what the machine gives its kinds of match, each kind once, so a clause is bounded however often it repeats itself; a text scores the sum of its clauses, against its length.
 """
 
 from __future__ import annotations
@@ -15,17 +15,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import map_batches
+from .common import map_batches, materialize
 
-NONE, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-#: A match is (kind, at a target, negated, reported), kind INSULT or THREAT.
-MATCHES = [(k, t, n, r) for k, t, n, r in product((INSULT, THREAT), (0, 1), (0, 1), (0, 1))]
+#: DOUBTFUL words insult most of the time, INSULT words nearly always.
+NONE, INSULT, THREAT, DOUBTFUL, TARGET, NEGATION, REPORT = range(7)
+#: A match is (kind, at a target, negated, reported).
+KINDS = (INSULT, THREAT, DOUBTFUL)
+MATCHES = [(k, t, n, r) for k, t, n, r in product(KINDS, (0, 1), (0, 1), (0, 1))]
 #: Labelled rows that weights and lexicon are fitted to, at most; those of the least hash of their id.
 MOST_TRAINED = 20_000
-#: Learned stems, at most, and the evidence (nats) that one needs.
-MOST_STEMS, EVIDENCE = 5_000, 18.0
-#: Of a kind of match, so many count in one text.
-MOST_COUNTED = 8
+#: Of the stems that are learned, this share may be there by chance (false-discovery rate).
+FALSE_STEMS = 0.05
+#: Least share of toxic documents among those with a stem: of a DOUBTFUL one, and of an INSULT.
+SHARES = (0.8, 0.98)
 
 # Closed word classes of the four languages.
 WORDS = {
@@ -68,7 +70,7 @@ class Transducer:
 
 def lexer() -> Transducer:
     """Insult and threat words become plain matches."""
-    return Transducer({0: {k: (0, (k, 0, 0, 0), 0.0) for k in (INSULT, THREAT)}}, {0: 0})
+    return Transducer({0: {k: (0, (k, 0, 0, 0), 0.0) for k in KINDS}}, {0: 0})
 
 
 def context(trigger: int, place: int, reach: int | None) -> Transducer:
@@ -90,7 +92,7 @@ def weigher(weights: dict) -> Transducer:
 
 def grammar(weights: dict) -> Transducer:
     """lexer, target (four words), negation (three words), reported speech (clause) and weights in one machine."""
-    machine, alphabet = lexer(), set(range(6))
+    machine, alphabet = lexer(), set(range(7))
     for part in (context(TARGET, 1, 4), context(NEGATION, 2, 3), context(REPORT, 3, None), weigher(weights)):
         machine = machine.then(part, alphabet)
     return machine
@@ -98,7 +100,7 @@ def grammar(weights: dict) -> Transducer:
 
 def prior() -> dict:
     """Weights before any label is seen."""
-    return {(k, t, n, r): 2.0 + 1.0 * t - 1.5 * n - 1.0 * r + 0.5 * (k == THREAT) * (2 * t - 1) for k, t, n, r in MATCHES}
+    return {(k, t, n, r): 2.0 + 1.0 * t - 1.5 * n - 1.0 * r + 0.5 * (k == THREAT) * (2 * t - 1) - 1.0 * (k == DOUBTFUL) for k, t, n, r in MATCHES}
 
 
 def stems_of(word: str) -> list[str]:
@@ -109,9 +111,9 @@ def stems_of(word: str) -> list[str]:
 class Classifier:
     """Word (bytes) -> (symbol, does a clause end after it), remembered for words seen."""
 
-    def __init__(self, stems: list[str]):
+    def __init__(self, stems: dict[str, int]):
         self.fixed = {w: k for k, words in WORDS.items() for w in words.split()}
-        self.stems, self.memo = set(stems), {}
+        self.stems, self.memo = stems, {}
 
     def __call__(self, word: bytes) -> tuple[int, bool]:
         found = self.memo.get(word)
@@ -119,8 +121,8 @@ class Classifier:
             text = word.decode("utf-8", "replace").lower()
             bare = text.strip("".join(c for c in text if not c.isalpha()) or " ")
             kind = self.fixed.get(bare, NONE)
-            if kind == NONE and bare and any(s in self.stems for s in stems_of(bare)):
-                kind = INSULT
+            if kind == NONE and bare:
+                kind = min((self.stems[s] for s in stems_of(bare) if s in self.stems), default=NONE)
             if kind == NONE and text[:1] in '"“«„':
                 kind = REPORT
             found = (kind, text[-1:] in ".!?;:")
@@ -131,17 +133,17 @@ class Classifier:
 
 
 def clauses(machine: Transducer, classify: Classifier, text: str | None) -> Iterator[tuple[list, float]]:
-    """The matches and the score of each clause that has a match. Clauses end at . ! ? ; : after a word."""
+    """The matches of each clause that has one, and its score: the machine's weights of its kinds of match, each kind once. Clauses end at . ! ? ; : after a word."""
     words = (text or "").encode().split()
     tags = list(map(classify, words))
-    if not any(k in (INSULT, THREAT) for k, _ in set(tags)):
+    if not any(k in KINDS for k, _ in set(tags)):
         return
     state, found, score = machine.start, [], 0.0
     for kind, ends in tags:
         state, out, weight = machine.step[state][kind]
         if type(out) is tuple:
+            score += 0.0 if out in found else weight
             found.append(out)
-            score += weight
         if ends:
             if found:
                 yield found, score
@@ -150,19 +152,26 @@ def clauses(machine: Transducer, classify: Classifier, text: str | None) -> Iter
         yield found, score
 
 
+def length(text: str | None) -> int:
+    """Tenths of the logarithm of the number of words: chance matches grow with a text."""
+    return round(10 * math.log1p(len((text or "").encode().split())))
+
+
 def counts(machine: Transducer, classify: Classifier, text: str | None) -> list[int]:
+    """Clauses with each kind of match."""
     n: dict = defaultdict(int)
     for found, _ in clauses(machine, classify, text):
-        for m in found:
+        for m in set(found):
             n[m] += 1
-    return [min(n[m], MOST_COUNTED) for m in MATCHES]
+    return [n[m] for m in MATCHES]
 
 
 @dataclass
 class Model:
-    stems: list[str]
+    stems: dict[str, int]
     weights: dict
     bias: float
+    a_length: float = 0.0
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED) -> DataFrame:
@@ -172,8 +181,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED)
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def learn_stems(rows: DataFrame) -> list[str]:
-    """Stems that mark toxic documents: counted by document, kept where the evidence against chance is high and four in five documents with it are toxic."""
+def learn_stems(rows: DataFrame) -> dict[str, int]:
+    """Stems that mark toxic documents: counted by document, kept where the share of toxic documents is that of DOUBTFUL or INSULT words and the evidence against chance is high enough.
+
+    exp(-evidence) bounds the chance of such a count from above; the least evidence is taken under which at most FALSE_STEMS of the stems kept would be there by chance (Benjamini and Hochberg's rule, in steps of a nat). All stems are tested, none is cut off by a number; how many there can be is bounded by the training rows.
+    """
     schema = T.StructType([T.StructField("stem", T.StringType()), T.StructField("bad", T.LongType()), T.StructField("good", T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,27 +208,38 @@ def learn_stems(rows: DataFrame) -> list[str]:
     totals = rows.agg(F.sum("toxic"), F.count("toxic")).first()
     bad, all_ = totals[0] or 0, totals[1]
     if not 0 < bad < all_:
-        return []
+        return {}
     base = bad / all_
     n = F.col("bad") + F.col("good")
     share = F.col("bad") / n
     less = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
     evidence = n * (share * F.log(share / base) + less)
-    found = rows.mapInArrow(count, schema).groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).where((F.col("bad") >= 3) & (share >= 0.8) & (evidence >= EVIDENCE))
-    return sorted(r["stem"] for r in found.orderBy(F.desc("bad"), "stem").limit(MOST_STEMS).collect())
+    counted = rows.mapInArrow(count, schema).groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    tested = materialize(counted.select("stem", "bad", F.when((F.col("bad") >= 3) & (share >= SHARES[0]), evidence).otherwise(0.0).alias("evidence"), F.when(share >= SHARES[1], INSULT).otherwise(DOUBTFUL).alias("kind")), "stems")
+    steps = sorted(((r["nats"], r["n"]) for r in tested.groupBy(F.floor("evidence").alias("nats")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    all_stems, kept, least = sum(n for _, n in steps), 0, None
+    for nats, n in steps:
+        kept += n
+        if nats > 0 and all_stems * math.exp(-nats) <= FALSE_STEMS * kept:
+            least = nats
+    rows_ = tested.where(F.col("evidence") >= least).orderBy("stem").collect() if least else []
+    bad_of = {r["stem"]: r["bad"] for r in rows_}
+    # a beginning that has hardly more toxic documents than a longer one of its own only adds chance matches
+    vague = {stem[:n] for stem in bad_of for n in range(4, len(stem)) if 10 * bad_of[stem] >= 9 * bad_of.get(stem[:n], math.inf)}
+    return {r["stem"]: r["kind"] for r in rows_ if r["stem"] not in vague}
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED) -> Model:
-    """Stems and weights from the training rows: logistic regression on the counts of matches, drawn toward prior(). Without labels of both kinds: the prior."""
+    """Stems and weights from the training rows: logistic regression on the clauses with each kind of match and on the length, drawn toward prior(). Without labels of both kinds: the prior."""
     rows = training_rows(docs, labels, most)
     stems = learn_stems(rows)
     machine = grammar(prior())
-    fields = [("counts", T.ArrayType(T.IntegerType()))]
-    counted = map_batches(rows, lambda classify, text: (counts(machine, classify, text),), ["text"], fields, setup=lambda: Classifier(stems)).groupBy("toxic", "counts").count().collect()
-    begin = np.array([prior()[m] for m in MATCHES] + [-3.0])
+    fields = [("counts", T.ArrayType(T.IntegerType())), ("size", T.IntegerType())]
+    counted = map_batches(rows, lambda classify, text: (counts(machine, classify, text), length(text)), ["text"], fields, setup=lambda: Classifier(stems)).groupBy("toxic", "counts", "size").count().collect()
+    begin = np.array([prior()[m] for m in MATCHES] + [0.0, -3.0])
     w = begin.copy()
     if counted:
-        x = np.array([[*r["counts"], 1] for r in counted], float)
+        x = np.array([[*r["counts"], r["size"] / 10, 1] for r in counted], float)
         y, times = np.array([r["toxic"] for r in counted], float), np.array([r["count"] for r in counted], float)
         hold = np.full(len(w), 1.0)
         for _ in range(50):
@@ -226,24 +249,19 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED) -> Model:
             w -= step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
             if np.abs(step).max() < 1e-8:
                 break
-    return Model(stems, dict(zip(MATCHES, map(float, w[:-1]), strict=True)), float(w[-1]))
+    return Model(stems, dict(zip(MATCHES, map(float, w[:-2]), strict=True)), float(w[-1]), float(w[-2]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Adds score (double, 0 to 1), predicted (int, 1 from 0.5) and clauses (int, those with a match) from the whole text alone.
 
-    Null and empty texts, and texts without a match, get the score of the bias. Repeated rows score alike. Columns of these names are replaced.
+    Null and empty texts, and texts without a match, get the score of the bias and their length. Repeated rows score alike. An empty table gives no rows. Very long texts are read whole, word by word. Columns of these names are replaced, all others stay.
     """
     machine = grammar(model.weights)
 
     def one(classify: Classifier, text: str | None) -> tuple[float, int, int]:
         found = list(clauses(machine, classify, text))
-        kept: dict = defaultdict(int)
-        total = model.bias
-        for matches, _ in found:
-            for m in matches:
-                kept[m] += 1
-                total += model.weights[m] if kept[m] <= MOST_COUNTED else 0.0
+        total = model.bias + model.a_length * length(text) / 10 + sum(of_clause for _, of_clause in found)
         p = 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
         return p, int(p >= 0.5), len(found)
 
