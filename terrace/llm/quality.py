@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD
+from .common import WORD, fresh
 
 #: What each rule measures: a share from 0 to 1 of which more is worse.
 RULES = ("symbols", "dup_lines", "repeats", "upper")
@@ -20,35 +22,37 @@ def measure(docs: DataFrame) -> DataFrame:
     Windows of three words are compared by hash and position, packed into one number and sorted; neighbours of equal hash are then compared word by word.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    words, grams, n = F.col("__words"), F.col("__grams"), F.size("__words")
+    # columns in between, under names that docs has not
+    w_, l_, b_, m_, g_, s_ = fresh(docs, "__words", "__lines", "__bits", "__mask", "__grams", "__spots")
+    words, grams, n = F.col(w_), F.col(g_), F.size(w_)
     at = lambda i: F.get(words, i)
-    bits = F.col("__bits")
-    place = lambda x: x.bitwiseAND(F.col("__mask")).cast("int")
+    bits = F.col(b_)
+    place = lambda x: x.bitwiseAND(F.col(m_)).cast("int")
     high = lambda x: F.call_function("shiftright", x, bits)
     alike = lambda x, y: (high(x) == high(y)) & (at(place(x)) == at(place(y))) & (at(place(x) + 1) == at(place(y) + 1)) & (at(place(x) + 2) == at(place(y) + 2))
     packed = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.call_function("shiftleft", F.xxhash64(at(i), at(i + 1), at(i + 2)), bits).bitwiseOR(i.cast("long")))
     twice = F.filter(grams, lambda x, k: F.coalesce(alike(x, F.get(grams, k + 1)), F.lit(False)) | ((k > 0) & F.coalesce(alike(x, F.get(grams, F.greatest(k - 1, F.lit(0)))), F.lit(False))))
     spots = F.array_sort(F.transform(twice, place))
-    covered = F.aggregate(F.col("__spots"), F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")))["n"]
+    covered = F.aggregate(F.col(s_), F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")))["n"]
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    out = docs.withColumns({"__words": F.regexp_extract_all(text, F.lit(WORD), 0), "__lines": lines})
-    out = out.withColumn("__bits", F.ceil(F.log2(n + 2)).cast("int")).withColumn("__mask", F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
-    out = out.withColumn("__grams", F.when(n >= 3, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
-    out = out.withColumn("__spots", spots)
+    out = docs.withColumns({w_: F.regexp_extract_all(text, F.lit(WORD), 0), l_: lines})
+    out = out.withColumn(b_, F.ceil(F.log2(n + 2)).cast("int")).withColumn(m_, F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+    out = out.withColumn(g_, F.when(n >= 3, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
+    out = out.withColumn(s_, spots)
     left = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
     out = out.withColumns(
         {
             "n_words": n.cast("long"),
             "word_chars": F.length(F.array_join(words, "")).cast("long"),
             "n_symbols": (F.length(text) - left(r"[#*$%&|<>]+")).cast("long"),
-            "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+            "n_dup_lines": (F.size(l_) - F.size(F.array_distinct(l_))).cast("long"),
             "n_repeat_words": covered.cast("long"),
-            "n_lines": F.size("__lines").cast("long"),
+            "n_lines": F.size(l_).cast("long"),
             "n_upper": (F.length(text) - left(r"\p{Lu}+")).cast("long"),
         }
     )
     out = out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return out.drop("__words", "__lines", "__bits", "__mask", "__grams", "__spots")
+    return out.drop(w_, l_, b_, m_, g_, s_)
 
 
 def shares() -> dict[str, Column]:
@@ -66,8 +70,8 @@ def log_factorial(m: Column) -> Column:
     return F.when(m <= 20, F.log(F.factorial(F.least(m, F.lit(20)).cast("int")).cast("double"))).otherwise((x - 0.5) * F.log(x) - x + 0.9189385332046727 + series)
 
 
-def binomial_at_most(k: Column, n: Column, p: float, terms: int = 2000) -> Column:
-    """P(at most k of n), each with chance p, from above: terms from k down, and a geometric bound for what is left. 1 where k is at or over the mean."""
+def binomial_at_most(k: Column, n: Column, p: float, terms: int = 100_000) -> Column:
+    """P(at most k of n), each with chance p: exact for k up to terms; beyond, terms from k down and a geometric bound from above for what is left, which errs on the safe side. 1 where k is at or over the mean."""
     top = F.exp(log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * F.log(F.lit(p)) + (n - k) * F.log(F.lit(1 - p)))
     ratio = lambda i: i.cast("double") / (n - i + 1) * ((1 - p) / p)
     steps = F.sequence(F.lit(0).cast("long"), F.least(k, F.lit(terms)))
@@ -77,34 +81,50 @@ def binomial_at_most(k: Column, n: Column, p: float, terms: int = 2000) -> Colum
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(F.lit(1.0), top * (summed["all"] + rest)))
 
 
+#: A stratum uses so many of the rules, each with that part of its risk: the least number that rejects nearly all bad documents that any does.
+PARTS = (1, 2, 4)
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.04, error: float = 0.05, enough: float = 0.98) -> DataFrame:
-    """stratum and, for each rule, the largest bin that is kept: cutoffs under which, with confidence 1 - error over all strata and rules, at most risk of a stratum's good documents are rejected.
+    """stratum and, for each rule, the largest bin that is kept: cutoffs under which, with confidence 1 - error over all strata, at most risk of a stratum's good documents are rejected.
 
-    Holdout: the rows of measured that labels mark (quality 1: good) and the base rules keep; a document labelled more than once counts by its least label. Each rule has an equal part of risk, each pair of stratum and rule an equal part of error (Bonferroni). Within a pair, cutoffs are tested from the mildest on, each only if those before it hold, so the steps need no further correction: a cutoff holds if a false rejection rate of its part of risk would show so few rejected good documents with a chance of at most its part of error (exact binomial). Of the cutoffs that hold, the mildest is taken that rejects at least `enough` of the bad documents that the strictest rejects.
+    Holdout: the rows of measured that labels mark (quality 1: good) and the base rules keep; a document labelled more than once counts by its least label. A stratum may use its best rule with the whole risk, its two best with half of it each, or all with a quarter each; so a stratum of a few hundred labels can have a cutoff, where a quarter of the risk would not show. Each triple of stratum, rule and part has an equal share of error (Bonferroni), so the choice needs no further correction. Within a triple, cutoffs are tested from the mildest on, each only if those before it hold: a cutoff holds if a false rejection rate of its part of risk would show so few rejected good documents with a chance of at most its share of error (exact binomial). Of the cutoffs that hold, the mildest is taken that rejects at least `enough` of the bad documents that the strictest rejects.
     measured should be a written table (materialize): its columns are used many times over.
-    A stratum with too few labels has no cutoff and loses no document. All that is gathered is a count for each stratum, rule and bin.
+    A stratum with too few labels has no cutoff and loses no document; an empty table has no strata. All that is gathered is a count for each stratum, rule and bin.
     """
-    marked = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("__quality"))
-    held = measured.where(~F.col("base_failed")).select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.array(*[F.struct(F.lit(r).alias("rule"), bin_of(s).alias("bin")) for r, s in shares().items()]).alias("found")).join(marked, "doc_id")
-    counts = held.select("stratum", "__quality", F.explode("found").alias("f")).groupBy("stratum", "f.rule", "f.bin").agg(F.count_if(F.col("__quality") == 1).alias("good"), F.count_if(F.col("__quality") == 0).alias("bad"))
+    marked = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("marked_id")).agg(F.min("quality").alias("marked"))
+    held = measured.where(~F.col("base_failed")).select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("of"), F.array(*[F.struct(F.lit(r).alias("rule"), bin_of(s).alias("bin")) for r, s in shares().items()]).alias("found")).join(marked, F.col("doc_id") == F.col("marked_id"))
+    counts = held.select("of", "marked", F.explode("found").alias("f")).groupBy(F.col("of").alias("stratum"), "f.rule", "f.bin").agg(F.count_if(F.col("marked") == 1).alias("good"), F.count_if(F.col("marked") == 0).alias("bad"))
     pair = Window.partitionBy("stratum", "rule")
     above = pair.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
     strata = counts.agg(F.count_distinct("stratum").alias("strata"))
-    p = risk / len(RULES)
     steps = counts.crossJoin(F.broadcast(strata)).select("stratum", "rule", "bin", "strata", F.coalesce(F.sum("good").over(above), F.lit(0)).alias("k"), F.sum("good").over(pair).alias("n"), F.coalesce(F.sum("bad").over(above), F.lit(0)).alias("caught"))
-    tested = steps.withColumn("holds", binomial_at_most(F.col("k"), F.col("n"), p) <= F.lit(error) / (F.col("strata") * len(RULES)))
-    held_on = F.min(F.col("holds").cast("int")).over(pair.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)) == 1
+    chance = F.array(*[F.struct(F.lit(j).alias("parts"), binomial_at_most(F.col("k"), F.col("n"), risk / j).alias("p")) for j in PARTS])
+    tested = steps.select("*", F.explode(chance).alias("t")).select("*", F.col("t.parts").alias("parts"), (F.col("t.p") <= F.lit(error) / (F.col("strata") * len(RULES) * len(PARTS))).alias("holds"))
+    triple = Window.partitionBy("stratum", "parts", "rule")
+    held_on = F.min(F.col("holds").cast("int")).over(triple.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)) == 1
     allowed = tested.withColumn("holds", held_on).where("holds")
-    best = allowed.withColumn("most", F.max("caught").over(pair)).where((F.col("caught") >= enough * F.col("most")) & (F.col("most") > 0))
-    return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("bin"))).alias(f"cut_{r}") for r in RULES])
+    mildest = allowed.withColumn("most", F.max("caught").over(triple)).where((F.col("caught") >= enough * F.col("most")) & (F.col("most") > 0))
+    by_rule = mildest.groupBy("stratum", "parts", "rule").agg(F.max("bin").alias("bin"), F.first("most").alias("most"))
+    best = by_rule.withColumn("place", F.row_number().over(Window.partitionBy("stratum", "parts").orderBy(F.desc("most"), "rule"))).where(F.col("place") <= F.col("parts"))
+    chosen = best.groupBy("stratum", "parts").agg(*[F.max(F.when(F.col("rule") == r, F.col("bin"))).alias(f"cut_{r}") for r in RULES])
+    # what the rules of each choice reject together
+    over = functools.reduce(Column.__or__, [F.coalesce(F.get("found", F.lit(i))["bin"] > F.col(f"cut_{r}"), F.lit(False)) for i, r in enumerate(shares())])
+    together = held.where("marked = 0").join(chosen, F.col("of") == F.col("stratum")).groupBy("stratum", "parts").agg(F.count_if(over).alias("together"))
+    most = Window.partitionBy("stratum")
+    fewest = together.withColumn("most", F.max("together").over(most)).where(F.col("together") >= enough * F.col("most")).groupBy("stratum").agg(F.min("parts").alias("parts"))
+    return chosen.join(fewest, ["stratum", "parts"]).select("stratum", *[f"cut_{r}" for r in RULES])
 
 
 def judge(measured: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataFrame:
-    """Adds kept: false if base_failed, or if a share lies in a bin above the cutoff of the row's stratum. Strata without a cutoff (unlabelled ones, too few labels): true."""
-    sent = F.broadcast(limits) if limits.count() <= MOST_STRATA_SENT else limits
+    """Adds kept (a column of that name is replaced, all others stay): false if base_failed, or if a share lies in a bin above the cutoff of the row's stratum. Strata without a cutoff (unlabelled ones, too few labels): true. An empty table gives no rows."""
+    names = fresh(measured, *[f"__{c}" for c in limits.columns])
+    named = limits.select(*[F.col(c).alias(n) for c, n in zip(limits.columns, names, strict=True)])
+    of = dict(zip(limits.columns, names, strict=True))
+    sent = F.broadcast(named) if limits.count() <= MOST_STRATA_SENT else named
     key = F.coalesce(F.col(stratum).cast("string"), F.lit(""))
     rejected = None
     for rule, share in shares().items():
-        over = F.coalesce(bin_of(share) > F.col(f"cut_{rule}"), F.lit(False))
+        over = F.coalesce(bin_of(share) > F.col(of[f"cut_{rule}"]), F.lit(False))
         rejected = over if rejected is None else rejected | over
-    return measured.join(sent, key == F.col("stratum"), "left").withColumn("kept", ~F.col("base_failed") & ~rejected).drop("stratum", *[f"cut_{r}" for r in RULES])
+    return measured.join(sent, key == F.col(of["stratum"]), "left").withColumn("kept", ~F.col("base_failed") & ~rejected).drop(*names)
