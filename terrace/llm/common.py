@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 import weakref
@@ -92,6 +93,12 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for k in itertools.count() if (n := f"{name}{k or ''}").lower() not in taken) for name in names]
+
+
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

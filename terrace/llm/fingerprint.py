@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD
+from .common import WORD, fresh
 
 WIDTH, K = 5, 128
 HASH_BITS = 48
@@ -19,10 +19,11 @@ def with_sketch(df: DataFrame, text: str, out: str, k: int = K) -> DataFrame:
     Blanks before and after a text stand for missing words, so short texts have windows too. A null or empty text has the blank window alone.
     """
     blank = F.array_repeat(F.lit(""), WIDTH - 1)
-    df = df.withColumn("__w", F.concat(blank, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), 0), blank))
-    w = F.col("__w")
+    (held,) = fresh(df, "__w")
+    df = df.withColumn(held, F.concat(blank, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), 0), blank))
+    w = F.col(held)
     hashes = F.transform(F.sequence(F.lit(0), F.size(w) - WIDTH), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(WIDTH)]).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
-    return df.withColumn(out, F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)).drop("__w")
+    return df.withColumn(out, F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)).drop(held)
 
 
 def merge(a: Column, b: Column, k: int = K) -> Column:

@@ -173,13 +173,16 @@ def write(docs: DataFrame, tokenizer: str, cut: str, end_id: int, folder: str, s
 
 
 def read(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
-    """doc_id, start (ids of all entries before it), n_tokens and ids (binary, little-endian unsigned 32-bit) of every entry, read from the shards that the manifest lists."""
+    """doc_id, start (ids of all entries before it), n_tokens and ids (binary, little-endian unsigned 32-bit) of every entry, read from the shards that the manifest lists. An empty manifest: no rows."""
     order = Window.orderBy("part")
     totals = manifest.groupBy("part").agg(F.sum("ids").alias("n")).select("part", (F.sum("n").over(order) - F.col("n")).alias("base"))
     inside = F.sum("ids").over(Window.partitionBy("part").orderBy("shard")) - F.col("ids")
     place = manifest.withColumn("inside", inside).join(totals, "part").select(F.element_at(F.split("path", "/"), -1).alias("name"), (F.col("base") + F.col("inside")).alias("base"))
     if manifest.count() <= MOST_PARTS_SENT // 10:
         place = F.broadcast(place)
+    # of an empty table no task made the folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     files = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").join(place, "name").select("name", "base", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,10 +11,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import map_batches, materialize, slices
+from .common import fresh, map_batches, materialize, slices
 
 #: A unit of fewer words counts only together with its neighbours.
-LEAST_WORDS = 8
+LEAST_WORDS = 20
 LINE = re.compile(r"\S[^\n]*")
 SENTENCE = re.compile(r"(?=\S)[^\n]*?(?:[.!?]+(?=[ \t\n]|\Z)|[。！？]+)|\S[^\n]*")
 PARAGRAPH = re.compile(r"\S(?:[^\n]+\n?)*")
@@ -84,15 +84,16 @@ def dedup(docs: DataFrame, unit: str = "sentence", least: int = LEAST_WORDS) ->
     """The rows of docs with text cleaned and removed (array of start and end in the text as it was, in code points) added, n_removed beside it.
 
     Of runs of units with the same digest the one of the least doc_id stays, in a text the first; all others go, with the white space after them. Spans that overlap are one. Of a run that stays, a part can go that also lies in another run: each unit stays somewhere. Digests are grouped with a minimum that each task takes beforehand, so a run in a third of all texts is one row a task.
-    Null and empty texts, and rows with a null doc_id, stay as they are, with nothing removed. Rows that repeat an id have equal rank: what they have in common stays in each, and each is cut by its own text. The row of a text stays even if nothing of the text does. Columns named removed and n_removed are replaced.
+    Null and empty texts, and rows with a null doc_id, stay as they are, with nothing removed. Rows that repeat an id have equal rank: what they have in common stays in each, and each is cut by its own text. The row of a text stays even if nothing of the text does. Columns named removed and n_removed are replaced, all others stay. An empty table gives no rows. A very long text is one row of its task; its cuts, a start and an end each, are gathered in one row too.
     """
     found = occurrences(docs, unit, least)
     first = found.where("not again").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
     later = found.where("not again").join(first, ["h1", "h2"]).where("doc_id > first").select("doc_id", "of", "start", "end")
     again = found.where("again").select("doc_id", "of", "start", "end")
-    cuts = later.union(again).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("of").alias("__of")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
     plain = docs.drop("removed", "n_removed")
-    joined = plain.join(cuts, (plain["doc_id"] == F.col("__id")) & (F.xxhash64(plain["text"]) == F.col("__of")), "left").drop("__id", "__of")
+    id_, of, spans_ = fresh(docs, "__id", "__of", "__cuts")
+    cuts = later.union(again).distinct().groupBy(F.col("doc_id").alias(id_), F.col("of").alias(of)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(spans_))
+    joined = plain.join(cuts, (plain["doc_id"] == F.col(id_)) & (F.xxhash64(plain["text"]) == F.col(of)), "left").drop(id_, of)
 
     def one(text: str | None, spans: list | None) -> tuple:
         if not spans or text is None:
@@ -114,4 +115,4 @@ def dedup(docs: DataFrame, unit: str = "sentence", least: int = LEAST_WORDS) ->
         return "".join(out), [{"start": a, "end": b} for a, b in gone], len(gone)
 
     fields = [("text", docs.schema["text"].dataType), ("removed", T.ArrayType(SPAN)), ("n_removed", T.LongType())]
-    return map_batches(joined, one, ["text", "__cuts"], fields).drop("__cuts")
+    return map_batches(joined, one, ["text", spans_], fields).drop(spans_)

@@ -89,6 +89,7 @@ def test_sorted_table(spark, odd, tmp_path):
             assert shard.find(i) == [x for k, x in expected if k == i and r["first_id"] <= k <= r["last_id"]] or i == 12
         assert shard.find(10**12) == []
     assert sorted_table.write(empty(spark), WORDS, "words", 2, folder + "0").count() == 0
+    assert sorted_table.digests(sorted_table.round_trip(empty(spark), WORDS)).count() == 0
 
 
 def test_packing(spark, odd):
@@ -126,6 +127,15 @@ def test_quality(spark, odd):
     measured = materialize(quality.measure(table), "t")
     judged = quality.judge(measured, quality.cutoffs(measured, labels))
     assert judged.count() == len(rows) and judged.where("kept and base_failed").count() == 0
+    # a brute-force version of every count, of the base rules and of the verdict
+    for i, t in more + [r for r in rows if r[0] not in (12, None)]:
+        w, lines = word.findall(t or ""), [line for line in (t or "").split("\n") if word.search(line)]
+        assert out[i]["n_symbols"] == sum(c in "#*$%&|<>" for c in t or "") and out[i]["n_dup_lines"] == len(lines) - len(set(lines)) and out[i]["n_lines"] == len(lines)
+        assert out[i]["base_failed"] == (len(w) < 50 or 100 * out[i]["n_repeat_words"] > 50 * len(w))
+    clash = table.withColumns({c: F.lit("x") for c in ("stratum", "cut_symbols", "__words", "__spots", "marked", "of", "__stratum")})
+    measured = materialize(quality.measure(clash), "t")
+    again = quality.judge(measured, quality.cutoffs(measured, labels))
+    assert again.columns == measured.columns and again.count() == len(rows) and again.where("__words = 'x' and stratum = 'x'").count() == len(rows)
     none = materialize(quality.measure(empty(spark)), "t")
     assert quality.judge(none, quality.cutoffs(none, labels)).count() == 0
 
@@ -140,6 +150,21 @@ def test_binomial_bound(spark):
         assert r["k"] >= r["n"] * 0.01 or abs(r["p"] - exact) < 1e-9
 
 
+def test_binomial_bound_beyond_its_terms(spark):
+    rows = spark.createDataFrame([(30, 5000)], "k long, n long")
+    exact, bound = rows.select(quality.binomial_at_most(F.col("k"), F.col("n"), 0.01), quality.binomial_at_most(F.col("k"), F.col("n"), 0.01, terms=8)).first()
+    assert exact <= bound < 1.3 * exact
+
+
+def test_small_strata_have_cutoffs(spark):
+    text = lambda i, mark: " ".join(f"{mark}{i}x{j}" for j in range(60))
+    good, junk = [(i, text(i, "g")) for i in range(300)], [(500 + i, text(i, "j") + " ###" * 20 ) for i in range(30)]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in junk], "doc_id long, quality int")
+    measured = materialize(quality.measure(docs(spark, good + junk)), "t")
+    kept = {r["doc_id"] for r in quality.judge(measured, quality.cutoffs(measured, labels)).where("kept").collect()}
+    assert kept == {i for i, _ in good}
+
+
 def test_cutoffs_hold_risk_and_catch_junk(spark):
     good = [(i, " ".join(f"g{i}x{j}" for j in range(60))) for i in range(1500)]
     junk = [(5000 + i, " ".join(f"j{i}x{j}###" for j in range(60))) for i in range(200)]
@@ -152,7 +177,7 @@ def test_cutoffs_hold_risk_and_catch_junk(spark):
 def test_toxicity(spark, odd):
     table, rows = odd
     machine = toxicity.grammar(toxicity.prior())
-    classify = toxicity.Classifier([])
+    classify = toxicity.Classifier({})
     seen = [m for found, _ in toxicity.clauses(machine, classify, rows[11][1]) for m in found]
     assert seen == [(toxicity.INSULT, 1, 1, 0), (toxicity.INSULT, 1, 0, 0)]
     # "he" is a target word: it marks up to four words on, and no further
@@ -164,12 +189,43 @@ def test_toxicity(spark, odd):
     assert toxicity.score(empty(spark), toxicity.fit(empty(spark), labels.limit(0))).count() == 0
 
 
+def test_toxicity_machine_is_the_grammar():
+    """The composed machine against each rule read word by word."""
+    rng = random.Random(7)
+    pool = {"idiot": toxicity.INSULT, "kill": toxicity.THREAT, "you": toxicity.TARGET, "not": toxicity.NEGATION, "said": toxicity.REPORT, "maybe": toxicity.DOUBTFUL, "word": toxicity.NONE, "other": toxicity.NONE}
+    machine, weights = toxicity.grammar(toxicity.prior()), toxicity.prior()
+    classify = toxicity.Classifier({"maybe$": toxicity.DOUBTFUL})
+    for _ in range(400):
+        words = [rng.choice(list(pool)) + rng.choice(["", "", "", ".", "!"]) for _ in range(rng.randint(1, 30))]
+        expected, clause = [], []
+        for w in [*words, None]:
+            if w is not None:
+                clause.append(pool[w.strip(".!")])
+            if clause and (w is None or w[-1] in ".!"):
+                found = []
+                for i, k in enumerate(clause):
+                    if k in toxicity.KINDS:
+                        found.append((k, int(toxicity.TARGET in clause[max(0, i - 4) : i]), int(toxicity.NEGATION in clause[max(0, i - 3) : i]), int(toxicity.REPORT in clause[:i])))
+                if found:
+                    expected.append((found, sum(weights[m] for m in set(found))))
+                clause = []
+        got = list(toxicity.clauses(machine, classify, " ".join(words)))
+        assert [f for f, _ in got] == [f for f, _ in expected]
+        assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(got, expected, strict=True))
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     out = queries.op1_toxicity(spark, folder).where("held_out").join(labels, "doc_id")
-    right = out.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
-    assert right > 0.97
+    right, caught = out.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")), F.avg(F.when(F.col("toxic") == 1, F.col("predicted")))).first()
+    assert right > 0.97 and caught > 0.86
+    # what the machine's weights tell apart counts: with all alike fewer are found
+    docs_, kinds = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"), toxicity.MATCHES
+    model = toxicity.fit(docs_, labels)
+    flat = toxicity.Model(model.stems, dict.fromkeys(kinds, sum(model.weights.values()) / len(kinds)), model.bias, model.a_length)
+    less = toxicity.score(docs_, flat).where(toxicity.held_out()).join(labels, "doc_id").agg(F.avg(F.when(F.col("toxic") == 1, F.col("predicted")))).first()[0]
+    assert less < caught - 0.05
 
 
 def test_ngram_join(spark, odd, monkeypatch):
@@ -273,6 +329,8 @@ def test_substring_dedup(spark, odd):
             rest[s["start"] : s["end"]] = [""] * (s["end"] - s["start"])
         assert "".join(rest) == (r["text"] or "")
     assert substring_dedup.dedup(empty(spark)).count() == 0
+    clash = table.withColumns({c: F.lit("x") for c in ("__id", "__of", "__cuts", "first", "h1")})
+    assert substring_dedup.dedup(clash).where("__id = 'x' and __cuts = 'x'").count() == len(rows)
     short = docs(spark, [(1, f"{PASSAGE} Yes. No. {PASSAGE}"), (2, f"Yes. Else here. {PASSAGE} Yes. No. End.")])
     second = {r["doc_id"]: r["text"] for r in substring_dedup.dedup(short).collect()}
     assert second[2] == "Yes. Else here. End." and second[1] == f"{PASSAGE} Yes. No. "
@@ -296,7 +354,7 @@ def test_substring_dedup_finds_short_units(spark):
     han = "我们把每一行文字都按原样处理。然后再看它的句子。"
     rows = [(1, f"{lead(1)} {passage} {lead(2)}"), (2, f"Short. {passage} End."), (3, f"{nine}\n{lead(3)}"), (4, f"{lead(4)}\n{nine}\nOh."), (5, f"甲乙丙。{han}"), (6, f"丁戊。{han}己庚。"), (7, f"{lead(7)} Tail one. And two."), (8, f"Oh. {lead(7)} Tail one. Other."), (9, "Ha. " * 20)]
     for unit in ("sentence", "line"):
-        out = {r["doc_id"]: r for r in substring_dedup.dedup(docs(spark, rows), unit).collect()}
+        out = {r["doc_id"]: r for r in substring_dedup.dedup(docs(spark, rows), unit, 8).collect()}
         assert all(out[i]["n_removed"] == 0 for i in (1, 3, 5, 7))
         assert out[4]["text"] == f"{lead(4)}\nOh." and out[4]["n_removed"] == 1
         if unit == "sentence":
@@ -307,7 +365,7 @@ def test_substring_dedup_finds_short_units(spark):
     rng = random.Random(8)
     pool = [" ".join(f"u{k}v{j}" for j in range(rng.randint(1, 10))) + "." for k in range(25)]
     many = [(i, [rng.randrange(25) for _ in range(rng.randint(1, 14))]) for i in range(40)]
-    out = {r["doc_id"]: r["text"] for r in substring_dedup.dedup(docs(spark, [(i, " ".join(pool[k] for k in ks)) for i, ks in many])).collect()}
+    out = {r["doc_id"]: r["text"] for r in substring_dedup.dedup(docs(spark, [(i, " ".join(pool[k] for k in ks)) for i, ks in many]), "sentence", 8).collect()}
     had: set = set()
     for i, ks in many:
         runs = [(a, b) for a in range(len(ks)) for b in range(a + 1, len(ks) + 1) if sum(len(pool[k].split()) for k in ks[a:b]) >= 8]
