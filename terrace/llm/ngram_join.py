@@ -17,7 +17,7 @@ from .tokens import Memo
 #: Words are counted in so many buckets; the counts (8 bytes each) are what tasks are sent.
 BUCKETS = 1 << 16
 #: A tile of the product has about so many rows on either side.
-BLOCK = 128
+BLOCK = 256
 #: Products of single entries that a tile works on at once.
 AT_ONCE = 1 << 20
 
@@ -307,7 +307,7 @@ def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id that links reach) for every row of docs.
 
     Two rows link when their shingle sets' overlap is at least percent of their union. Equal sets are one class, found by digest, and one row of the incidence matrix. The product of that matrix with itself is computed in blocks, and only where it can hold a link: rows that have one of their rarest grams in common stand in that gram's list, and a list is a square of the product.
-    First the row of each list's first class: what links to it is one component with it. Then, of the lists that still hold several components, the tiles of BLOCK by BLOCK classes, each with the classes only that bounds leave which follow from sizes, from the places of the gram in both rows and from sketches of a bit a gram. Overlaps are counted column by column inside a tile; pairs below the bound are never written, and of those above it only links that join components. So a group of c near copies costs about c rows, not c squared. Every link between classes is found or follows from those found.
+    First the row of each list's first class: what links to it is one component with it. Then, of the lists that still hold several components, the tiles of BLOCK by BLOCK classes whose rows are not all of that first component, each with the classes only that bounds leave which follow from sizes, from the places of the gram in both rows and from sketches of a bit a gram. Overlaps are counted column by column inside a tile; pairs below the bound are never written, and of those above it only links that join components. So a group of c near copies costs about c rows, not c squared. Every link between classes is found or follows from those found.
     Null and empty texts, and texts without words: n_shingles 0, component_id the row's own doc_id. Rows with a null id are returned with a null component and link to nothing. Rows that repeat an id are one document whose links are those of all its texts. A very long text is one row of 8 bytes a shingle; a tile holds about 2 * BLOCK rows. An empty table gives no rows. Other columns are left out, whatever their names.
     """
     found = signatures(docs, width, percent)
@@ -344,9 +344,14 @@ def link_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     discard(met, stars, wanted, grams, sized)
 
     placed = materialize(multi.join(near, "id", "left").select("g", "uid", "n", "at", is_first.alias("first"), "c", F.coalesce("component", "id").alias("component")), "placed")
-    apart = placed.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("g")
-    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    dealt = placed.where("c > 2").join(apart, "g", "left_semi").withColumn("block", F.pmod(F.xxhash64("uid"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    # In a list, rows of its first row's component (the main ones) need no tile with each other: rest meets rest, and rest meets main.
+    by = placed.groupBy("g", "component").agg(F.count(F.lit(1)).alias("rows"), F.max("first").alias("main"))
+    apart = by.groupBy("g").agg(F.sum("rows").alias("all"), F.max(F.when(F.col("main"), F.col("component"))).alias("main"), F.max(F.when(F.col("main"), F.col("rows"))).alias("n_main")).where("n_main < all and all > 2")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    met = placed.join(apart, "g").withColumns({"rest_blocks": blocks(F.col("all") - F.col("n_main")), "main_blocks": blocks(F.col("n_main"))})
+    is_main, some_block = F.col("component") == F.col("main"), lambda n: F.pmod(F.xxhash64("uid"), n).cast("int")
+    others = F.sequence(F.lit(0), F.col("rest_blocks") + F.when(is_main, 0).otherwise(F.col("main_blocks")) - 1)
+    dealt = met.withColumn("block", F.when(is_main, F.col("rest_blocks") + some_block(F.col("main_blocks"))).otherwise(some_block(F.col("rest_blocks")))).withColumn("other", F.explode(others))
     squares = dealt.select("g", F.least("block", "other").alias("ti"), F.greatest("block", "other").alias("tj"), "block", "uid", "n", "at", "component", "first")
     key = ["g", "ti", "tj"]
     looked = squares.join(sketch.drop("n"), "uid").repartition(tasks, *key).sortWithinPartitions(*key)

@@ -252,7 +252,7 @@ def test_ngram_join(spark, odd, monkeypatch):
     calls: list[int] = []
     shape = ngram_join.viable
     monkeypatch.setattr(ngram_join, "viable", lambda percent: calls.append(percent) or shape(percent))
-    for block in (5, 128):
+    for block in (5, 256):
         monkeypatch.setattr(ngram_join, "BLOCK", block)
         found = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(docs(spark, many), 3, 90).collect()}
         assert found == expected
