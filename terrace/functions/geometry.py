@@ -28,9 +28,41 @@ def ring_area(ring: Column) -> Column:
     return F.abs(F.aggregate(ring_edges(ring), F.lit(0.0), lambda a, e: a + e["x1"] * e["y2"] - e["x2"] * e["y1"])) / 2
 
 
+def holds(ring: Column, x: Column, y: Column) -> Column:
+    """Does the ring lie around the point, by the even-odd rule?"""
+    across = lambda e: e["x1"] + F.try_divide((y - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"]) <= x
+    return F.aggregate(ring_edges(ring), F.lit(False), lambda odd, e: odd != (((e["y1"] <= y) != (e["y2"] <= y)) & F.coalesce(across(e), F.lit(False))))
+
+
 def area(rings: Column) -> Column:
-    """Planar area, holes taken off."""
-    return F.aggregate(rings, F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("a")), lambda s, r: F.struct((s["i"] + 1).alias("i"), (s["a"] + F.when(s["i"] == 0, ring_area(r)).otherwise(-ring_area(r))).alias("a")))["a"]
+    """Planar area, holes taken off: a ring inside an odd number of others is a hole, so parts of a multipolygon add up."""
+    inside = lambda r: F.size(F.filter(rings, lambda other: (other != r) & holds(other, r[0]["x"], r[0]["y"])))
+    signed = lambda a, r: a + ring_area(r) * (1 - 2 * (inside(r) % 2))
+    return F.when(F.size(rings) == 1, ring_area(F.get(rings, F.lit(0)))).otherwise(F.aggregate(rings, F.lit(0.0), signed))
+
+
+def meets_box(rings: Column, min_x: float, min_y: float, max_x: float, max_y: float) -> Column:
+    """Has the polygon a point in the box: a corner of its own in there, an edge through it, or the box inside the polygon?"""
+    corner = lambda p: (p["x"] >= min_x) & (p["x"] <= max_x) & (p["y"] >= min_y) & (p["y"] <= max_y)
+    side = lambda e, x, y: (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+
+    def through(e: Column) -> Column:
+        sides = [side(e, F.lit(float(x)), F.lit(float(y))) for x in (min_x, max_x) for y in (min_y, max_y)]
+        near = (F.greatest(e["x1"], e["x2"]) >= min_x) & (F.least(e["x1"], e["x2"]) <= max_x) & (F.greatest(e["y1"], e["y2"]) >= min_y) & (F.least(e["y1"], e["y2"]) <= max_y)
+        return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    around = F.aggregate(rings, F.lit(False), lambda odd, r: odd != holds(r, F.lit(float(min_x)), F.lit(float(min_y))))
+    return F.exists(F.flatten(rings), corner) | F.exists(edges(rings), through) | around
+
+
+def reproject(rings: Column, onto=None) -> Column:
+    """Longitudes and latitudes, in degrees, of all points onto a plane (the Albers projection if none is given)."""
+
+    def moved(p: Column) -> Column:
+        x, y = (onto or albers)(p["x"], p["y"])
+        return point(x, y)
+
+    return F.transform(rings, lambda r: F.transform(r, moved))
 
 
 def acres(rings: Column) -> Column:

@@ -1,4 +1,7 @@
-"""Which cells a polygon covers, and how much of each: scanline spans over an edge table."""
+"""Which cells a polygon covers, and how much of each: scanline spans over an edge table.
+
+Edges are dealt out once, by zone and band of rows; crossings, spans and cells of a zone's band are then grouped where they are, without another shuffle. A zone of any size is spread over its bands.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import Grid
 from ..functions.geometry import edges
 
+#: Rows of cells in a band.
+BAND = 256
+
 
 def edge_table(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
     """zone, n and edges in raster space (y down, origin at the corner)."""
@@ -16,7 +22,7 @@ def edge_table(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
 
 
 def spans(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
-    """zone, n, r (sub-row), a and b: runs [a, b) of sub-cells whose centres lie inside, by the even-odd rule; an edge counts to the right of it.
+    """zone, n, band, r (sub-row), a and b: runs [a, b) of sub-cells whose centres lie inside, by the even-odd rule; an edge counts to the right of it.
 
     Coordinates are scaled by 2n, so centres of sub-cells are odd multiples of the cell size and whole-number input stays exact.
     """
@@ -27,13 +33,15 @@ def spans(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
     # rows r with ya <= s(2r+1) < yb
     first = F.greatest(F.ceil((F.col("ya") - s) / (2 * s)), F.lit(0))
     last = F.least(F.ceil((F.col("yb") - s) / (2 * s)) - 1, F.lit(grid.height) * F.col("n") - 1)
-    rows = scaled.withColumns({"r0": first, "r1": last}).where("r0 <= r1").withColumn("r", F.explode(F.sequence("r0", "r1")))
+    per = F.col("n") * BAND
+    banded = scaled.withColumns({"r0": first, "r1": last}).where("r0 <= r1").withColumn("band", F.explode(F.sequence(F.floor(F.col("r0") / per), F.floor(F.col("r1") / per)))).repartition("zone", "band")
+    rows = banded.withColumn("r", F.explode(F.sequence(F.greatest(F.col("r0"), F.col("band") * per), F.least(F.col("r1"), (F.col("band") + 1) * per - 1))))
     d = F.col("yb") - F.col("ya")
     num = F.col("xa") * d + (s * (2 * F.col("r") + 1) - F.col("ya")) * (F.col("xb") - F.col("xa"))
     k = F.ceil((num - s * d) / (2 * s * d))
-    crossed = rows.select("zone", "n", "r", k.alias("k")).groupBy("zone", "n", "r").agg(F.array_sort(F.collect_list("k")).alias("ks"))
+    crossed = rows.select("zone", "n", "band", "r", k.alias("k")).groupBy("zone", "n", "band", "r").agg(F.array_sort(F.collect_list("k")).alias("ks"))
     pairs = F.transform(F.sequence(F.lit(0), (F.size("ks") / 2).cast("int") - 1), lambda i: F.struct(F.greatest(F.get("ks", 2 * i), F.lit(0)).alias("a"), F.least(F.get("ks", 2 * i + 1), F.lit(grid.width) * F.col("n")).alias("b")))
-    return crossed.where("size(ks) >= 2").select("zone", "n", "r", F.explode(pairs).alias("p")).select("zone", "n", "r", "p.a", "p.b").where("a < b")
+    return crossed.where("size(ks) >= 2").select("zone", "n", "band", "r", F.explode(pairs).alias("p")).select("zone", "n", "band", "r", "p.a", "p.b").where("a < b")
 
 
 def cover(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
@@ -41,11 +49,12 @@ def cover(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
     n_ = F.col("n")
     cells = spans(parcels, grid, n).withColumn("col", F.explode(F.sequence(F.floor(F.col("a") / n_), F.floor((F.col("b") - 1) / n_))))
     hits = F.least(F.col("b"), (F.col("col") + 1) * n_) - F.greatest(F.col("a"), F.col("col") * n_)
-    return cells.select("zone", "n", F.floor(F.col("r") / n_).alias("row"), "col", hits.alias("hits")).groupBy("zone", "n", "row", "col").agg(F.sum("hits").alias("hits"))
+    found = cells.select("zone", "n", "band", F.floor(F.col("r") / n_).alias("row"), "col", hits.alias("hits")).groupBy("zone", "n", "band", "row", "col").agg(F.sum("hits").alias("hits"))
+    return found.drop("band")
 
 
 def touched(parcels: DataFrame, grid: Grid) -> DataFrame:
-    """zone, row, col of the cells whose centre the zone covers or that one of its edges passes; a point belongs to the cell right of and below it."""
+    """zone, row, col and centre (is the cell's centre covered?) of the cells whose centre the zone covers or that one of its edges passes; a point belongs to the cell right of and below it."""
     s = grid.cell
     e = edge_table(parcels, grid, F.lit(1))
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
@@ -57,5 +66,5 @@ def touched(parcels: DataFrame, grid: Grid) -> DataFrame:
     cb = F.when(flat, F.floor(F.col("x2") / s)).otherwise(at(bottom))
     ranged = rows.withColumns({"ca": ca, "cb": cb}).select("zone", "row", F.greatest(F.least("ca", "cb"), F.lit(0)).alias("c0"), F.least(F.greatest("ca", "cb"), F.lit(grid.width - 1)).alias("c1")).where("c0 <= c1")
     passed = ranged.select("zone", "row", F.explode(F.sequence("c0", "c1")).alias("col"))
-    inside = cover(parcels, grid, F.lit(1)).select("zone", "row", "col")
-    return inside.union(passed).distinct()
+    inside = cover(parcels, grid, F.lit(1)).select("zone", "row", "col", F.lit(True).alias("centre"))
+    return inside.union(passed.withColumn("centre", F.lit(False))).groupBy("zone", "row", "col").agg(F.max("centre").alias("centre"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.geometry import area, self_crossing, with_bounds
+from ..config import Settings
+from ..functions.geometry import area, meets_box, self_crossing, with_bounds
 
 
 def require(df: DataFrame, *names: str) -> DataFrame:
@@ -26,8 +27,22 @@ def drop_empty(df: DataFrame) -> DataFrame:
 
 
 def clip(df: DataFrame, min_x: float, min_y: float, max_x: float, max_y: float) -> DataFrame:
-    """Rows whose bounds meet the box; geometries stay whole. Exact for zones that fill their bounds near the box; a box test beforehand otherwise."""
-    return with_bounds(df).where((F.col("max_x") >= min_x) & (F.col("min_x") <= max_x) & (F.col("max_y") >= min_y) & (F.col("min_y") <= max_y))
+    """Rows whose polygon meets the box: bounds first, then the exact test. Geometries stay whole."""
+    near = with_bounds(df).where((F.col("max_x") >= min_x) & (F.col("min_x") <= max_x) & (F.col("max_y") >= min_y) & (F.col("min_y") <= max_y))
+    return near.where(meets_box(F.col("rings"), min_x, min_y, max_x, max_y))
+
+
+def repair(df: DataFrame) -> DataFrame:
+    """Repeated neighbouring points go, then rings of fewer than three, then zones without a ring. What crosses itself stays: coverage fills it by the even-odd rule."""
+    again = lambda r: F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, F.greatest(i - 1, F.lit(0)))))
+    rings = F.filter(F.transform("rings", again), lambda r: F.size(r) >= 3)
+    return drop_empty(df.withColumn("rings", rings))
+
+
+def statistics(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: validity counts of the zones before preparation, and how many there were, are left and were removed."""
+    n = before.agg(F.count(F.lit(1)).alias("n_before")).crossJoin(after.agg(F.count(F.lit(1)).alias("n_after")))
+    return validity(before).crossJoin(n).withColumn("n_removed", F.col("n_before") - F.col("n_after"))
 
 
 def filter_by_area(df: DataFrame, least: float, most: float | None = None) -> DataFrame:
@@ -41,8 +56,9 @@ def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("__r", F.row_number().over(first)).where("__r = 1").drop("__r")
 
 
-def numbered(df: DataFrame, order: str, ranges: int = 64) -> DataFrame:
+def numbered(df: DataFrame, order: str, rows_a_range: int = 500_000) -> DataFrame:
     """processing_id from 0 in the order of a numeric column, without one task for all rows: ranges of the order are counted, their counts summed, and each row numbered within its range."""
+    ranges = min(1_000, max(8, df.count() // rows_a_range))
     bounds = df.agg(F.percentile_approx(order, [i / ranges for i in range(1, ranges)], 10_000)).first()[0] or []
     bounds = sorted(set(bounds))
     bucket = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order))) if bounds else F.lit(0)
@@ -50,7 +66,7 @@ def numbered(df: DataFrame, order: str, ranges: int = 64) -> DataFrame:
     counts = rows.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
     base = counts.select("__b", (F.sum("__n").over(Window.orderBy("__b")) - F.col("__n")).alias("__base"))
     inside = F.row_number().over(Window.partitionBy("__b").orderBy(order)) - 1
-    return rows.withColumn("__i", inside).join(F.broadcast(base), "__b").withColumn("processing_id", (F.col("__base") + F.col("__i")).cast("long")).drop("__b", "__i", "__base")
+    return rows.withColumn("__i", inside).join(base, "__b").withColumn("processing_id", (F.col("__base") + F.col("__i")).cast("long")).drop("__b", "__i", "__base")
 
 
 def count_chunks(df: DataFrame, size: int) -> DataFrame:
@@ -68,31 +84,45 @@ def grid_chunks(df: DataFrame, size: int) -> DataFrame:
     low = lambda c, a, b: F.least(F.greatest(F.ceil((F.col(c) - F.col(a)) / step(a, b)) - 1, F.lit(0)), F.col("side") - 1)
     cells = rows.withColumn("i", F.explode(F.sequence(low("min_x", "bx0", "bx1"), cell("max_x", "bx0", "bx1")))).withColumn("j", F.explode(F.sequence(low("min_y", "by0", "by1"), cell("max_y", "by0", "by1"))))
     ids = cells.select("i", "j").distinct().withColumn("chunk_id", F.row_number().over(Window.orderBy("i", "j")) - 1)
-    return cells.join(F.broadcast(ids), ["i", "j"])
+    return cells.join(ids, ["i", "j"])
 
 
-def merge_chunks(sizes: list[tuple[int, int]], least: int, most: int) -> list[tuple[int, int, int]]:
-    """(chunk, first new id, parts): cells over `most` are split, those under `least` join the one before. The list has a row a cell, not a row a zone."""
-    out, at = [], -1
-    for chunk, n in sizes:
-        if n < least and at >= 0:
-            out.append((chunk, at, 1))
-            continue
-        parts = -(-n // most) if n > most else 1
-        out.append((chunk, at + 1, parts))
-        at += parts
-    return out
+def hybrid_plan(sizes: DataFrame, least: int, most: int) -> DataFrame:
+    """chunk_id, base and parts, from a row for each grid cell (chunk_id, n): cells over `most` are split into parts, those under `least` join the one before, the first excepted. Running sums over the cells, of which there is one for many zones."""
+    order = Window.orderBy("chunk_id")
+    own = (F.row_number().over(order) == 1) | (F.col("n") >= least)
+    parts = F.when(own & (F.col("n") > most), F.ceil(F.col("n") / most)).otherwise(1)
+    rows = sizes.withColumns({"own": own, "parts": parts})
+    last = F.sum(F.when(F.col("own"), F.col("parts")).otherwise(0)).over(order) - 1
+    return rows.withColumn("last", last).select("chunk_id", F.when(F.col("own"), F.col("last") - F.col("parts") + 1).otherwise(F.col("last")).alias("base"), "parts")
 
 
 def hybrid_chunks(df: DataFrame, size: int, least: int, most: int, order: str) -> DataFrame:
     cells = grid_chunks(df, size)
-    sizes = sorted((r["chunk_id"], r["n"]) for r in cells.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).collect())
-    plan = df.sparkSession.createDataFrame(merge_chunks(sizes, least, most), "chunk_id int, base int, parts int")
+    plan = hybrid_plan(cells.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")), least, most)
     place = F.floor((F.row_number().over(Window.partitionBy("chunk_id").orderBy(order)) - 1) / most)
-    placed = cells.withColumn("part", place).join(F.broadcast(plan), "chunk_id")
+    placed = cells.withColumn("part", place).join(plan, "chunk_id")
     return placed.withColumn("chunk_id", F.col("base") + F.when(F.col("parts") > 1, F.col("part")).otherwise(0)).drop("base", "parts", "part")
 
 
+def chunks(df: DataFrame, strategy: str = "count", settings: Settings | None = None) -> DataFrame:
+    """chunk_id by strategy: count (zones in the order of processing_id), spatial (grid) or hybrid."""
+    s = settings or Settings()
+    if strategy == "count":
+        return count_chunks(df, s.chunk_size)
+    if strategy == "spatial":
+        return grid_chunks(df, s.chunk_size)
+    if strategy == "hybrid":
+        return hybrid_chunks(df, s.chunk_size, s.min_chunk, s.max_chunk, "PARCEL_LID")
+    raise ValueError(f"unknown strategy: {strategy}")
+
+
+def chunk_order(df: DataFrame) -> DataFrame:
+    """chunk_id, the centre of its zones' bounds (cx, cy), and place: chunks from west to east, then by y. A row for each chunk."""
+    box = with_bounds(df).groupBy("chunk_id").agg(((F.min("min_x") + F.max("max_x")) / 2).alias("cx"), ((F.min("min_y") + F.max("max_y")) / 2).alias("cy"))
+    return box.withColumn("place", F.row_number().over(Window.orderBy("cx", "cy", "chunk_id")) - 1)
+
+
 def pending(all_ids: DataFrame, done: DataFrame) -> DataFrame:
     return all_ids.join(done, "chunk_id", "left_anti")
 
@@ -122,4 +152,6 @@ def boxes_join(zones: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
     left = cells(zones, "min_x", "max_x", "min_y", "max_y")
     right = cells(boxes, "c_min_x", "c_max_x", "c_min_y", "c_max_y")
     met = left.join(right, ["gx", "gy"]).where((F.col("max_x") >= F.col("c_min_x")) & (F.col("min_x") <= F.col("c_max_x")) & (F.col("max_y") >= F.col("c_min_y")) & (F.col("min_y") <= F.col("c_max_y")))
-    return met.drop("gx", "gy").dropDuplicates(["zone", "NAME"])
+    # a pair that meets in several cells stays in the one that holds the lower corner of what both have in common
+    corner = lambda a, b: F.floor(F.greatest(a, b) / cell)
+    return met.where((F.col("gx") == corner("min_x", "c_min_x")) & (F.col("gy") == corner("min_y", "c_min_y"))).drop("gx", "gy")

@@ -7,20 +7,21 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..config import Settings
-from . import analysis
+from ..config import PERCENTS, Settings
+from ..functions import wkb
 
 FORMATS = ("parquet", "geojson", "csv")
 
 
 def save(rows: DataFrame, folder: str, fmt: str = "parquet", settings: Settings | None = None) -> str:
-    """Writes into a folder named by time and format; returns its path. GeoJSON: one feature a line. CSV: without geometry."""
+    """Writes into a folder named by time and format; returns its path. Parquet: rings as well-known binary in a column geometry. GeoJSON: one feature a line. CSV: without geometry."""
     if fmt not in FORMATS:
         raise ValueError(f"unknown format: {fmt}")
     path = f"{folder}/zone_results_{datetime.now(UTC):%Y%m%d_%H%M%S_%f}.{fmt}"
     plain = rows.drop("rings", "geometry")
     if fmt == "parquet":
-        rows.write.option("compression", (settings or Settings()).compression).parquet(path)
+        shaped = rows.withColumn("geometry", wkb.encode(F.col("rings"))).drop("rings") if "rings" in rows.columns else rows
+        shaped.write.option("compression", (settings or Settings()).compression).parquet(path)
     elif fmt == "csv":
         plain.write.option("header", True).csv(path)
     else:
@@ -33,13 +34,29 @@ def save(rows: DataFrame, folder: str, fmt: str = "parquet", settings: Settings
 
 def summary(rows: DataFrame) -> dict:
     """Counts and means of validated results, as numbers."""
-    one = {**analysis.pixel_statistics(rows).first().asDict(), **analysis.validation_statistics(rows).first().asDict()}
-    shares = {r["majority_land_use"]: {"n": r["n"], "pct": r["pct"]} for r in analysis.majority_distribution(rows).collect()}
-    return {"made": datetime.now(UTC).isoformat(), "parcels": rows.count(), "distribution": shares, "average": analysis.average_proportions(rows).first().asDict(), **one}
-
-
-def report(found: dict) -> str:
-    lines = [f"Parcels: {found['parcels']}", f"Valid: {found['n_valid']} ({found['valid_pct']} %)", "", "Majority class:"]
+    # a row for each class, from which the whole follows: one job over rows
+    sums = [F.sum(p).alias(p) for p in PERCENTS]
+    each = rows.groupBy("majority_land_use").agg(F.count(F.lit(1)).alias("n"), F.sum("total_pixels").alias("pixels"), F.count_if(F.col("valid_pixels") == 0).alias("n_without"), F.count_if("is_valid").alias("n_valid"), *sums).collect()
+    total = {k: sum(r[k] or 0 for r in each) for k in ("n", "pixels", "n_without", "n_valid", *PERCENTS)}
+    n, share = total["n"], lambda x, of: round(x / of, 6) if of else None
+    named = sum(r["n"] for r in each if r["majority_land_use"] is not None)
+    return {
+        "made": datetime.now(UTC).isoformat(),
+        "parcels": n,
+        "distribution": {r["majority_land_use"]: {"n": r["n"], "pct": share(100 * r["n"], named)} for r in each if r["majority_land_use"] is not None},
+        "average": {p: share(total[p], n) for p in PERCENTS},
+        "pixels": round(total["pixels"], 4),
+        "mean_pixels": share(total["pixels"], n),
+        "n_without": total["n_without"],
+        "n_valid": total["n_valid"],
+        "n_invalid": n - total["n_valid"],
+        "valid_pct": share(100 * total["n_valid"], n),
+    }
+
+
+def report(found: dict, seconds: float | None = None) -> str:
+    time = [f"Seconds: {seconds:.1f}", f"Parcels a second: {found['parcels'] / seconds:.1f}"] if seconds else []
+    lines = [f"Parcels: {found['parcels']}", *time, f"Valid: {found['n_valid']} ({found['valid_pct']} %)", "", "Majority class:"]
     lines += [f"  {name}: {x['n']} ({x['pct']} %)" for name, x in sorted(found["distribution"].items(), key=lambda x: -x[1]["n"])]
     return "\n".join([*lines, "", "Mean share:", *[f"  {k}: {v} %" for k, v in found["average"].items()]])
 
@@ -58,3 +75,16 @@ def read_checkpoint(spark: SparkSession, folder: str, schema) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
     return spark.read.schema(schema).parquet(folder) if there else spark.createDataFrame([], schema)
+
+
+def clean_checkpoint(spark: SparkSession, folder: str) -> bool:
+    """Deletes a checkpoint folder; was there one?"""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def save_table(rows: DataFrame, folder: str, name: str) -> str:
+    """An analysis result as CSV with a header; returns its path."""
+    path = f"{folder}/{name}.csv"
+    rows.write.mode("overwrite").option("header", True).csv(path)
+    return path

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import CLASSES, NODATA, PERCENTS, PROPORTION_TOLERANCE, SQUARE_METRES_AN_ACRE, TIER_ELSE, TIERS, Grid, Settings
+from ..functions.geometry import acres
 from .coverage import cover, touched
 
 
@@ -52,7 +53,9 @@ def summary(parcels: DataFrame, hits: DataFrame, scale: Column, grid: Grid, mapp
 
 
 def acre_difference(rows: DataFrame) -> DataFrame:
-    """acre_diff and acre_diff_pct where pixels were found; a zero acreage gives an infinite percentage of the difference's sign."""
+    """acre_diff and acre_diff_pct where pixels were found; a zero acreage gives an infinite percentage of the difference's sign. Without acreages both are null."""
+    if "CAL_ACREAGE" not in rows.columns:
+        return rows.withColumns({c: F.lit(None).cast("double") for c in ("acre_diff", "acre_diff_pct")})
     found = F.col("calculated_acres") > 0
     diff = F.col("calculated_acres") - F.col("CAL_ACREAGE")
     share = F.when(F.col("CAL_ACREAGE") == 0, F.lit(float("inf")) * F.signum(diff)).otherwise(F.try_divide(diff, F.col("CAL_ACREAGE")) * 100)
@@ -60,16 +63,16 @@ def acre_difference(rows: DataFrame) -> DataFrame:
 
 
 def zonal(parcels: DataFrame, px: DataFrame, grid: Grid, method: str = "subpixel") -> DataFrame:
-    """parcels: zone (unique), CAL_ACREAGE, rings. Methods: subpixel (resolution by acreage), center, standard (all cells touched)."""
+    """parcels: zone (unique), rings, and CAL_ACREAGE; where that column is missing, the geometry's acres set the resolution. Methods: subpixel (resolution by acreage), center, standard (all cells touched)."""
     plain = parcels.drop("rings")
     if method == "subpixel":
-        sized = parcels.withColumn("n", resolution(F.col("CAL_ACREAGE")).cast("long"))
+        sized = parcels.withColumn("n", resolution(F.col("CAL_ACREAGE") if "CAL_ACREAGE" in parcels.columns else acres(F.col("rings"))).cast("long"))
         hits = class_hits(cover(sized, grid, F.col("n")), px)
         rows = summary(sized.drop("rings"), hits, F.col("n") * F.col("n"), grid, mapped_only=False)
         return acre_difference(rows).withColumnRenamed("n", "subpixel_resolution")
     if method not in ("center", "standard"):
         raise ValueError(f"unknown method: {method}")
-    covered = cover(parcels, grid, F.lit(1)) if method == "center" else touched(parcels, grid).withColumn("hits", F.lit(1).cast("long"))
+    covered = cover(parcels, grid, F.lit(1)) if method == "center" else touched(parcels, grid).select("zone", "row", "col", F.lit(1).cast("long").alias("hits"))
     rows = summary(plain, class_hits(covered, px), F.lit(1), grid, mapped_only=True)
     return rows.withColumns({"acre_diff": F.lit(None).cast("double"), "acre_diff_pct": F.lit(None).cast("double"), "subpixel_resolution": F.lit(None).cast("long")})
 
@@ -84,12 +87,11 @@ def fixed_acres(parcels: DataFrame, grid: Grid, n: int) -> DataFrame:
 def weighted_count(parcels: DataFrame, px: DataFrame, grid: Grid) -> DataFrame:
     """Touched and centre counts of cells with data, mixed: 0.8 for the centre count below one cell's acreage, 0.5 below two, else 0.2."""
     data = px.where(F.col("val") != NODATA).select("row", "col")
-    count = lambda cells, name: cells.join(data, ["row", "col"]).groupBy("zone").agg(F.count(F.lit(1)).alias(name))
-    whole, centre = count(touched(parcels, grid), "touched"), count(cover(parcels, grid, F.lit(1)), "centre")
+    both = touched(parcels, grid).join(data, ["row", "col"]).groupBy("zone").agg(F.count(F.lit(1)).alias("touched"), F.count_if("centre").alias("centre"))
     cell = grid.pixel_area / SQUARE_METRES_AN_ACRE
     acreage = F.coalesce(F.col("CAL_ACREAGE"), F.lit(1.0))
     w = F.when(acreage < cell, 0.8).when(acreage < 2 * cell, 0.5).otherwise(0.2)
-    rows = parcels.drop("rings").join(whole, "zone", "left").join(centre, "zone", "left").na.fill(0, ["touched", "centre"])
+    rows = parcels.drop("rings").join(both, "zone", "left").na.fill(0, ["touched", "centre"])
     return rows.select("zone", "touched", "centre", (F.col("touched") * (1 - w) + F.col("centre") * w).alias("weighted"))
 
 
@@ -99,3 +101,8 @@ def validate(rows: DataFrame, settings: Settings | None = None) -> DataFrame:
     total = sum((F.col(p) for p in PERCENTS[1:]), F.col(PERCENTS[0]))
     off = (F.abs(total - 100) > PROPORTION_TOLERANCE) & (F.col("valid_pixels") > 0)
     return rows.withColumns({"proportion_sum": total, "is_valid": ~off & ~(F.col("valid_pixels") < least)})
+
+
+def processing_summary(stats: DataFrame) -> DataFrame:
+    """Of rows a chunk (n_parcels, seconds, method): chunks, zones, seconds, zones a second and the most frequent method; no row for no chunk."""
+    return stats.agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("n_parcels").alias("total_parcels"), F.round(F.sum("seconds"), 6).alias("total_seconds"), F.round(F.try_divide(F.sum("n_parcels"), F.sum("seconds")), 6).alias("parcels_a_second"), F.mode("method", True).alias("primary_method")).where("n_chunks > 0")

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..config import Grid, Settings
+from ..functions.geometry import reproject
 from ..operators import preparing, sinks, zonal
 
 
-def prepare(parcels: DataFrame, grid: Grid, least_area: float = 0.0) -> DataFrame:
-    """Zones with a geometry that meets the raster (and has the area), numbered by k."""
+def prepare(parcels: DataFrame, grid: Grid, least_area: float = 0.0, degrees: bool = False) -> DataFrame:
+    """Zones, reprojected if their points are degrees, repaired, with a geometry that meets the raster (and has the area), numbered by k (or, without such a column, by a hash of their id)."""
     preparing.require(parcels, "PARCEL_LID", "rings")
-    rows = preparing.clip(preparing.drop_empty(parcels), grid.origin_x, grid.origin_y, grid.origin_x + grid.width * grid.cell, grid.origin_y + grid.height * grid.cell)
+    rows = parcels.withColumn("rings", reproject(F.col("rings"))) if degrees else parcels
+    rows = rows.withColumn("zone", F.col("PARCEL_LID")) if "zone" not in rows.columns else rows
+    rows = rows.withColumn("k", F.xxhash64("PARCEL_LID")) if "k" not in rows.columns else rows
+    rows = preparing.clip(preparing.repair(preparing.drop_empty(rows)), grid.origin_x, grid.origin_y, grid.origin_x + grid.width * grid.cell, grid.origin_y + grid.height * grid.cell)
     rows = preparing.filter_by_area(rows, least_area) if least_area > 0 else rows
     return preparing.numbered(rows.drop("min_x", "min_y", "max_x", "max_y"), "k")
 

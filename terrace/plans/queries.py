@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import CLASSES, PERCENTS
 from ..functions.geometry import acres, albers, area, with_bounds
-from ..operators import analysis, preparing, zonal
+from ..functions import wkb
+from ..operators import analysis, comparing, preparing, zonal
 from ..sources import derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,7 +191,7 @@ def raster_window_read(spark, d):
     return derived.raster(spark, d).where("row between 2 and 8 and col between 10 and 40").select("row", "col", "val")
 
 
-@query(f"""WITH {PARCELS}, c AS (SELECT ['DEVELOPED', 'AGRICULTURE', 'FOREST', 'RANGELAND_PASTURE', 'OTHER'][val] AS class, count(*) AS cells FROM px WHERE val BETWEEN 1 AND 5 GROUP BY val)
+@query(f"""WITH {PARCELS}, c AS (SELECT ['DEVELOPED', 'AGRICULTURE', 'RANGELAND_PASTURE', 'FOREST', 'OTHER', 'OTHER', 'OTHER', 'DEVELOPED', 'FOREST', 'RANGELAND_PASTURE', 'AGRICULTURE', 'AGRICULTURE', 'OTHER', 'OTHER', 'OTHER'][val] AS class, count(*) AS cells FROM px WHERE val BETWEEN 1 AND 15 GROUP BY 1)
 SELECT class, cells, round(cells * 900.0 / 4046.86, 4) AS acres, round(cells * 100.0 / sum(cells) OVER (), 6) AS pct FROM c""")
 def class_remap_acres(spark, d):
     return analysis.class_acres(derived.raster(spark, d), analysis.REMAP, derived.grid_of(spark, d))
@@ -285,9 +286,11 @@ def smallest_k(spark, d):
     return given(spark, d)[2].select("PARCEL_LID", area(F.col("rings")).alias("area_m2")).orderBy("area_m2", "PARCEL_LID").limit(50)
 
 
-@query(f"{SUB} SELECT PARCEL_LID, round(abs(calculated_acres - CAL_ACREAGE), 6) AS off FROM res WHERE CAL_ACREAGE IS NOT NULL AND calculated_acres > 0 ORDER BY off DESC, PARCEL_LID LIMIT 10")
+@query(f"{SUB} SELECT PARCEL_LID, round(abs(calculated_acres - CAL_ACREAGE) / CAL_ACREAGE * 100, 6) AS off_pct FROM res WHERE CAL_ACREAGE <> 0 AND calculated_acres > 0 ORDER BY off_pct DESC, PARCEL_LID LIMIT 10")
 def largest_diff_k(spark, d):
-    return run(spark, d, "subpixel").where("acre_diff is not null").select("PARCEL_LID", F.round(F.abs("acre_diff"), 6).alias("off")).orderBy(F.desc("off"), "PARCEL_LID").limit(10)
+    """By percent; infinite ones (no acreage) are left out."""
+    finite = F.abs("acre_diff_pct") < float("inf")
+    return run(spark, d, "subpixel").where(finite).select("PARCEL_LID", F.round(F.abs("acre_diff_pct"), 6).alias("off_pct")).orderBy(F.desc("off_pct"), "PARCEL_LID").limit(10)
 
 
 @query(f"""WITH {PARCELS}, b AS (SELECT zone, CASE WHEN cal >= 0.1 AND cal < 0.5 THEN 0 WHEN cal >= 0.5 AND cal < 2 THEN 1 WHEN cal >= 2 AND cal < 10 THEN 2 END AS band FROM parcels)
@@ -307,14 +310,30 @@ def chunk_count(spark, d):
     return preparing.count_chunks(preparing.numbered(given(spark, d)[2], "k"), 300).select("PARCEL_LID", "chunk_id")
 
 
-@query()
+def _grid(size: int) -> str:
+    return f"""WITH {PARCELS}, t AS (SELECT greatest(1, CAST(floor(sqrt(count(*) / {size})) AS INTEGER)) AS side, min(x) AS x0, min(y) AS y0, max(x + w) AS x1, max(y + w) AS y1 FROM parcels),
+ij AS (SELECT side, x0, y0, (x1 - x0) / side AS dx, (y1 - y0) / side AS dy, i, unnest(range(side)) AS j FROM (SELECT *, unnest(range(side)) AS i FROM t)),
+m AS (SELECT zone, i, j FROM parcels JOIN ij ON x + w >= x0 + i * dx AND x <= x0 + (i + 1) * dx AND y + w >= y0 + j * dy AND y <= y0 + (j + 1) * dy),
+cells AS (SELECT zone, dense_rank() OVER (ORDER BY i, j) - 1 AS chunk FROM m)"""
+
+
+@query(f"{_grid(300)} SELECT zone AS PARCEL_LID, chunk AS chunk_id FROM cells")
 def chunk_spatial(spark, d):
     return preparing.grid_chunks(given(spark, d)[2], 300).select("PARCEL_LID", "chunk_id")
 
 
-@query()
+@query(f"""{_grid(100)}, n AS (SELECT chunk, count(*) AS n FROM cells GROUP BY chunk), o AS (SELECT *, chunk = 0 OR n >= 60 AS own FROM n),
+q AS (SELECT *, CASE WHEN own AND n > 150 THEN CAST(ceil(n / 150.0) AS BIGINT) ELSE 1 END AS parts FROM o), l AS (SELECT *, sum(CASE WHEN own THEN parts ELSE 0 END) OVER (ORDER BY chunk) - 1 AS last FROM q),
+p AS (SELECT zone, chunk, (row_number() OVER (PARTITION BY chunk ORDER BY zone) - 1) // 150 AS part FROM cells)
+SELECT zone AS PARCEL_LID, CAST(CASE WHEN own THEN last - parts + 1 + CASE WHEN parts > 1 THEN part ELSE 0 END ELSE last END AS BIGINT) AS chunk_id FROM p JOIN l USING (chunk)""")
 def chunk_hybrid(spark, d):
-    return preparing.hybrid_chunks(given(spark, d)[2], 100, 60, 150, "PARCEL_LID").select("PARCEL_LID", "chunk_id")
+    return preparing.hybrid_chunks(given(spark, d)[2], 100, 60, 150, "PARCEL_LID").select("PARCEL_LID", F.col("chunk_id").cast("long").alias("chunk_id"))
+
+
+@query(f"""WITH {PARCELS}, n AS (SELECT *, (row_number() OVER (ORDER BY zone) - 1) // 300 AS chunk_id FROM parcels), b AS (SELECT chunk_id, (min(x) + max(x + w)) / 2.0 AS cx, (min(y) + max(y + w)) / 2.0 AS cy FROM n GROUP BY chunk_id)
+SELECT chunk_id, cx, cy, row_number() OVER (ORDER BY cx, cy, chunk_id) - 1 AS place FROM b""")
+def chunk_order(spark, d):
+    return preparing.chunk_order(preparing.count_chunks(preparing.numbered(given(spark, d)[2], "k"), 300))
 
 
 @query(f"WITH {PARCELS} SELECT DISTINCT (row_number() OVER (ORDER BY zone) - 1) // 300 AS chunk_id FROM parcels QUALIFY chunk_id % 3 <> 0")
@@ -426,3 +445,67 @@ def error_reduction(spark, d):
 @query(f"WITH {PARCELS} SELECT count(cal) AS n, round(avg(cal), 6) AS mean, round(stddev_samp(cal), 6) AS std, round(min(cal), 6) AS least, round(quantile_cont(cal, 0.25), 6) AS q1, round(quantile_cont(cal, 0.5), 6) AS q2, round(quantile_cont(cal, 0.75), 6) AS q3, round(max(cal), 6) AS most FROM parcels")
 def acreage_describe(spark, d):
     return analysis.describe(given(spark, d)[2], "CAL_ACREAGE")
+
+
+RASTER_VS = ORACLE["raster_vs_parcel"].rpartition(" SELECT class, ")
+
+
+@query(f"{RASTER_VS[0]}, rv AS (SELECT class, {RASTER_VS[2]}) SELECT round(avg(abs(parcel_pct - raster_pct)), 6) AS mae, round(sqrt(avg((parcel_pct - raster_pct) ** 2)), 6) AS rmse, round(corr(raster_pct, parcel_pct), 6) AS correlation FROM rv")
+def class_share_errors(spark, d):
+    return comparing.share_errors(raster_vs_parcel(spark, d), "raster_pct", "parcel_pct")
+
+
+@query(f"{SUB}, p AS (SELECT CASE WHEN CAL_ACREAGE > 0 THEN (calculated_acres - CAL_ACREAGE) / CAL_ACREAGE * 100 WHEN calculated_acres > 0 THEN NULL ELSE 0 END AS p FROM res WHERE CAL_ACREAGE IS NOT NULL) SELECT count(*) - count(p) AS n_infinite, round(avg(p), 6) AS mean_pct, round(median(p), 6) AS median_pct FROM p")
+def percentage_errors(spark, d):
+    return comparing.percentage_errors(run(spark, d, "subpixel"), "CAL_ACREAGE", "calculated_acres")
+
+
+@query(f"WITH {PARCELS} SELECT round(sum(cal), 4) AS total, round(avg(cal), 6) AS mean, round(median(cal), 6) AS median FROM parcels")
+def sample_statistics(spark, d):
+    return comparing.sample_statistics(given(spark, d)[2])
+
+
+@query(f"{CENTER}, l AS (SELECT unnest([0.5, 1.0, 2.0]) AS pixels) SELECT CAST(pixels AS DOUBLE) AS pixels, count(*) AS n, round(avg(abs(calculated_acres - CAL_ACREAGE)), 6) AS mae FROM res JOIN l ON CAL_ACREAGE < pixels * 900 / 4046.86 GROUP BY 1")
+def below_pixels(spark, d):
+    return comparing.below_pixels(run(spark, d, "center"), derived.grid_of(spark, d), "CAL_ACREAGE", "calculated_acres")
+
+
+def _three(spark, d, *columns: str) -> DataFrame:
+    return comparing.side_by_side({m: run(spark, d, m) for m in METHODS}, *columns)
+
+
+METHODS = ["standard", "center", "subpixel"]
+THREE = f"WITH {_two('center')}, c AS (WITH {PARCELS}, {sub_cells('1')}, {TOUCHED}, {results('touch', True)} SELECT * FROM res)"
+
+
+@query(f"{THREE} SELECT PARCEL_LID, round(c.calculated_acres, 6) AS standard_acres, c.majority_land_use AS standard_majority, round(b.calculated_acres, 6) AS center_acres, b.majority_land_use AS center_majority, round(a.calculated_acres, 6) AS subpixel_acres, a.majority_land_use AS subpixel_majority FROM a JOIN b USING (PARCEL_LID) JOIN c USING (PARCEL_LID)")
+def method_comparison(spark, d):
+    rows = _three(spark, d, "calculated_acres", "majority_land_use")
+    return rows.select("PARCEL_LID", *[c for m in METHODS for c in (F.round(f"{m}_calculated_acres", 6).alias(f"{m}_acres"), F.col(f"{m}_majority_land_use").alias(f"{m}_majority"))])
+
+
+AGREE = " UNION ALL ".join(f"SELECT '{m}' AS first, '{n}' AS second, round(avg(CAST({x}.majority_land_use = {y}.majority_land_use AS INTEGER)) * 100, 6) AS agreement FROM {x} JOIN {y} USING (PARCEL_LID)" for m, n, x, y in (("standard", "center", "c", "b"), ("standard", "subpixel", "c", "a"), ("center", "subpixel", "b", "a")))
+
+
+@query(f"{THREE} {AGREE}")
+def method_agreement(spark, d):
+    return comparing.agreement(_three(spark, d, "majority_land_use"), METHODS)
+
+
+@query(f"""{THREE}, e AS (SELECT method, avg(abs(calculated_acres - CAL_ACREAGE)) AS e FROM (SELECT 'standard' AS method, * FROM c UNION ALL SELECT 'center', * FROM b UNION ALL SELECT 'subpixel', * FROM a) WHERE CAL_ACREAGE IS NOT NULL GROUP BY method)
+SELECT method, round(e, 6) AS mae, round((1 - e / (SELECT e FROM e WHERE method = 'standard')) * 100, 6) AS gain_pct, e = (SELECT min(e) FROM e) AS most_accurate FROM e""")
+def tradeoff_vs_baseline(spark, d):
+    known = given(spark, d)[2].select("PARCEL_LID", "CAL_ACREAGE")
+    return comparing.tradeoff(_three(spark, d, "calculated_acres").join(known, "PARCEL_LID"), METHODS, "standard")
+
+
+@query(f"{SUB}, b AS (SELECT CASE WHEN CAL_ACREAGE <= 0 THEN NULL WHEN CAL_ACREAGE <= 0.5 THEN 1 WHEN CAL_ACREAGE <= 1 THEN 2 WHEN CAL_ACREAGE <= 2 THEN 3 WHEN CAL_ACREAGE <= 5 THEN 4 WHEN CAL_ACREAGE <= 10 THEN 5 WHEN CAL_ACREAGE > 10 THEN 6 END AS bucket, abs(calculated_acres - CAL_ACREAGE) AS e FROM res) SELECT bucket, count(*) AS n, round(avg(e), 6) AS mae FROM b WHERE bucket IS NOT NULL GROUP BY bucket")
+def error_by_size_6(spark, d):
+    rows = run(spark, d, "subpixel").select(analysis.bucket(F.col("CAL_ACREAGE"), (0.0, 0.5, 1.0, 2.0, 5.0, 10.0)).alias("bucket"), F.abs(F.col("calculated_acres") - F.col("CAL_ACREAGE")).alias("e"))
+    return rows.where("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("e"), 6).alias("mae"))
+
+
+@query(f"WITH {PARCELS} SELECT zone AS PARCEL_LID, CAST(area AS DOUBLE) AS area_m2 FROM parcels")
+def wkb_round_trip(spark, d):
+    shaped = given(spark, d)[2].select("PARCEL_LID", wkb.encode(F.col("rings")).alias("geometry"))
+    return wkb.decode(shaped).select("PARCEL_LID", area(F.col("rings")).alias("area_m2"))

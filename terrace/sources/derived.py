@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..config import SQUARE_METRES_AN_ACRE, Grid
-from ..functions.geometry import RINGS, area, point
+from ..functions.geometry import RINGS, point
 
 WIDTH = 120
 SIDES = (12, 50, 110, 170, 350, 500)
@@ -40,7 +40,8 @@ def parcels(spark: SparkSession, sf_dir: str, grid: Grid) -> DataFrame:
     shapes = {0: F.array(square), 1: F.array(F.array(at(0, 0), at(W, 0), at(0, W))), 2: F.array(F.array(at(0, 0), at(W, 0), at(W, h), at(h, h), at(h, W), at(0, W))), 3: F.array(square, hole)}
     rings = F.coalesce(*[F.when(F.col("shape") == i, s.cast(RINGS)) for i, s in shapes.items()])
     rows = rows.withColumn("rings", rings)
-    known = area(F.col("rings")) / SQUARE_METRES_AN_ACRE * (1 + (F.col("k") % 21 - 10) / 1000)
+    sizes = {0: W * W, 1: W * W / 2, 2: W * h + (W - h) * h, 3: W * W - (h - q) * (h - q)}
+    known = F.coalesce(*[F.when(F.col("shape") == i, a.cast("double")) for i, a in sizes.items()]) / SQUARE_METRES_AN_ACRE * (1 + (F.col("k") % 21 - 10) / 1000)
     acreage = F.when(F.col("k") % 50 == 0, None).when(F.col("k") % 53 == 1, 0.0).otherwise(known)
     lid = F.concat(F.lit("P"), F.lpad(F.col("k").cast("string"), 8, "0"))
     return rows.select("k", lid.alias("PARCEL_LID"), lid.alias("zone"), acreage.alias("CAL_ACREAGE"), "rings")
