@@ -21,6 +21,11 @@ def edge_table(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
     return e.select("zone", "n", x("e.x1").alias("x1"), y("e.y1").alias("y1"), x("e.x2").alias("x2"), y("e.y2").alias("y2"))
 
 
+def _tasks(df: DataFrame) -> int:
+    """The session's number of shuffle partitions: edges are few bytes and much work, so their number must not follow from their size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def spans(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
     """zone, n, band, r (sub-row), a and b: runs [a, b) of sub-cells whose centres lie inside, by the even-odd rule; an edge counts to the right of it.
 
@@ -34,7 +39,7 @@ def spans(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
     first = F.greatest(F.ceil((F.col("ya") - s) / (2 * s)), F.lit(0))
     last = F.least(F.ceil((F.col("yb") - s) / (2 * s)) - 1, F.lit(grid.height) * F.col("n") - 1)
     per = F.col("n") * BAND
-    banded = scaled.withColumns({"r0": first, "r1": last}).where("r0 <= r1").withColumn("band", F.explode(F.sequence(F.floor(F.col("r0") / per), F.floor(F.col("r1") / per)))).repartition("zone", "band")
+    banded = scaled.withColumns({"r0": first, "r1": last}).where("r0 <= r1").withColumn("band", F.explode(F.sequence(F.floor(F.col("r0") / per), F.floor(F.col("r1") / per)))).repartition(_tasks(parcels), "zone", "band")
     rows = banded.withColumn("r", F.explode(F.sequence(F.greatest(F.col("r0"), F.col("band") * per), F.least(F.col("r1"), (F.col("band") + 1) * per - 1))))
     d = F.col("yb") - F.col("ya")
     num = F.col("xa") * d + (s * (2 * F.col("r") + 1) - F.col("ya")) * (F.col("xb") - F.col("xa"))
