@@ -22,16 +22,20 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_entries(pages: DataFrame) -> DataFrame:
-    """The tables have no list, so one is derived from the hosts of pages: dated entries of hosts and of their parent domains, by fixed rules of their digests."""
+    """The tables have no list, so one is derived from the addresses of pages: dated entries of hosts, of their parent domains, of paths below hosts and of whole addresses, by fixed rules of their digests."""
     host = url_lists.host_of(F.col("url"))
     hosts = pages.select(host.alias("host")).where("host <> ''").distinct()
     parents = hosts.select(F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("host")).where("host <> ''").distinct()
+    paths = pages.select(F.concat(host, F.regexp_extract(url_lists.path_of(F.col("url")), "^(/[^/]+/[^/]+)", 1)).alias("host"), host.alias("short")).where("host <> short").select("host").distinct()
+    addresses = pages.select(F.concat(host, url_lists.tail_of(F.col("url"))).alias("host"), host.alias("short")).where("short <> '' and contains(host, '?')").select("host").distinct()
     crc = F.conv(F.substring(F.md5(F.col("host").cast("binary")), 1, 6), 16, 10).cast("long")
     dated = lambda n, gap: F.date_add(F.lit("2024-01-01").cast("date"), (crc % n + gap).cast("int"))
     one = hosts.where(crc % 3 == 0).select(F.col("host").alias("key"), F.when(crc % 2 == 0, "block").otherwise("allow").alias("action"), dated(200, 0).alias("dated"))
     end = hosts.where(crc % 9 == 0).select(F.col("host").alias("key"), F.lit("delist").alias("action"), dated(200, 90).alias("dated"))
     wide = parents.where(crc % 4 == 1).select(F.col("host").alias("key"), F.lit("block").alias("action"), dated(300, 0).alias("dated"))
-    return one.union(end).union(wide)
+    deep = paths.where(crc % 7 == 2).select(F.col("host").alias("key"), F.when(crc % 2 == 0, "block").otherwise("allow").alias("action"), dated(250, 20).alias("dated"))
+    full = addresses.where(crc % 6 == 3).select(F.col("host").alias("key"), F.lit("block").alias("action"), dated(150, 10).alias("dated"))
+    return one.union(end).union(wide).union(deep).union(full)
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,18 +90,24 @@ ORACLE: dict[str, str] = {
         WITH p AS (
             SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS fetched,
                    rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.') AS host,
-                   regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]*)', 1) AS path
+                   regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path,
+                   regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) AS tail
             FROM pages),
         h AS (SELECT host, CAST('0x' || substr(md5(host), 1, 6) AS BIGINT) AS c FROM (SELECT DISTINCT host FROM p WHERE host <> '')),
         d AS (SELECT host, CAST('0x' || substr(md5(host), 1, 6) AS BIGINT) AS c FROM (SELECT DISTINCT regexp_extract(host, '([^.]+\.[^.]+)$', 1) AS host FROM p) WHERE host <> ''),
+        f AS (SELECT host, CAST('0x' || substr(md5(host), 1, 6) AS BIGINT) AS c FROM (SELECT DISTINCT host || regexp_extract(path, '^(/[^/]+/[^/]+)', 1) AS host FROM p WHERE regexp_matches(path, '^/[^/]+/[^/]+'))),
+        a AS (SELECT host, CAST('0x' || substr(md5(host), 1, 6) AS BIGINT) AS c FROM (SELECT DISTINCT host || tail AS host FROM p WHERE host <> '' AND contains(host || tail, '?'))),
         e AS (
             SELECT host AS key, CASE WHEN c % 2 = 0 THEN 'block' ELSE 'allow' END AS action, DATE '2024-01-01' + CAST(c % 200 AS INTEGER) AS dated FROM h WHERE c % 3 = 0
             UNION ALL SELECT host, 'delist', DATE '2024-01-01' + CAST(c % 200 + 90 AS INTEGER) FROM h WHERE c % 9 = 0
-            UNION ALL SELECT host, 'block', DATE '2024-01-01' + CAST(c % 300 AS INTEGER) FROM d WHERE c % 4 = 1),
+            UNION ALL SELECT host, 'block', DATE '2024-01-01' + CAST(c % 300 AS INTEGER) FROM d WHERE c % 4 = 1
+            UNION ALL SELECT host, CASE WHEN c % 2 = 0 THEN 'block' ELSE 'allow' END, DATE '2024-01-01' + CAST(c % 250 + 20 AS INTEGER) FROM f WHERE c % 7 = 2
+            UNION ALL SELECT host, 'block', DATE '2024-01-01' + CAST(c % 150 + 10 AS INTEGER) FROM a WHERE c % 6 = 3),
         i AS (SELECT *, lead(dated) OVER (PARTITION BY key ORDER BY dated) AS valid_to FROM (SELECT key, dated, min(action) AS action FROM e GROUP BY key, dated)),
         k AS (
-            SELECT DISTINCT page_id, url, fetched, unnest(list_concat([host || path, host],
-                   list_transform(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1), lambda n: array_to_string(string_split(host, '.')[n:], '.')))) AS key
+            SELECT DISTINCT page_id, url, fetched, unnest(list_concat([host || tail],
+                   list_transform(range(1, len(string_split(path, '/')) + 1), lambda n: host || array_to_string(string_split(path, '/')[:n], '/')),
+                   list_transform(range(1, len(string_split(host, '.')) + 1), lambda n: array_to_string(string_split(host, '.')[n:], '.')))) AS key
             FROM p WHERE host <> ''),
         m AS (
             SELECT page_id, url, k.fetched, k.key, i.action, i.dated, row_number() OVER (PARTITION BY page_id, url, k.fetched ORDER BY length(k.key) DESC, k.key DESC) AS r
