@@ -32,11 +32,13 @@ def turns(conversations: DataFrame) -> DataFrame:
     Turns are ordered by turn, role and text; null roles and texts are empty. Rows with a null conv_id are left out.
     """
     rows = conversations.where(F.col("conv_id").isNotNull()).select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    formatted = F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(MIDDLE), escape(F.col("text")), F.lit(CLOSE))
-    lists = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", formatted.alias("formatted")))).alias("all"))
-    chain = F.aggregate("all", F.array(F.lit("")), lambda a, t: F.array_append(a, F.sha2(F.concat(F.element_at(a, -1), F.sha2(t["formatted"], 256)), 256)))
-    out = lists.withColumn("chain", chain).select("conv_id", F.posexplode(F.arrays_zip("all", F.slice("chain", F.lit(2), F.size("all")).alias("node"))).alias("depth", "t"))
-    return out.select("conv_id", "depth", F.col("t.node").alias("node"), F.col("t.all.role").alias("role"), F.col("t.all.text").alias("text"), F.col("t.all.formatted").alias("formatted"), F.length("t.all.formatted").cast("long").alias("size"))
+    formatted = lambda t: F.concat(F.lit(OPEN), escape(t["role"]), F.lit(MIDDLE), escape(t["text"]), F.lit(CLOSE))
+    # each text travels once; formatted texts and the digests of paths are made where a conversation is together
+    lists = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("all"))
+    lists = lists.withColumn("said", F.transform("all", formatted))
+    chain = F.aggregate("said", F.array(F.lit("")), lambda a, t: F.array_append(a, F.sha2(F.concat(F.element_at(a, -1), F.sha2(t, 256)), 256)))
+    out = lists.withColumn("chain", chain).select("conv_id", F.posexplode(F.arrays_zip("all", "said", F.slice("chain", F.lit(2), F.size("all")).alias("node"))).alias("depth", "t"))
+    return out.select("conv_id", "depth", F.col("t.node").alias("node"), F.col("t.all.role").alias("role"), F.col("t.all.text").alias("text"), F.col("t.said").alias("formatted"), F.length("t.said").cast("long").alias("size"))
 
 
 def build(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -92,12 +94,17 @@ def read_back(nodes: DataFrame, members: DataFrame) -> DataFrame:
     blocks = seen.withColumn("block", F.explode(F.sequence(block(F.col("from")), block(F.col("to") - 1))))
     stream = nodes.select(block(F.col("emitted")).alias("block"), "emitted", "position", "depth", "formatted", "loss", "loss_from", "loss_to")
     rows = blocks.join(stream, (blocks["block"] == stream["block"]) & (F.col("emitted") >= F.col("from")) & (F.col("emitted") < F.col("to")))
-    role = F.regexp_extract("formatted", r"(?s)\A<turn ([^>]*)>", 1)
-    text = F.regexp_extract("formatted", r"(?s)\A<turn [^>]*>(.*)</turn>\n\z", 1)
-    masked = F.when(F.col("loss"), F.col("formatted").substr(F.col("loss_from") + 1, F.col("loss_to") - F.col("loss_from"))).otherwise("")
-    turn = F.struct("position", "depth", unescape(role).alias("role"), unescape(text).alias("text"), unescape(masked).alias("loss_text"), "formatted")
-    grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    return grouped.select("conv_id", "turns", F.array_join(F.transform("turns", lambda t: t["formatted"]), "").alias("formatted"))
+    # formatted texts alone are gathered; what they hold is taken apart afterwards
+    turn = F.struct("position", "depth", "formatted", "loss", "loss_from", "loss_to")
+    gathered = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("seen"))
+
+    def apart(t: Column) -> Column:
+        role = F.regexp_extract(t["formatted"], r"(?s)\A<turn ([^>]*)>", 1)
+        text = F.regexp_extract(t["formatted"], r"(?s)\A<turn [^>]*>(.*)</turn>\n\z", 1)
+        masked = F.when(t["loss"], t["formatted"].substr(t["loss_from"] + 1, t["loss_to"] - t["loss_from"])).otherwise("")
+        return F.struct(t["position"].alias("position"), t["depth"].alias("depth"), unescape(role).alias("role"), unescape(text).alias("text"), unescape(masked).alias("loss_text"), t["formatted"].alias("formatted"))
+
+    return gathered.select("conv_id", F.transform("seen", apart).alias("turns"), F.array_join(F.transform("seen", lambda t: t["formatted"]), "").alias("formatted"))
 
 
 def digests(read: DataFrame) -> DataFrame:
