@@ -24,7 +24,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from .common import MOST_PARTS_SENT, materialize, scratch, slices, text_rows
+from .common import MOST_PARTS_SENT, MOST_SENT, materialize, scratch, slices, text_rows
 from .packing import narrow, widen
 from .tokens import Library, tool
 
@@ -85,24 +85,29 @@ class ShardWriter:
 
 
 class Shard:
-    """Reads a shard's bytes (or a memory map of them)."""
+    """Reads a shard: its bytes (or a memory map of them), or an open file, of which only footer, index, filter and the blocks asked for are read."""
 
     def __init__(self, data):
-        self.data = memoryview(data)
-        self.index_at, self.blocks, self.bloom_at, self.bloom_bytes, self.hashes, self.entries, self.ids, magic = FOOTER.unpack(self.data[-FOOTER.size :])
+        if hasattr(data, "read_at"):
+            total, self.fetch = data.size(), lambda at, n: data.read_at(n, at)
+        else:
+            held = memoryview(data)
+            total, self.fetch = len(held), lambda at, n: held[at : at + n]
+        self.index_at, self.blocks, bloom_at, bloom_bytes, self.hashes, self.entries, self.ids, magic = FOOTER.unpack(self.fetch(total - FOOTER.size, FOOTER.size))
         if magic != MAGIC:
             raise ValueError("not a shard")
-        self.index = [INDEX.unpack_from(self.data, self.index_at + i * INDEX.size) for i in range(self.blocks)]
+        self.index = list(INDEX.iter_unpack(self.fetch(self.index_at, self.blocks * INDEX.size)))
+        self.bloom = self.fetch(bloom_at, bloom_bytes)
 
     def block(self, i: int) -> Iterator[tuple[bytes, bytes]]:
-        _, at, size = self.index[i]
-        stop, last = at + size, b""
-        while at < stop:
-            shared, rest, n = ENTRY.unpack_from(self.data, at)
+        _, start, size = self.index[i]
+        held, at, last = self.fetch(start, size), 0, b""
+        while at < size:
+            shared, rest, n = ENTRY.unpack_from(held, at)
             at += ENTRY.size
-            last = last[:shared] + bytes(self.data[at : at + rest])
+            last = last[:shared] + bytes(held[at : at + rest])
             at += rest
-            yield last, bytes(self.data[at : at + n])
+            yield last, bytes(held[at : at + n])
             at += n
 
     def scan(self) -> Iterator[tuple[int, bytes]]:
@@ -111,8 +116,7 @@ class Shard:
                 yield id_of(key), widen(packed)
 
     def may_have(self, doc_id: int) -> bool:
-        bits = self.bloom_bytes * 8
-        return all(self.data[self.bloom_at + (b >> 3)] >> (b & 7) & 1 for b in places(key_of(doc_id), self.hashes, bits))
+        return all(self.bloom[b >> 3] >> (b & 7) & 1 for b in places(key_of(doc_id), self.hashes, 8 * len(self.bloom)))
 
     def find(self, doc_id: int) -> list[bytes]:
         """The ids of every row of a document, by Bloom filter and binary search of the block index."""
@@ -201,6 +205,34 @@ def read(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
     return files.mapInArrow(run, ROWS).withColumnRenamed("before", "start").drop("path")
 
 
+def lookup(manifest: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, n_tokens and ids of every entry whose document wanted (column doc_id) names, for as many ids as sent() would broadcast; for more, join read().
+
+    The manifest leaves the shards whose range holds a wanted id; of each, a task reads footer, index and filter, and the blocks that the index points to. Ids that no shard has, null ids and repeats in wanted give no rows of their own. Repeated ids in the table: each entry. Rows come in no order.
+    """
+    named = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct().limit(MOST_SENT + 1).toPandas()["doc_id"]
+    if len(named) > MOST_SENT:
+        raise ValueError(f"more than {MOST_SENT} ids: join read() instead")
+    keys = manifest.sparkSession.sparkContext.broadcast(np.sort(named.to_numpy(np.int64)))
+    schema = T.StructType([f for f in ROWS.fields if f.name in ("doc_id", "n_tokens", "ids")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, first, last in zip(*(batch.column(c).to_pylist() for c in ("path", "first_id", "last_id")), strict=True):
+                some = keys.value[np.searchsorted(keys.value, first) : np.searchsorted(keys.value, last, "right")].tolist()
+                if not some:
+                    continue
+                fs, at = filesystem(path)
+                with fs.open_input_file(at) as file:
+                    shard = Shard(file)
+                    for doc in some:
+                        if found := shard.find(doc):
+                            yield pa.RecordBatch.from_arrays([pa.array([doc] * len(found), pa.int64()), pa.array([len(x) // 4 for x in found], pa.int64()), pa.array(found, pa.binary())], names=schema.names)
+
+    # a shard is megabytes of work and a short row here: rows are dealt out anew
+    return manifest.select("path", "first_id", "last_id").repartition("path").mapInArrow(run, schema)
+
+
 def rows_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=ROWS.names)

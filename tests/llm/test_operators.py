@@ -90,7 +90,12 @@ def test_sorted_table(spark, odd, tmp_path):
         for i in range(r["first_id"], r["last_id"] + 1):
             assert shard.find(i) == [x for k, x in expected if k == i and r["first_id"] <= k <= r["last_id"]] or i == 12
         assert shard.find(10**12) == []
-    assert sorted_table.write(empty(spark), WORDS, "words", 2, folder + "0").count() == 0
+    asked = [9, 12, 12, None, 10**12, *(k for k, _ in expected[::2])]
+    found = sorted_table.lookup(manifest, spark.createDataFrame([(i,) for i in asked], "doc_id long")).collect()
+    assert sorted((r["doc_id"], bytes(r["ids"])) for r in found) == sorted(e for e in expected if e[0] in asked)
+    assert all(r["n_tokens"] * 4 == len(r["ids"]) for r in found)
+    none = sorted_table.write(empty(spark), WORDS, "words", 2, folder + "0")
+    assert none.count() == 0 and sorted_table.lookup(none, manifest.select(F.col("first_id").alias("doc_id"))).count() == 0
     assert sorted_table.digests(sorted_table.round_trip(empty(spark), WORDS)).count() == 0
 
 
