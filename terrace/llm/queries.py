@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_tree, fingerprint, ngram_join, packing, quality, sorted_table, substring_dedup, toxicity, url_lists
+from . import byte_bpe, chat_tree, clustering, fingerprint, mixing, ngram_join, packing, quality, sorted_table, substring_dedup, toxicity, url_lists, whitening
 from .common import materialize, text_rows
 
 
@@ -84,8 +84,54 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.digests(fingerprint.edits(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_url_filters, op3_substring_dedup, op4_byte_bpe, op5_quality_rules, op6_sorted_table, op7_ngram_join, op8_packing, op9_chat_tree, op10_fingerprints)}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # deviations beyond a long, which tables of some million vectors can have, are null here
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.totals(*mixing.plan(table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_toxicity, op2_url_filters, op3_substring_dedup, op4_byte_bpe, op5_quality_rules, op6_sorted_table, op7_ngram_join, op8_packing, op9_chat_tree, op10_fingerprints, op11_centroid_clustering, op12_whitening, op13_mixing)}
+
+
+def _clusters(rounds: int = 10) -> str:
+    """Rounds written out: every vector against every centroid, all dimensions."""
+    parts = [
+        "v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64)",
+        "e AS MATERIALIZED (SELECT vec_id, i, x[i + 1] AS x FROM (SELECT vec_id, x, unnest(range(64)) AS i FROM v))",
+        "c0 AS MATERIALIZED (SELECT j, i, x[i + 1] AS c FROM (SELECT j, x, unnest(range(64)) AS i FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS j, x FROM v) WHERE j < 8))",
+    ]
+    near = "(SELECT vec_id, d, j FROM (SELECT vec_id, d, j, row_number() OVER (PARTITION BY vec_id ORDER BY d, j) AS r FROM (SELECT e.vec_id, c.j, CAST(sum((e.x - c.c) * (e.x - c.c)) AS BIGINT) AS d FROM e JOIN c{t} c ON e.i = c.i GROUP BY ALL)) WHERE r = 1)"
+    for t in range(rounds + 1):
+        parts.append(f"a{t} AS MATERIALIZED {near.format(t=t)}")
+        if t < rounds:
+            parts.append(f"c{t + 1} AS MATERIALIZED (SELECT c.j, c.i, coalesce(m.c, c.c) AS c FROM c{t} c LEFT JOIN (SELECT j, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS c FROM a{t} JOIN e ON a{t}.vec_id = e.vec_id GROUP BY j, i) m ON c.j = m.j AND c.i = m.i)")
+    return f"""WITH {", ".join(parts)},
+        p AS (SELECT j, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY j),
+        w AS (SELECT j, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY j)
+        SELECT vec_id, CAST(a.j AS INTEGER) AS cluster, d AS distance, cluster_inertia, CAST((SELECT sum(d) FROM a{rounds}) AS BIGINT) AS inertia, centroid_sha256
+        FROM a{rounds} a JOIN p ON a.j = p.j JOIN w ON a.j = w.j"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_centroid_clustering": _clusters(),
+    "op13_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('13:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
+        s AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)),
+        o AS (SELECT *, row_number() OVER (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, source NULLS LAST) AS place FROM s),
+        u AS (SELECT *, (SELECT sum(source_size) FROM o) - coalesce((SELECT sum(3 * b.source_size) FROM o b WHERE b.place < a.place), 0) AS free, (SELECT sum(b.weight) FROM o b WHERE b.place >= a.place) AS others FROM o a),
+        f AS (SELECT max(CAST(free AS DOUBLE) / CAST(others AS DOUBLE)) AS level FROM u WHERE free * weight <= 3 * source_size * others),
+        t AS (SELECT *, least(CAST(floor(target + 0.5) AS BIGINT), 3 * source_size) AS words FROM (SELECT source, source_size, CASE WHEN free * weight > 3 * source_size * others THEN CAST(3 * source_size AS DOUBLE) ELSE level * weight END AS target FROM u, f)),
+        p AS (SELECT d.doc_id, d.size, source_size, target, words, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS begun FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE CAST(words // source_size * size + greatest(0, least(begun + size, words % source_size) - begun) AS BIGINT) END AS taken FROM p
+    """,
     "op2_url_filters": r"""
         WITH p AS (
             SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS fetched,
