@@ -70,9 +70,11 @@ def acres(rings: Column) -> Column:
 
 
 def with_bounds(df: DataFrame, rings: str = "rings") -> DataFrame:
-    xs = F.transform(F.flatten(F.col(rings)), lambda p: p["x"])
-    ys = F.transform(F.flatten(F.col(rings)), lambda p: p["y"])
-    return df.withColumns({"min_x": F.array_min(xs), "min_y": F.array_min(ys), "max_x": F.array_max(xs), "max_y": F.array_max(ys)})
+    """Adds min_x, min_y, max_x and max_y (null without points), in a generator of one row, so that filters on them do not compute them again."""
+    points = F.flatten(F.col(rings))
+    xs, ys = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+    ends = F.struct(F.array_min(xs).alias("min_x"), F.array_min(ys).alias("min_y"), F.array_max(xs).alias("max_x"), F.array_max(ys).alias("max_y"))
+    return df.drop("min_x", "min_y", "max_x", "max_y").select("*", F.inline(F.array(ends)))
 
 
 def self_crossing(rings: Column) -> Column:

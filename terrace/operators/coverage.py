@@ -50,26 +50,38 @@ def spans(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
 
 
 def cover(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
-    """zone, n, row, col, hits: sub-cells (of n by n) of the cell whose centres the zone covers; only cells with any."""
+    """zone, n, band, row, col, hits: sub-cells (of n by n) of the cell whose centres the zone covers; only cells with any."""
     n_ = F.col("n")
     cells = spans(parcels, grid, n).withColumn("col", F.explode(F.sequence(F.floor(F.col("a") / n_), F.floor((F.col("b") - 1) / n_))))
     hits = F.least(F.col("b"), (F.col("col") + 1) * n_) - F.greatest(F.col("a"), F.col("col") * n_)
-    found = cells.select("zone", "n", "band", F.floor(F.col("r") / n_).alias("row"), "col", hits.alias("hits")).groupBy("zone", "n", "band", "row", "col").agg(F.sum("hits").alias("hits"))
-    return found.drop("band")
+    return cells.select("zone", "n", "band", F.floor(F.col("r") / n_).alias("row"), "col", hits.alias("hits")).groupBy("zone", "n", "band", "row", "col").agg(F.sum("hits").alias("hits"))
 
 
 def touched(parcels: DataFrame, grid: Grid) -> DataFrame:
-    """zone, row, col and centre (is the cell's centre covered?) of the cells whose centre the zone covers or that one of its edges passes; a point belongs to the cell right of and below it."""
+    """zone, band, row, col and centre (is the cell's centre covered?) of the cells whose centre the zone covers or that one of its edges passes; a point belongs to the cell right of and below it.
+
+    Edges are dealt out once; each of their rows gives the cells it passes there and, where it crosses the row's centre line, the place of the crossing.
+    """
     s = grid.cell
     e = edge_table(parcels, grid, F.lit(1))
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    rows = e.withColumns({"low": low, "high": high}).withColumns({"r0": F.greatest(F.floor(F.col("low") / s), F.lit(0)), "r1": F.least(F.floor(F.col("high") / s), F.lit(grid.height - 1))}).where("r0 <= r1").withColumn("row", F.explode(F.sequence("r0", "r1")))
-    at = lambda y: F.floor((F.col("x1") * F.abs(F.col("y2") - F.col("y1")) + F.signum(F.col("y2") - F.col("y1")) * (y - F.col("y1")) * (F.col("x2") - F.col("x1"))) / (F.abs(F.col("y2") - F.col("y1")) * s))
+    ranged = e.withColumns({"low": low, "high": high}).withColumns({"r0": F.greatest(F.floor(F.col("low") / s), F.lit(0)), "r1": F.least(F.floor(F.col("high") / s), F.lit(grid.height - 1))}).where("r0 <= r1")
+    banded = ranged.withColumn("band", F.explode(F.sequence(F.floor(F.col("r0") / BAND), F.floor(F.col("r1") / BAND)))).repartition(_tasks(parcels), "zone", "band")
+    rows = banded.withColumn("row", F.explode(F.sequence(F.greatest(F.col("r0"), F.col("band") * BAND), F.least(F.col("r1"), (F.col("band") + 1) * BAND - 1))))
+    rise, way = F.abs(F.col("y2") - F.col("y1")), F.signum(F.col("y2") - F.col("y1"))
+    at = lambda y: F.floor((F.col("x1") * rise + way * (y - F.col("y1")) * (F.col("x2") - F.col("x1"))) / (rise * s))
     top, bottom = F.greatest(F.col("low"), F.col("row") * s), F.least(F.col("high"), (F.col("row") + 1) * s)
     flat = F.col("y1") == F.col("y2")
     ca = F.when(flat, F.floor(F.col("x1") / s)).otherwise(at(top))
     cb = F.when(flat, F.floor(F.col("x2") / s)).otherwise(at(bottom))
-    ranged = rows.withColumns({"ca": ca, "cb": cb}).select("zone", "row", F.greatest(F.least("ca", "cb"), F.lit(0)).alias("c0"), F.least(F.greatest("ca", "cb"), F.lit(grid.width - 1)).alias("c1")).where("c0 <= c1")
-    passed = ranged.select("zone", "row", F.explode(F.sequence("c0", "c1")).alias("col"))
-    inside = cover(parcels, grid, F.lit(1)).select("zone", "row", "col", F.lit(True).alias("centre"))
-    return inside.union(passed.withColumn("centre", F.lit(False))).groupBy("zone", "row", "col").agg(F.max("centre").alias("centre"))
+    passed = F.struct(F.greatest(F.least(ca, cb), F.lit(0)).alias("a"), (F.least(F.greatest(ca, cb), F.lit(grid.width - 1)) + 1).alias("b"))
+    # in doubled coordinates, as spans() has them, whole-number input stays exact
+    middle = s * (2 * F.col("row") + 1)
+    d = 2 * rise
+    num = 2 * F.col("x1") * d + way * (middle - 2 * F.col("y1")) * 2 * (F.col("x2") - F.col("x1"))
+    crossing = F.when(~flat & (2 * F.col("low") <= middle) & (middle < 2 * F.col("high")), F.ceil((num - s * d) / (2 * s * d)))
+    met = rows.select("zone", "band", "row", passed.alias("passed"), crossing.alias("k")).groupBy("zone", "band", "row").agg(F.array_sort(F.collect_list("k")).alias("ks"), F.collect_list("passed").alias("passed"))
+    spans = F.transform(F.sequence(F.lit(0), (F.size("ks") / 2).cast("int") - 1), lambda i: F.struct(F.greatest(F.get("ks", 2 * i), F.lit(0)).alias("a"), F.least(F.get("ks", 2 * i + 1), F.lit(grid.width)).alias("b"), F.lit(True).alias("centre")))
+    edges_ = F.transform("passed", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), F.lit(False).alias("centre")))
+    runs = met.select("zone", "band", "row", F.explode(F.concat(F.when(F.size("ks") >= 2, spans).otherwise(F.slice(spans, 1, 0)), edges_)).alias("p")).select("zone", "band", "row", "p.*").where("a < b")
+    return runs.select("zone", "band", "row", "centre", F.explode(F.sequence(F.col("a"), F.col("b") - 1)).alias("col")).groupBy("zone", "band", "row", "col").agg(F.max("centre").alias("centre"))

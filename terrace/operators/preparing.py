@@ -80,8 +80,11 @@ def grid_chunks(df: DataFrame, size: int) -> DataFrame:
     side = F.greatest(F.lit(1), F.floor(F.sqrt(F.col("rows") / size)).cast("int"))
     rows = total.crossJoin(F.broadcast(box)).withColumn("side", side)
     step = lambda a, b: (F.col(b) - F.col(a)) / F.col("side")
-    cell = lambda c, a, b: F.least(F.greatest(F.floor((F.col(c) - F.col(a)) / step(a, b)), F.lit(0)), F.col("side") - 1)
-    low = lambda c, a, b: F.least(F.greatest(F.ceil((F.col(c) - F.col(a)) / step(a, b)) - 1, F.lit(0)), F.col("side") - 1)
+    # where all bounds share an x or a y, there is one column or row of cells
+    place = lambda c, a, b: F.coalesce(F.try_divide(F.col(c) - F.col(a), step(a, b)), F.lit(0.0))
+    held = lambda i: F.least(F.greatest(i, F.lit(0)), F.col("side") - 1)
+    cell = lambda c, a, b: held(F.floor(place(c, a, b)))
+    low = lambda c, a, b: held(F.ceil(place(c, a, b)) - 1)
     cells = rows.withColumn("i", F.explode(F.sequence(low("min_x", "bx0", "bx1"), cell("max_x", "bx0", "bx1")))).withColumn("j", F.explode(F.sequence(low("min_y", "by0", "by1"), cell("max_y", "by0", "by1"))))
     ids = cells.select("i", "j").distinct().withColumn("chunk_id", F.row_number().over(Window.orderBy("i", "j")) - 1)
     return cells.join(ids, ["i", "j"])

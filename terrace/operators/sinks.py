@@ -1,4 +1,4 @@
-"""Writing results: Parquet, GeoJSON lines, CSV, summary JSON, checkpoints."""
+"""Writing results: Parquet, GeoJSON lines, CSV, summary JSON."""
 
 from __future__ import annotations
 
@@ -65,18 +65,6 @@ def as_json(found: dict) -> str:
     return json.dumps(found, indent=2)
 
 
-def write_checkpoint(rows: DataFrame, folder: str) -> None:
-    """Appends results by chunk_id; a chunk that is written is done."""
-    rows.write.mode("append").partitionBy("chunk_id").parquet(folder)
-
-
-def read_checkpoint(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """All chunks written so far; empty when there are none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema(schema).parquet(folder) if there else spark.createDataFrame([], schema)
-
-
 def clean_checkpoint(spark: SparkSession, folder: str) -> bool:
     """Deletes a checkpoint folder; was there one?"""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

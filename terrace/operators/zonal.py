@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..config import CLASSES, NODATA, PERCENTS, PROPORTION_TOLERANCE, SQUARE_METRES_AN_ACRE, TIER_ELSE, TIERS, Grid, Settings
+from ..config import CLASSES, PERCENTS, PROPORTION_TOLERANCE, SQUARE_METRES_AN_ACRE, TIER_ELSE, TIERS, Grid, Settings
 from ..functions.geometry import acres
 from .coverage import cover, touched
+from .tiles import met
 
 
 def resolution(acreage: Column) -> Column:
@@ -25,9 +26,9 @@ def class_name(value: Column) -> Column:
     return out
 
 
-def class_hits(covered: DataFrame, px: DataFrame) -> DataFrame:
-    """zone, val, hits: covered cells met with the raster by an equi-join on (row, col); no-data cells fall away."""
-    return covered.join(px.where(F.col("val") != NODATA), ["row", "col"]).groupBy("zone", "val").agg(F.sum("hits").alias("hits"))
+def class_hits(covered: DataFrame, px: DataFrame, zones: DataFrame, grid: Grid) -> DataFrame:
+    """zone, val, hits: covered cells met with the raster's tiles; no-data cells fall away. The raster may be tiles or a row for each cell, which are tiled first."""
+    return met(covered, px, zones, grid, "hits").groupBy("zone", "val").agg(F.sum("hits").alias("hits"))
 
 
 def summary(parcels: DataFrame, hits: DataFrame, scale: Column, grid: Grid, mapped_only: bool) -> DataFrame:
@@ -67,13 +68,13 @@ def zonal(parcels: DataFrame, px: DataFrame, grid: Grid, method: str = "subpixel
     plain = parcels.drop("rings")
     if method == "subpixel":
         sized = parcels.withColumn("n", resolution(F.col("CAL_ACREAGE") if "CAL_ACREAGE" in parcels.columns else acres(F.col("rings"))).cast("long"))
-        hits = class_hits(cover(sized, grid, F.col("n")), px)
+        hits = class_hits(cover(sized, grid, F.col("n")), px, parcels, grid)
         rows = summary(sized.drop("rings"), hits, F.col("n") * F.col("n"), grid, mapped_only=False)
         return acre_difference(rows).withColumnRenamed("n", "subpixel_resolution")
     if method not in ("center", "standard"):
         raise ValueError(f"unknown method: {method}")
-    covered = cover(parcels, grid, F.lit(1)) if method == "center" else touched(parcels, grid).select("zone", "row", "col", F.lit(1).cast("long").alias("hits"))
-    rows = summary(plain, class_hits(covered, px), F.lit(1), grid, mapped_only=True)
+    covered = cover(parcels, grid, F.lit(1)) if method == "center" else touched(parcels, grid).withColumn("hits", F.lit(1).cast("long"))
+    rows = summary(plain, class_hits(covered, px, parcels, grid), F.lit(1), grid, mapped_only=True)
     return rows.withColumns({"acre_diff": F.lit(None).cast("double"), "acre_diff_pct": F.lit(None).cast("double"), "subpixel_resolution": F.lit(None).cast("long")})
 
 
@@ -86,8 +87,7 @@ def fixed_acres(parcels: DataFrame, grid: Grid, n: int) -> DataFrame:
 
 def weighted_count(parcels: DataFrame, px: DataFrame, grid: Grid) -> DataFrame:
     """Touched and centre counts of cells with data, mixed: 0.8 for the centre count below one cell's acreage, 0.5 below two, else 0.2."""
-    data = px.where(F.col("val") != NODATA).select("row", "col")
-    both = touched(parcels, grid).join(data, ["row", "col"]).groupBy("zone").agg(F.count(F.lit(1)).alias("touched"), F.count_if("centre").alias("centre"))
+    both = met(touched(parcels, grid), px, parcels, grid, "centre").groupBy("zone").agg(F.count(F.lit(1)).alias("touched"), F.count_if("centre").alias("centre"))
     cell = grid.pixel_area / SQUARE_METRES_AN_ACRE
     acreage = F.coalesce(F.col("CAL_ACREAGE"), F.lit(1.0))
     w = F.when(acreage < cell, 0.8).when(acreage < 2 * cell, 0.5).otherwise(0.2)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import Grid, Settings
 from ..functions.geometry import reproject
-from ..operators import preparing, sinks, zonal
+from ..operators import checkpoint as steps, preparing, zonal
 
 
 def prepare(parcels: DataFrame, grid: Grid, least_area: float = 0.0, degrees: bool = False) -> DataFrame:
@@ -21,14 +23,16 @@ def prepare(parcels: DataFrame, grid: Grid, least_area: float = 0.0, degrees: bo
 
 
 def run(parcels: DataFrame, px: DataFrame, grid: Grid, method: str = "subpixel", least_area: float = 0.0, checkpoint: str | None = None, settings: Settings | None = None) -> DataFrame:
-    """Validated results. With a checkpoint folder: chunks that are written there are read back, the others computed and added."""
+    """Validated results. With a checkpoint folder: zones are prepared there once, and groups of chunks computed and committed one after another; a run that broke off goes on where it was (see operators/checkpoint.py)."""
     settings = settings or Settings()
-    zones = preparing.count_chunks(prepare(parcels, grid, least_area), settings.chunk_size)
+    zones = lambda: preparing.count_chunks(prepare(parcels, grid, least_area), settings.chunk_size)
     compute = lambda z: zonal.validate(zonal.zonal(z, px, grid, method), settings)
     if checkpoint is None:
-        return compute(zones)
-    schema = compute(zones).schema
-    spark = parcels.sparkSession
-    done = sinks.read_checkpoint(spark, checkpoint, schema).select("chunk_id").distinct()
-    sinks.write_checkpoint(compute(preparing.pending(zones, done)), checkpoint)
-    return sinks.read_checkpoint(spark, checkpoint, schema)
+        return compute(zones())
+    known = {"method": method, "least_area": least_area, "chunk_size": settings.chunk_size, "min_valid_pixels": settings.min_valid_pixels, "grid": asdict(grid)}
+    return steps.run(steps.Folder(parcels.sparkSession, checkpoint), zones, compute, known, settings.chunks_a_commit)
+
+
+def summary(parcels: DataFrame, checkpoint: str) -> DataFrame:
+    """Groups, zones, seconds, zones a second and method of a run with a checkpoint folder, as far as it is committed."""
+    return zonal.processing_summary(steps.progress(steps.Folder(parcels.sparkSession, checkpoint)))

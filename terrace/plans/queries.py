@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import CLASSES, PERCENTS
 from ..functions.geometry import acres, albers, area, with_bounds
 from ..functions import wkb
-from ..operators import analysis, comparing, preparing, zonal
+from ..operators import analysis, comparing, preparing, tiles, zonal
 from ..sources import derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,7 +137,7 @@ for _n in (2, 5, 10):
 @query(f"WITH {PARCELS}, {sub_cells('5')}, {results('hit', True)} SELECT PARCEL_LID, {SHOWN} FROM res")
 def subpixel5_mapped(spark, d):
     grid, px, zones = given(spark, d)
-    hits = zonal.class_hits(zonal.cover(zones, grid, F.lit(5)), px)
+    hits = zonal.class_hits(zonal.cover(zones, grid, F.lit(5)), px, zones, grid)
     return shown(zonal.summary(zones.drop("rings"), hits, F.lit(25), grid, mapped_only=True))
 
 
@@ -188,7 +188,8 @@ def raster_histogram(spark, d):
 
 @query(f'WITH {PARCELS} SELECT "row", col, val FROM px WHERE "row" BETWEEN 2 AND 8 AND col BETWEEN 10 AND 40')
 def raster_window_read(spark, d):
-    return derived.raster(spark, d).where("row between 2 and 8 and col between 10 and 40").select("row", "col", "val")
+    """Two cells around the bounds."""
+    return tiles.read_window(tiles.tiled(derived.raster(spark, d)), derived.grid_of(spark, d), (360, 120, 1140, 180), pad=2)
 
 
 @query(f"""WITH {PARCELS}, c AS (SELECT ['DEVELOPED', 'AGRICULTURE', 'RANGELAND_PASTURE', 'FOREST', 'OTHER', 'OTHER', 'OTHER', 'DEVELOPED', 'FOREST', 'RANGELAND_PASTURE', 'AGRICULTURE', 'AGRICULTURE', 'OTHER', 'OTHER', 'OTHER'][val] AS class, count(*) AS cells FROM px WHERE val BETWEEN 1 AND 15 GROUP BY 1)
@@ -208,7 +209,7 @@ def masked_histogram(spark, d):
     box = derived.counties(spark, d, grid).where("c_min_x = 720 and c_min_y = 0")
     ring = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("c_min_x", "c_min_y"), ("c_max_x", "c_min_y"), ("c_max_x", "c_max_y"), ("c_min_x", "c_max_y"))])
     zone = box.select(F.col("NAME").alias("zone"), F.array(ring).alias("rings"))
-    return zonal.class_hits(zonal.cover(zone, grid, F.lit(1)), derived.raster(spark, d)).select("val", F.col("hits").alias("n"))
+    return zonal.class_hits(zonal.cover(zone, grid, F.lit(1)), derived.raster(spark, d), zone, grid).select("val", F.col("hits").alias("n"))
 
 
 # ---- zones
