@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import CLASSES, PERCENTS
 from ..functions.geometry import acres, albers, area, with_bounds
 from ..functions import wkb
-from ..operators import analysis, comparing, preparing, tiles, zonal
+from ..operators import analysis, comparing, joining, preparing, tiles, zonal
 from ..sources import derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -282,6 +282,38 @@ def county_spatial_join(spark, d):
     return preparing.boxes_join(with_bounds(zones), derived.counties(spark, d, grid), 720.0).select("PARCEL_LID", "NAME")
 
 
+#: Every pair of edges, and every first point against all edges, of zones and districts whose bounds meet.
+DISTRICTS = f"""{PARCELS},
+n0 AS (SELECT n_name AS NAME, n_nationkey % 3 AS turn, n_nationkey % 5 * 720 AS ax, n_nationkey // 5 * H * 6 AS ay, 120 AS u, H AS v FROM nation, g),
+n1 AS (SELECT *, CASE turn WHEN 0 THEN [[[ax, ay], [ax + 6 * u, ay], [ax + 6 * u, ay + 6 * v], [ax, ay + 6 * v]]]
+                           WHEN 1 THEN [[[ax, ay], [ax + 6 * u, ay], [ax + 6 * u, ay + 3 * v], [ax + 3 * u, ay + 3 * v], [ax + 3 * u, ay + 6 * v], [ax, ay + 6 * v]]]
+                           ELSE [[[ax, ay], [ax + 6 * u, ay], [ax + 6 * u, ay + 6 * v], [ax, ay + 6 * v]], [[ax + 2 * u, ay + 2 * v], [ax + 4 * u, ay + 2 * v], [ax + 4 * u, ay + 4 * v], [ax + 2 * u, ay + 4 * v]]] END AS rings FROM n0),
+dring AS (SELECT NAME, unnest(rings) AS pts FROM n1),
+dedge AS (SELECT NAME, pts[i][1] AS x1, pts[i][2] AS y1, pts[i % len(pts) + 1][1] AS x2, pts[i % len(pts) + 1][2] AS y2 FROM (SELECT NAME, pts, unnest(range(1, len(pts) + 1)) AS i FROM dring)),
+pair AS (SELECT zone, NAME FROM parcels JOIN n1 ON x + w >= ax AND x <= ax + 6 * u AND y + w >= ay AND y <= ay + 6 * v),
+ef AS (SELECT p.zone, p.NAME, e.x1, e.y1, e.x2, e.y2, f.x1 AS u1, f.y1 AS v1, f.x2 AS u2, f.y2 AS v2 FROM pair p JOIN edge e ON p.zone = e.zone JOIN dedge f ON p.NAME = f.NAME),
+crossed AS (SELECT zone, NAME FROM ef WHERE least(x1, x2) <= greatest(u1, u2) AND least(u1, u2) <= greatest(x1, x2) AND least(y1, y2) <= greatest(v1, v2) AND least(v1, v2) <= greatest(y1, y2)
+            AND sign((x2 - x1) * (v1 - y1) - (y2 - y1) * (u1 - x1)) * sign((x2 - x1) * (v2 - y1) - (y2 - y1) * (u2 - x1)) <= 0 AND sign((u2 - u1) * (y1 - v1) - (v2 - v1) * (x1 - u1)) * sign((u2 - u1) * (y2 - v1) - (v2 - v1) * (x2 - u1)) <= 0),
+zin AS (SELECT p.zone, p.NAME, r.pts FROM pair p JOIN ring r ON p.zone = r.zone JOIN dedge f ON p.NAME = f.NAME WHERE (f.y1 <= r.pts[1][2]) <> (f.y2 <= r.pts[1][2]) AND f.x1 + (r.pts[1][2] - f.y1) * (f.x2 - f.x1) / (f.y2 - f.y1) <= r.pts[1][1] GROUP BY ALL HAVING count(*) % 2 = 1),
+din AS (SELECT p.zone, p.NAME, r.pts FROM pair p JOIN dring r ON p.NAME = r.NAME JOIN edge f ON p.zone = f.zone WHERE (f.y1 <= r.pts[1][2]) <> (f.y2 <= r.pts[1][2]) AND f.x1 + (r.pts[1][2] - f.y1) * (f.x2 - f.x1) / (f.y2 - f.y1) <= r.pts[1][1] GROUP BY ALL HAVING count(*) % 2 = 1),
+meets AS (SELECT zone, NAME FROM crossed UNION SELECT zone, NAME FROM zin UNION SELECT zone, NAME FROM din)"""
+
+
+@query(f"WITH {DISTRICTS} SELECT zone AS PARCEL_LID, NAME FROM meets")
+def district_polygon_join(spark, d):
+    grid, _, zones = given(spark, d)
+    return joining.intersecting(zones, derived.districts(spark, d, grid), "PARCEL_LID", "NAME")
+
+
+@query(f"WITH {DISTRICTS} SELECT m.zone AS PARCEL_LID, CAST(area AS DOUBLE) AS area_m2 FROM meets m JOIN parcels p ON m.zone = p.zone WHERE NAME = (SELECT n_name FROM nation WHERE n_nationkey = 7)")
+def zones_of_a_district(spark, d):
+    """Zones of one boundary that is looked up by its columns, as for a sample of a county."""
+    grid, _, zones = given(spark, d)
+    name = derived.table(spark, d, "nation").where("n_nationkey = 7").first()["n_name"]
+    one = joining.boundary(derived.districts(spark, d, grid), NAME=name)
+    return zones.join(joining.intersecting(zones, one, "PARCEL_LID", "NAME"), "PARCEL_LID").select("PARCEL_LID", area(F.col("rings")).alias("area_m2"))
+
+
 @query(f"WITH {PARCELS} SELECT zone AS PARCEL_LID, CAST(area AS DOUBLE) AS area_m2 FROM parcels ORDER BY area, zone LIMIT 50")
 def smallest_k(spark, d):
     return given(spark, d)[2].select("PARCEL_LID", area(F.col("rings")).alias("area_m2")).orderBy("area_m2", "PARCEL_LID").limit(50)

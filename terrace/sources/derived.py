@@ -51,3 +51,14 @@ def counties(spark: SparkSession, sf_dir: str, grid: Grid) -> DataFrame:
     k = F.col("n_nationkey")
     i, j, step = k % 5, F.floor(k / 5), grid.height * 6
     return table(spark, sf_dir, "nation").select(F.lpad(F.col("n_regionkey").cast("string"), 2, "0").alias("STATEFP"), F.col("n_name").alias("NAME"), *[c.cast("double").alias(n) for n, c in (("c_min_x", i * 720), ("c_min_y", j * step), ("c_max_x", (i + 1) * 720), ("c_max_y", (j + 1) * step))])
+
+
+def districts(spark: SparkSession, sf_dir: str, grid: Grid) -> DataFrame:
+    """STATEFP, NAME and rings: in the boxes of counties, in turn, the box, an L of it, and it with a hole."""
+    rows = counties(spark, sf_dir, grid).join(table(spark, sf_dir, "nation").select(F.col("n_name").alias("NAME"), F.col("n_nationkey").alias("turn")), "NAME")
+    x, y, w, h = F.col("c_min_x"), F.col("c_min_y"), F.col("c_max_x") - F.col("c_min_x"), F.col("c_max_y") - F.col("c_min_y")
+    at = lambda a, b: point(x + w * a / 6, y + h * b / 6)
+    whole = F.array(at(0, 0), at(6, 0), at(6, 6), at(0, 6))
+    bent = F.array(at(0, 0), at(6, 0), at(6, 3), at(3, 3), at(3, 6), at(0, 6))
+    hole = F.array(at(2, 2), at(4, 2), at(4, 4), at(2, 4))
+    return rows.select("STATEFP", "NAME", F.when(F.col("turn") % 3 == 0, F.array(whole)).when(F.col("turn") % 3 == 1, F.array(bent)).otherwise(F.array(whole, hole)).cast(RINGS).alias("rings"))
