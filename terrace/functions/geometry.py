@@ -34,13 +34,28 @@ def holds(ring: Column, x: Column, y: Column) -> Column:
     return F.aggregate(ring_edges(ring), F.lit(False), lambda odd, e: odd != (((e["y1"] <= y) != (e["y2"] <= y)) & F.coalesce(across(e), F.lit(False))))
 
 
+def nested(ring: Column, other: Column) -> Column:
+    """Does the ring lie inside the other, where the two do not cross? Told by the middles of its first five edges, most of them, since rings may touch at points."""
+    middles = F.slice(ring_edges(ring), 1, 5)
+    held = F.size(F.filter(middles, lambda e: holds(other, (e["x1"] + e["x2"]) / 2, (e["y1"] + e["y2"]) / 2)))
+    return (other != ring) & (2 * held > F.size(middles))
+
+
 def area(rings: Column) -> Column:
     """Planar area, holes taken off: a ring inside an odd number of others is a hole, so parts of a multipolygon add up."""
-    inside = lambda r: F.size(F.filter(rings, lambda other: (other != r) & holds(other, r[0]["x"], r[0]["y"])))
+    inside = lambda r: F.size(F.filter(rings, lambda other: nested(r, other)))
     signed = lambda a, r: a + ring_area(r) * (1 - 2 * (inside(r) % 2))
     return F.when(F.size(rings) == 1, ring_area(F.get(rings, F.lit(0)))).otherwise(F.aggregate(rings, F.lit(0.0), signed))
 
 
+def parts(rings: Column) -> Column:
+    """Rings as parts of a multipolygon, each a shell and then its holes: a ring inside an even number of others is a shell, and the holes of a shell are the rings one level deeper inside it. Null stays null."""
+    placed = F.transform(rings, lambda r: F.struct(r.alias("r"), F.size(F.filter(rings, lambda other: nested(r, other))).alias("depth")))
+    shells = F.filter(placed, lambda s: s["depth"] % 2 == 0)
+    of = lambda s: F.transform(F.filter(placed, lambda h: (h["depth"] == s["depth"] + 1) & nested(h["r"], s["r"])), lambda h: h["r"])
+    return F.when(F.size(rings) <= 1, F.filter(F.array(rings), lambda p: F.size(p) > 0)).otherwise(F.transform(shells, lambda s: F.concat(F.array(s["r"]), of(s))))
+
+
 def meets_box(rings: Column, min_x: float, min_y: float, max_x: float, max_y: float) -> Column:
     """Has the polygon a point in the box: a corner of its own in there, an edge through it, or the box inside the polygon?"""
     corner = lambda p: (p["x"] >= min_x) & (p["x"] <= max_x) & (p["y"] >= min_y) & (p["y"] <= max_y)
@@ -77,14 +92,6 @@ def with_bounds(df: DataFrame, rings: str = "rings") -> DataFrame:
     return df.drop("min_x", "min_y", "max_x", "max_y").select("*", F.inline(F.array(ends)))
 
 
-def self_crossing(rings: Column) -> Column:
-    """Do two edges of the first ring properly cross?"""
-    e = ring_edges(F.get(rings, F.lit(0)))
-    turn = lambda a, x, y: (a["x2"] - a["x1"]) * (y - a["y1"]) - (a["y2"] - a["y1"]) * (x - a["x1"])
-    cross = lambda a, b: (turn(a, b["x1"], b["y1"]) * turn(a, b["x2"], b["y2"]) < 0) & (turn(b, a["x1"], a["y1"]) * turn(b, a["x2"], a["y2"]) < 0)
-    return F.exists(e, lambda a: F.exists(e, lambda b: cross(a, b)))
-
-
 def albers(lon: Column, lat: Column, lat0: float = 23.0, lon0: float = -96.0, lat1: float = 29.5, lat2: float = 45.5) -> tuple[Column, Column]:
     """Albers equal-area conic, ellipsoidal form (Snyder, USGS PP 1395), GRS80, metres."""
     a, f = 6378137.0, 1 / 298.257222101

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .geometry import RINGS
+from .geometry import RINGS, parts
 
 POLYGON, MULTIPOLYGON = 3, 6
 
@@ -31,9 +31,13 @@ def _count(n: Column) -> Column:
 
 
 def encode(rings: Column) -> Column:
-    """A polygon of these rings (big-endian; each ring closed by its first point); null stays null. Ordinary finite doubles only."""
+    """A polygon of these rings, or a multipolygon where they make several parts (big-endian; each ring closed by its first point); null stays null. Ordinary finite doubles only."""
     ring = lambda r: F.concat(_count(F.size(r) + 1), F.array_join(F.transform(F.concat(r, F.slice(r, 1, 1)), lambda p: F.concat(_double(p["x"]), _double(p["y"]))), ""))
-    return F.unhex(F.concat(F.lit("0000000003"), _count(F.size(rings)), F.array_join(F.transform(rings, ring), "")))
+    polygon = lambda rs: F.concat(F.lit(f"00{POLYGON:08X}"), _count(F.size(rs)), F.array_join(F.transform(rs, ring), ""))
+    many = lambda ps: F.concat(F.lit(f"00{MULTIPOLYGON:08X}"), _count(F.size(ps)), F.array_join(F.transform(ps, polygon), ""))
+    # of one ring there is one part; the others are sorted into parts first
+    several = F.aggregate(F.array(parts(rings)), F.lit(None).cast("string"), lambda _, ps: F.when(F.size(ps) == 1, polygon(F.get(ps, F.lit(0)))).otherwise(many(ps)))
+    return F.unhex(F.when(F.size(rings) <= 1, polygon(rings)).otherwise(several))
 
 
 def parse(data: bytes | None) -> list[list[dict]] | None:

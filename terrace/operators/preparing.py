@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Settings
-from ..functions.geometry import area, meets_box, self_crossing, with_bounds
+from ..functions.geometry import area, meets_box, with_bounds
+from . import repairing
 
 
 def require(df: DataFrame, *names: str) -> DataFrame:
@@ -16,10 +17,12 @@ def require(df: DataFrame, *names: str) -> DataFrame:
 
 
 def validity(df: DataFrame) -> DataFrame:
-    """n_null, n_empty, n_invalid (self-crossing) and n_valid in one pass."""
+    """n_null, n_empty, n_invalid (see repairing.invalid) and n_valid of zones with rings: one row."""
+    rows = df.select(F.monotonically_increasing_id().alias("key"), F.inline(F.array(F.struct(repairing.cleaned(F.col("rings")).alias("rings")))))
+    bad = repairing.invalid(rows).distinct().agg(F.count(F.lit(1)).alias("n_invalid"))
     null, empty = F.col("rings").isNull(), F.coalesce(F.size("rings") == 0, F.lit(False))
-    bad = ~null & ~empty & F.coalesce(self_crossing(F.col("rings")), F.lit(False))
-    return df.agg(F.count_if(null).alias("n_null"), F.count_if(empty).alias("n_empty"), F.count_if(bad).alias("n_invalid"), F.count_if(~null & ~empty & ~bad).alias("n_valid"))
+    counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(null).alias("n_null"), F.count_if(empty).alias("n_empty"))
+    return counts.crossJoin(bad).select("n_null", "n_empty", "n_invalid", (F.col("n") - F.col("n_null") - F.col("n_empty") - F.col("n_invalid")).alias("n_valid"))
 
 
 def drop_empty(df: DataFrame) -> DataFrame:
@@ -32,13 +35,6 @@ def clip(df: DataFrame, min_x: float, min_y: float, max_x: float, max_y: float)
     return near.where(meets_box(F.col("rings"), min_x, min_y, max_x, max_y))
 
 
-def repair(df: DataFrame) -> DataFrame:
-    """Repeated neighbouring points go, then rings of fewer than three, then zones without a ring. What crosses itself stays: coverage fills it by the even-odd rule."""
-    again = lambda r: F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, F.greatest(i - 1, F.lit(0)))))
-    rings = F.filter(F.transform("rings", again), lambda r: F.size(r) >= 3)
-    return drop_empty(df.withColumn("rings", rings))
-
-
 def statistics(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: validity counts of the zones before preparation, and how many there were, are left and were removed."""
     n = before.agg(F.count(F.lit(1)).alias("n_before")).crossJoin(after.agg(F.count(F.lit(1)).alias("n_after")))

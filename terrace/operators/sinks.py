@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import PERCENTS, Settings
 from ..functions import wkb
+from ..functions.geometry import parts
 
 FORMATS = ("parquet", "geojson", "csv")
 
 
 def save(rows: DataFrame, folder: str, fmt: str = "parquet", settings: Settings | None = None) -> str:
-    """Writes into a folder named by time and format; returns its path. Parquet: rings as well-known binary in a column geometry. GeoJSON: one feature a line. CSV: without geometry."""
+    """Writes into a folder named by time and format; returns its path. Parquet: rings as well-known binary in a column geometry. GeoJSON: one feature a line. Both write a multipolygon where rings make several parts (see geometry.parts). CSV: without geometry."""
     if fmt not in FORMATS:
         raise ValueError(f"unknown format: {fmt}")
     path = f"{folder}/zone_results_{datetime.now(UTC):%Y%m%d_%H%M%S_%f}.{fmt}"
@@ -26,9 +27,13 @@ def save(rows: DataFrame, folder: str, fmt: str = "parquet", settings: Settings
         plain.write.option("header", True).csv(path)
     else:
         ring = lambda r: F.transform(F.concat(r, F.slice(r, 1, 1)), lambda p: F.array(p["x"], p["y"]))
-        shape = F.struct(F.lit("Polygon").alias("type"), F.transform("rings", ring).alias("coordinates"))
-        feature = F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*plain.columns).alias("properties"))
-        rows.select(F.to_json(feature).alias("value")).write.text(path)
+        polygon = lambda rs: F.transform(rs, ring)
+        shape = lambda kind, value: F.to_json(F.struct(F.lit(kind).alias("type"), value.alias("coordinates")))
+        # a generator of one row, so that parts are found once
+        held = rows.select(*plain.columns, F.inline(F.array(F.struct(parts(F.col("rings")).alias("__parts")))))
+        geometry = F.when(F.col("__parts").isNull(), "null").when(F.size("__parts") == 1, shape("Polygon", polygon(F.get("__parts", F.lit(0))))).otherwise(shape("MultiPolygon", F.transform("__parts", polygon)))
+        feature = F.concat(F.lit('{"type":"Feature","geometry":'), geometry, F.lit(',"properties":'), F.to_json(F.struct(*plain.columns)), F.lit("}"))
+        held.select(feature.alias("value")).write.text(path)
     return path
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import Grid, Settings
 from ..functions.geometry import reproject
-from ..operators import checkpoint as steps, preparing, zonal
+from ..operators import checkpoint as steps, preparing, repairing, zonal
 
 
 def prepare(parcels: DataFrame, grid: Grid, least_area: float = 0.0, degrees: bool = False) -> DataFrame:
@@ -17,7 +17,7 @@ def prepare(parcels: DataFrame, grid: Grid, least_area: float = 0.0, degrees: bo
     rows = parcels.withColumn("rings", reproject(F.col("rings"))) if degrees else parcels
     rows = rows.withColumn("zone", F.col("PARCEL_LID")) if "zone" not in rows.columns else rows
     rows = rows.withColumn("k", F.xxhash64("PARCEL_LID")) if "k" not in rows.columns else rows
-    rows = preparing.clip(preparing.repair(preparing.drop_empty(rows)), grid.origin_x, grid.origin_y, grid.origin_x + grid.width * grid.cell, grid.origin_y + grid.height * grid.cell)
+    rows = preparing.clip(repairing.repair(rows), grid.origin_x, grid.origin_y, grid.origin_x + grid.width * grid.cell, grid.origin_y + grid.height * grid.cell)
     rows = preparing.filter_by_area(rows, least_area) if least_area > 0 else rows
     return preparing.numbered(rows.drop("min_x", "min_y", "max_x", "max_y"), "k")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import CLASSES, PERCENTS
 from ..functions.geometry import acres, albers, area, with_bounds
 from ..functions import wkb
-from ..operators import analysis, comparing, joining, preparing, tiles, zonal
+from ..operators import analysis, comparing, joining, preparing, repairing, tiles, zonal
 from ..sources import derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -241,6 +241,20 @@ def geometry_validation_counts(spark, d):
     return preparing.validity(zones.withColumn("rings", bad))
 
 
+@query(f"""WITH {PARCELS} SELECT zone AS PARCEL_LID, CASE WHEN k % 8 IN (3, 5) OR shape = 3 THEN 2 ELSE 1 END AS n_rings, round(CASE k % 8 WHEN 3 THEN w * w / 2.0 WHEN 5 THEN w * w * 1.5 ELSE area END, 3) AS area_m2 FROM parcels WHERE k % 40 NOT IN (7, 15)""")
+def repair_geometries(spark, d):
+    """Some zones are bow ties, some two squares over each other, some null or empty."""
+    zones = given(spark, d)[2]
+    first = F.get("rings", F.lit(0))
+    x0, y0, w = first[0]["x"], first[0]["y"], F.array_max(F.transform(first, lambda p: p["x"])) - first[0]["x"]
+    at = lambda a, b: F.struct((x0 + a * w).alias("x"), (y0 + b * w).alias("y"))
+    square = lambda a: F.array(at(a, a), at(a + 1, a), at(a + 1, a + 1), at(a, a + 1))
+    bow, two = F.array(F.array(at(0, 0), at(1, 1), at(1, 0), at(0, 1))), F.array(square(0), square(0.5))
+    k, empty = F.col("k"), F.array().cast(zones.schema["rings"].dataType)
+    broken = F.when(k % 40 == 7, None).when(k % 40 == 15, empty).when(k % 8 == 3, bow).when(k % 8 == 5, two).otherwise(F.col("rings"))
+    return repairing.repair(zones.withColumn("rings", broken)).select("PARCEL_LID", F.size("rings").alias("n_rings"), F.round(area(F.col("rings")), 3).alias("area_m2"))
+
+
 @query(f"WITH {PARCELS} SELECT zone AS PARCEL_LID, row_number() OVER (ORDER BY zone) - 1 AS processing_id FROM parcels")
 def processing_id(spark, d):
     return preparing.numbered(given(spark, d)[2], "k").select("PARCEL_LID", "processing_id")

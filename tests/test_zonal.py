@@ -161,7 +161,8 @@ def test_preparation_in_degrees(spark):
     rows = zones(spark, (1.0, [ring((-96.001, 22.999), (-95.999, 22.999), (-95.999, 22.999), (-95.999, 23.001), (-96.001, 23.001))]), (1.0, [box(-90, 30, -89, 31)]), (1.0, None), (1.0, []), (1.0, [ring((-96, 23), (-96, 23))]))
     out = pipeline.prepare(rows.drop("k", "zone"), grid, degrees=True)
     assert [r["PARCEL_LID"] for r in out.collect()] == ["0"] and len(out.first()["rings"][0]) == 4
-    assert tuple(preparing.statistics(rows, out).first()) == (1, 1, 0, 3, 5, 1, 4)
+    # a ring of one point is not valid
+    assert tuple(preparing.statistics(rows, out).first()) == (1, 1, 1, 2, 5, 1, 4)
 
 
 def test_pipeline_resumes_and_saves(spark, tmp_path):
