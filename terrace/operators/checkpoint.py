@@ -74,17 +74,16 @@ def progress(folder: Folder) -> DataFrame:
 def prepared(folder: Folder, zones: Callable[[], DataFrame], settings: dict, chunks_a_group: int) -> DataFrame:
     """Zones with chunk_id and group, written once by group and read back; a writing that broke off is done again. Raises where the folder belongs to a run with other settings."""
     settings = settings | {"chunks_a_group": chunks_a_group}
-    before = folder.values("run.json")
-    if before and before[0] != settings:
-        raise ValueError(f"{folder.path} holds a run with other settings: {before[0]}")
+    before = [x for x in folder.values("run.json") if {"settings", "schema"} <= set(x)]
+    if before and before[0]["settings"] != settings:
+        raise ValueError(f"{folder.path} holds a run with other settings: {before[0]['settings']}")
     if not before:
-        # run.json comes last, so zones without it are not complete
         grouped = zones().withColumn("group", F.floor(F.col("chunk_id") / chunks_a_group))
         grouped.repartition("group", "chunk_id").write.mode("overwrite").partitionBy("group").parquet(f"{folder.path}/zones")
-        folder.put("run.json", settings)
-    # an empty table leaves no file behind to take the schema from
-    schema = zones().schema.add("group", T.LongType())
-    return folder.spark.read.schema(schema).parquet(f"{folder.path}/zones")
+        # run.json comes last, so zones without it are not complete; an empty table leaves no file to take the schema from
+        before = [{"settings": settings, "schema": grouped.schema.jsonValue()}]
+        folder.put("run.json", before[0])
+    return folder.spark.read.schema(T.StructType.fromJson(before[0]["schema"])).parquet(f"{folder.path}/zones")
 
 
 def run(folder: Folder, zones: Callable[[], DataFrame], compute: Callable[[DataFrame], DataFrame], settings: dict, chunks_a_group: int = CHUNKS_A_GROUP) -> DataFrame:

@@ -18,7 +18,7 @@ def require(df: DataFrame, *names: str) -> DataFrame:
 
 def validity(df: DataFrame) -> DataFrame:
     """n_null, n_empty, n_invalid (see repairing.invalid) and n_valid of zones with rings: one row."""
-    rows = df.select(F.monotonically_increasing_id().alias("key"), F.inline(F.array(F.struct(repairing.cleaned(F.col("rings")).alias("rings")))))
+    rows = df.select(F.monotonically_increasing_id().alias("key"), "rings")
     bad = repairing.invalid(rows).distinct().agg(F.count(F.lit(1)).alias("n_invalid"))
     null, empty = F.col("rings").isNull(), F.coalesce(F.size("rings") == 0, F.lit(False))
     counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(null).alias("n_null"), F.count_if(empty).alias("n_empty"))

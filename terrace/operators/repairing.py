@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geometry import RINGS, with_bounds
+from ..sources.scratch import remove, written
 from .joining import crosses
 
 #: Up to so many edges are compared within their row, each with each; beyond, cells join. Both use the same test.
@@ -38,55 +39,58 @@ def _edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, of))
 
 
-def _turn(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    return ax * by - ay * bx
+# Tests of two edges are SQL text over their names, which is quicker to build than columns.
+def _turn(ax: str, ay: str, bx: str, by: str) -> str:
+    return f"(({ax}) * ({by}) - ({ay}) * ({bx}))"
 
 
-def _on(e: Column, x: Column, y: Column) -> Column:
+def _side(e: str, x: str, y: str) -> str:
+    return _turn(f"{e}.x2 - {e}.x1", f"{e}.y2 - {e}.y1", f"{x} - {e}.x1", f"{y} - {e}.y1")
+
+
+def _on(e: str, x: str, y: str) -> str:
     """Does the point lie on the edge?"""
-    straight = _turn(e["x2"] - e["x1"], e["y2"] - e["y1"], x - e["x1"], y - e["y1"]) == 0
-    between = lambda v, a, b: (v >= F.least(a, b)) & (v <= F.greatest(a, b))
-    return straight & between(x, e["x1"], e["x2"]) & between(y, e["y1"], e["y2"])
+    between = lambda v, c: f"{v} BETWEEN least({e}.{c}1, {e}.{c}2) AND greatest({e}.{c}1, {e}.{c}2)"
+    return f"({_side(e, x, y)} = 0 AND {between(x, 'x')} AND {between(y, 'y')})"
 
 
-def _properly(e: Column, f: Column) -> Column:
+def _properly(e: str, f: str) -> str:
     """Do two edges cross at a point inside both?"""
-    side = lambda a, x, y: F.signum(_turn(a["x2"] - a["x1"], a["y2"] - a["y1"], x - a["x1"], y - a["y1"]))
-    return (side(e, f["x1"], f["y1"]) * side(e, f["x2"], f["y2"]) < 0) & (side(f, e["x1"], e["y1"]) * side(f, e["x2"], e["y2"]) < 0)
+    apart = lambda a, b: f"signum({_side(a, f'{b}.x1', f'{b}.y1')}) * signum({_side(a, f'{b}.x2', f'{b}.y2')}) < 0"
+    return f"({apart(e, f)} AND {apart(f, e)})"
 
 
-def _overlap(e: Column, f: Column) -> Column:
+def _overlap(e: str, f: str) -> str:
     """Do two edges lie on each other along some length?"""
-    level = lambda x, y: _turn(e["x2"] - e["x1"], e["y2"] - e["y1"], x - e["x1"], y - e["y1"]) == 0
-    shared = lambda a, b: F.least(F.greatest(e[a], e[b]), F.greatest(f[a], f[b])) > F.greatest(F.least(e[a], e[b]), F.least(f[a], f[b]))
-    return level(f["x1"], f["y1"]) & level(f["x2"], f["y2"]) & (shared("x1", "x2") | shared("y1", "y2"))
+    shared = lambda c: f"least(greatest({e}.{c}1, {e}.{c}2), greatest({f}.{c}1, {f}.{c}2)) > greatest(least({e}.{c}1, {e}.{c}2), least({f}.{c}1, {f}.{c}2))"
+    return f"({_side(e, f'{f}.x1', f'{f}.y1')} = 0 AND {_side(e, f'{f}.x2', f'{f}.y2')} = 0 AND ({shared('x')} OR {shared('y')}))"
 
 
-def _passes(e: Column, f: Column) -> Column:
+def _passes(e: str, f: str) -> str:
     """Does e's ring pass through f's at the end of e: do its two ways from there lie on different sides of f's ways?"""
-    px, py = e["x2"], e["y2"]
-    ended = (px == f["x2"]) & (py == f["y2"])
-    here = _on(f, px, py) & ~((px == f["x1"]) & (py == f["y1"]))
-    ax, ay = f["x1"] - px, f["y1"] - py
-    bx, by = F.when(ended, f["x3"]).otherwise(f["x2"]) - px, F.when(ended, f["y3"]).otherwise(f["y2"]) - py
+    px, py = f"{e}.x2", f"{e}.y2"
+    ended = f"({px} = {f}.x2 AND {py} = {f}.y2)"
+    here = f"({_on(f, px, py)} AND NOT ({px} = {f}.x1 AND {py} = {f}.y1))"
+    ax, ay = f"{f}.x1 - {px}", f"{f}.y1 - {py}"
+    bx, by = (f"if({ended}, {f}.{c}3, {f}.{c}2) - {p}" for c, p in (("x", px), ("y", py)))
     wide = _turn(ax, ay, bx, by)
 
-    def within(x: Column, y: Column) -> Column:
+    def within(x: str, y: str) -> str:
         first, last = _turn(ax, ay, x, y), _turn(x, y, bx, by)
-        return F.when(wide > 0, (first > 0) & (last > 0)).when(wide < 0, ~((first <= 0) & (last <= 0))).otherwise(first > 0)
+        return f"(CASE WHEN {wide} > 0 THEN {first} > 0 AND {last} > 0 WHEN {wide} < 0 THEN NOT ({first} <= 0 AND {last} <= 0) ELSE {first} > 0 END)"
 
-    return here & (within(e["x1"] - px, e["y1"] - py) != within(e["x3"] - px, e["y3"] - py))
+    return f"({here} AND {within(f'{e}.x1 - {px}', f'{e}.y1 - {py}')} <> {within(f'{e}.x3 - {px}', f'{e}.y3 - {py}')})"
 
 
-def _wrong(e: Column, f: Column) -> Column:
+def _wrong(e: str, f: str) -> str:
     """Do two edges of a polygon, e before f, make it invalid? Within a ring neighbours may share their point and others none; rings may touch at points but not cross or share a length."""
-    same = e["ring"] == f["ring"]
-    neighbours = same & ((f["i"] == e["i"] + 1) | ((e["i"] == 0) & (f["i"] == e["n"] - 1)))
-    return crosses(e, f) & F.when(neighbours, _overlap(e, f)).when(same, F.lit(True)).otherwise(_properly(e, f) | _overlap(e, f) | _passes(e, f) | _passes(f, e))
+    same = f"{e}.ring = {f}.ring"
+    neighbours = f"{same} AND ({f}.i = {e}.i + 1 OR ({e}.i = 0 AND {f}.i = {e}.n - 1))"
+    return f"({crosses(e, f)} AND (CASE WHEN {neighbours} THEN {_overlap(e, f)} WHEN {same} THEN true ELSE {_properly(e, f)} OR {_overlap(e, f)} OR {_passes(e, f)} OR {_passes(f, e)} END))"
 
 
-def _before(e: Column, f: Column) -> Column:
-    return (e["ring"] < f["ring"]) | ((e["ring"] == f["ring"]) & (e["i"] < f["i"]))
+def _before(e: str, f: str) -> str:
+    return f"({e}.ring < {f}.ring OR ({e}.ring = {f}.ring AND {e}.i < {f}.i))"
 
 
 def pairs(rows: DataFrame) -> DataFrame:
@@ -106,36 +110,44 @@ def pairs(rows: DataFrame) -> DataFrame:
     margin = F.col("sx") * 1e-6
     cells = banded.withColumn("i", F.explode(F.sequence(index(F.least(*ends) - margin, "min_x", "sx"), index(F.greatest(*ends) + margin, "min_x", "sx")))).select("key", "i", "j", "size", "e")
     met = cells.join(cells.drop("size").withColumnRenamed("e", "f"), ["key", "i", "j"])
-    return met.where(_before(F.col("e"), F.col("f")) & crosses(F.col("e"), F.col("f"))).select("key", "size", "e", "f")
+    return met.where(f"{_before('e', 'f')} AND {crosses('e', 'f')}").select("key", "size", "e", "f")
+
+
+def judged(rings: Column) -> Column:
+    """Is a polygon of cleaned rings not valid? Null where it has too many edges to compare each with each: its edges have to meet by cells."""
+    n = F.aggregate(rings, F.lit(0), lambda a, r: a + F.size(r))
+    crossed = F.expr(f"exists(es, e -> exists(es, f -> {_before('e', 'f')} AND {_wrong('e', 'f')}))")
+    return F.when(F.exists(rings, lambda r: F.size(r) < 3), F.lit(True)).when(n <= FEW, crossed)
+
+
+def marked(rows: DataFrame, *columns: str) -> DataFrame:
+    """columns, rings and bad (see judged()) of polygons with rings, cleaned first."""
+    held = F.struct(cleaned(F.col("rings")).alias("rings"))
+    known = rows.select(*columns, F.inline(F.array(held))).select(*columns, "rings", _edges(F.col("rings")).alias("es"))
+    # generators of one row, so that what follows does not compute the rings or their state again
+    return known.select(*columns, "rings", F.inline(F.array(F.struct(judged(F.col("rings")).alias("bad")))))
 
 
 def invalid(rows: DataFrame) -> DataFrame:
-    """Keys (perhaps repeated) of polygons (key, rings), rings cleaned, that are not valid: a ring of fewer than three points, or edges that cross, touch or overlap as _wrong() says. Rings stand as they nest: one inside another is its hole, one inside a hole a part of its own. Null and empty polygons are not among them. Interiors cut apart by rings that touch at several points are not looked for."""
-    known = rows.where(F.size("rings") > 0)
-    short = known.where(F.exists("rings", lambda r: F.size(r) < 3)).select("key")
-    n = F.aggregate("rings", F.lit(0), lambda a, r: a + F.size(r))
-    few = known.where(n <= FEW).select("key", F.inline(F.array(F.struct(_edges(F.col("rings")).alias("es")))))
-    judged = few.where(F.exists("es", lambda e: F.exists("es", lambda f: _before(e, f) & _wrong(e, f)))).select("key")
-    many = pairs(known.where(n > FEW)).where(_wrong(F.col("e"), F.col("f"))).select("key")
-    return short.union(judged).union(many)
+    """Keys (perhaps repeated) of polygons (key, rings) that are not valid: a ring of fewer than three points, or edges that cross, touch or overlap as _wrong() says. Rings stand as they nest: one inside another is its hole, one inside a hole a part of its own. Null and empty polygons are not among them, and points that follow their like are one. Interiors cut apart by rings that touch at several points are not looked for."""
+    known = marked(rows, "key").where(F.size("rings") > 0)
+    many = pairs(known.where("bad is null")).where(_wrong("e", "f")).select("key")
+    return known.where("bad").select("key").union(many)
 
 
 def noded(rows: DataFrame) -> DataFrame:
     """key, x1, y1, x2, y2: the outline of each polygon (key, rings) by the even-odd rule: edges cut wherever they meet, of pieces that lie on each other only those in odd number. What is left encloses the same points, but for new points' rounding to a 2^40th of the polygon's largest coordinate."""
     met = pairs(rows)
     both = met.unionByName(met.select("key", "size", F.col("f").alias("e"), F.col("e").alias("f")))
-    e, f = F.col("e"), F.col("f")
-    d = _turn(e["x2"] - e["x1"], e["y2"] - e["y1"], f["x2"] - f["x1"], f["y2"] - f["y1"])
     # of either order the same point: the edge that comes first in its polygon is the one that is followed
-    a = lambda c: F.when(_before(e, f), e[c]).otherwise(f[c])
-    b = lambda c: F.when(_before(e, f), f[c]).otherwise(e[c])
-    share = _turn(b("x1") - a("x1"), b("y1") - a("y1"), b("x2") - b("x1"), b("y2") - b("y1")) / F.when(_before(e, f), d).otherwise(-d)
+    ordered = both.select("key", "size", "e", "f", F.expr(f"if({_before('e', 'f')}, struct(e AS a, f AS b), struct(f AS a, e AS b))").alias("o")).select("key", "size", "e", "f", "o.a", "o.b")
+    share = f"{_turn('b.x1 - a.x1', 'b.y1 - a.y1', 'b.x2 - b.x1', 'b.y2 - b.y1')} / {_turn('a.x2 - a.x1', 'a.y2 - a.y1', 'b.x2 - b.x1', 'b.y2 - b.y1')}"
     # where three edges meet, their crossings differ in the last bits; they are rounded to one step of the polygon
-    fine = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.lit(1e-300), F.col("size")))) - 40)
-    near = lambda v: F.floor(v / fine + 0.5) * fine
-    crossing = F.struct(near(a("x1") + share * (a("x2") - a("x1"))).alias("x"), near(a("y1") + share * (a("y2") - a("y1"))).alias("y"))
-    ends = [F.when(_on(e, f[x], f[y]), F.struct(f[x].alias("x"), f[y].alias("y"))) for x, y in (("x1", "y1"), ("x2", "y2"))]
-    cuts = both.select("key", F.col("e.ring").alias("ring"), F.col("e.i").alias("i"), F.explode(F.array(F.when(_properly(e, f), crossing), *ends)).alias("p")).where("p is not null")
+    fine = "power(2, floor(log2(greatest(1e-300, size))) - 40)"
+    near = lambda c: f"floor((a.{c}1 + {share} * (a.{c}2 - a.{c}1)) / {fine} + 0.5) * {fine}"
+    crossing = f"if({_properly('e', 'f')}, struct({near('x')} AS x, {near('y')} AS y), NULL)"
+    ends = [f"if({_on('e', f'f.x{k}', f'f.y{k}')}, struct(f.x{k} AS x, f.y{k} AS y), NULL)" for k in (1, 2)]
+    cuts = ordered.select("key", F.col("e.ring").alias("ring"), F.col("e.i").alias("i"), F.explode(F.array(*map(F.expr, (crossing, *ends)))).alias("p")).where("p is not null")
     held = cuts.groupBy("key", "ring", "i").agg(F.collect_set("p").alias("ps"))
     each = rows.select("key", F.explode(_edges(F.col("rings"))).alias("e")).select("key", F.col("e.ring").alias("ring"), F.col("e.i").alias("i"), "e")
     way = lambda p: (p["x"] - F.col("e.x1")) * (F.col("e.x2") - F.col("e.x1")) + (p["y"] - F.col("e.y1")) * (F.col("e.y2") - F.col("e.y1"))
@@ -216,15 +228,19 @@ def rebuilt(rows: DataFrame) -> DataFrame:
 
 
 def repair(df: DataFrame) -> DataFrame:
-    """Zones with valid polygons. Repeated neighbouring points, rings of fewer than three points and zones without a ring go; a polygon that is still not valid is put together anew, so that it covers what it covered by the even-odd rule; one that covers nothing goes. Other columns stay, and so do repeated rows; keys are digests of 128 bits of the rings themselves."""
-    names = df.columns
-    # a generator of one row, so that filters and joins do not compute the rings again
-    held = F.struct(F.filter(cleaned(F.col("rings")), lambda r: F.size(r) >= 3).alias("rings"))
-    rows = df.select(*[c for c in names if c != "rings"], F.inline(F.array(held))).where(F.size("rings") > 0)
-    keyed = rows.withColumn("key", F.struct(F.xxhash64("rings").alias("a"), F.xxhash64(F.lit(1), "rings").alias("b")))
-    shapes = keyed.select("key", "rings")
-    bad = invalid(shapes).distinct()
-    mended = rebuilt(shapes.join(bad, "key", "left_semi").dropDuplicates(["key"])).withColumnRenamed("rings", "__mended")
-    judged = keyed.join(bad.withColumn("__bad", F.lit(True)), "key", "left").join(mended, "key", "left")
-    out = judged.withColumn("rings", F.when(F.col("__bad"), F.col("__mended")).otherwise(F.col("rings"))).where(F.col("rings").isNotNull())
-    return out.select(*names)
+    """Zones with valid polygons. Repeated neighbouring points, rings of fewer than three points and zones without a ring go; a polygon that is still not valid is put together anew, so that it covers what it covered by the even-odd rule; one that covers nothing goes. Other columns stay, and so do repeated rows; keys are digests of 128 bits of the rings themselves.
+
+    Polygons that are not valid or have many edges are written out, judged and mended there, and joined to the zones again; the others are not shuffled for it.
+    """
+    names, spark = df.columns, df.sparkSession
+    long_enough = F.struct(F.filter(cleaned(F.col("rings")), lambda r: F.size(r) >= 3).alias("rings"))
+    rows = df.select(*[c for c in names if c != "rings"], F.inline(F.array(long_enough))).where(F.size("rings") > 0)
+    keyed = rows.withColumn("__key", F.struct(F.xxhash64("rings").alias("a"), F.xxhash64(F.lit(1), "rings").alias("b")))
+    doubtful, at = written(marked(keyed.select(F.col("__key").alias("key"), "rings"), "key").where("bad is null or bad").dropDuplicates(["key"]), "doubtful")
+    crossed = pairs(doubtful.where("bad is null")).where(_wrong("e", "f")).select("key")
+    bad, also = written(doubtful.where("bad").select("key").union(crossed).distinct(), "bad")
+    mended = rebuilt(doubtful.join(bad, "key", "left_semi").select("key", "rings"))
+    done, _ = written(bad.join(mended, "key", "left").select(F.col("key").alias("__key"), F.col("rings").alias("__mended"), F.lit(True).alias("__bad")), "mended")
+    remove(spark, at, also)
+    out = keyed.join(done, "__key", "left").withColumn("rings", F.when(F.col("__bad"), F.col("__mended")).otherwise(F.col("rings")))
+    return out.where(F.col("rings").isNotNull()).select(*names)
