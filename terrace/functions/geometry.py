@@ -80,6 +80,11 @@ def reproject(rings: Column, onto=None) -> Column:
     return F.transform(rings, lambda r: F.transform(r, moved))
 
 
+def southwards(rings: Column, north: float) -> Column:
+    """Points with y counted down from the northern end, as rows of a raster are."""
+    return F.transform(rings, lambda r: F.transform(r, lambda p: point(p["x"], north - p["y"])))
+
+
 def acres(rings: Column) -> Column:
     return area(rings) / SQUARE_METRES_AN_ACRE
 
