@@ -90,3 +90,10 @@ def tolerance_buckets(rows: DataFrame, pct: str) -> DataFrame:
 def describe(rows: DataFrame, column: str) -> DataFrame:
     at = lambda p: F.round(F.percentile(column, F.lit(p)), 6)
     return rows.agg(F.count(column).alias("n"), F.round(F.avg(column), 6).alias("mean"), F.round(F.stddev_samp(column), 6).alias("std"), F.round(F.min(column), 6).alias("least"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"), F.round(F.max(column), 6).alias("most"))
+
+
+def coverage(zones: DataFrame, px: DataFrame, grid: Grid) -> DataFrame:
+    """One row: raster_acres of cells with a class, parcel_acres (sum of CAL_ACREAGE), coverage_pct of the second in the first, and n, the number of zones; without such cells the share is null."""
+    acres = px.where(F.col("val").isin(*CLASSES)).agg((F.count(F.lit(1)) * grid.pixel_area / SQUARE_METRES_AN_ACRE).alias("r"))
+    whole = zones.agg(F.sum("CAL_ACREAGE").alias("p"), F.count(F.lit(1)).alias("n"))
+    return acres.crossJoin(whole).select(F.round("r", 4).alias("raster_acres"), F.round("p", 4).alias("parcel_acres"), F.round(F.try_divide("p", "r") * 100, 6).alias("coverage_pct"), "n")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..config import Settings
+from ..config import Grid, Settings
 from ..functions.geometry import area, meets_box, with_bounds
 from . import repairing
 
@@ -65,6 +65,23 @@ def numbered(df: DataFrame, order: str, rows_a_range: int = 500_000) -> DataFram
     return rows.withColumn("__i", inside).join(base, "__b").withColumn("processing_id", (F.col("__base") + F.col("__i")).cast("long")).drop("__b", "__i", "__base")
 
 
+def numbered_as_read(df: DataFrame, file: str = "file", row: str = "row_index", rows_a_part: int = 65_536) -> DataFrame:
+    """processing_id from 0 in the order in which rows lie in their files, files by name (see vector.parquet's places): stretches of a file are counted, their counts summed (a row for each stretch, in one task), and each row is numbered within its stretch. So rows may have been left out before."""
+    rows = df.withColumn("__p", F.floor(F.col(row) / rows_a_part))
+    counts = rows.groupBy(file, "__p").agg(F.count(F.lit(1)).alias("__n"))
+    base = counts.select(file, "__p", (F.sum("__n").over(Window.orderBy(file, "__p")) - F.col("__n")).alias("__base"))
+    inside = F.row_number().over(Window.partitionBy(file, "__p").orderBy(row)) - 1
+    return rows.withColumn("__i", inside).join(base, [file, "__p"]).withColumn("processing_id", (F.col("__base") + F.col("__i")).cast("long")).drop("__p", "__i", "__base")
+
+
+def requirements(zones: DataFrame, grid: Grid, chunk_size: int = 5000, window_mb: float = 1000.0) -> DataFrame:
+    """One row: total_parcels, estimated_chunks, raster_size_mb (a byte a cell), parcel_size_mb (16 bytes a point) and estimated_peak_mb: zones and the part of the raster that is open at once, at most window_mb."""
+    mb = float(1 << 20)
+    points = F.aggregate("rings", F.lit(0).cast("long"), lambda a, r: a + F.size(r))
+    found = zones.agg(F.count(F.lit(1)).alias("total_parcels"), (F.coalesce(F.sum(points), F.lit(0)) * 16 / mb).alias("parcel_size_mb")).withColumn("raster_size_mb", F.lit(grid.width * grid.height / mb))
+    return found.select("total_parcels", (F.floor(F.col("total_parcels") / chunk_size) + 1).alias("estimated_chunks"), "raster_size_mb", "parcel_size_mb", (F.col("parcel_size_mb") + F.least(F.col("raster_size_mb"), F.lit(window_mb))).alias("estimated_peak_mb"))
+
+
 def count_chunks(df: DataFrame, size: int) -> DataFrame:
     return df.withColumn("chunk_id", F.floor(F.col("processing_id") / size))
 

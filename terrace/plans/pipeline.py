@@ -12,14 +12,16 @@ from ..operators import checkpoint as steps, preparing, repairing, zonal
 
 
 def prepare(parcels: DataFrame, grid: Grid, least_area: float = 0.0, degrees: bool = False) -> DataFrame:
-    """Zones, reprojected if their points are degrees, repaired, with a geometry that meets the raster (and has the area), numbered by k (or, without such a column, by a hash of their id)."""
+    """Zones, reprojected if their points are degrees, repaired, with a geometry that meets the raster (and has the area), numbered in the order of their file where they have their places (see vector.parquet), else by k (or, without such a column, by a hash of their id)."""
     preparing.require(parcels, "PARCEL_LID", "rings")
     rows = parcels.withColumn("rings", reproject(F.col("rings"))) if degrees else parcels
     rows = rows.withColumn("zone", F.col("PARCEL_LID")) if "zone" not in rows.columns else rows
-    rows = rows.withColumn("k", F.xxhash64("PARCEL_LID")) if "k" not in rows.columns else rows
+    placed = {"file", "row_index"} <= set(rows.columns)
+    rows = rows.withColumn("k", F.xxhash64("PARCEL_LID")) if "k" not in rows.columns and not placed else rows
     rows = preparing.clip(repairing.repair(rows), grid.origin_x, grid.origin_y, grid.origin_x + grid.width * grid.cell, grid.origin_y + grid.height * grid.cell)
     rows = preparing.filter_by_area(rows, least_area) if least_area > 0 else rows
-    return preparing.numbered(rows.drop("min_x", "min_y", "max_x", "max_y"), "k")
+    rows = rows.drop("min_x", "min_y", "max_x", "max_y")
+    return preparing.numbered_as_read(rows) if placed else preparing.numbered(rows, "k")
 
 
 def run(parcels: DataFrame, px: DataFrame, grid: Grid, method: str = "subpixel", least_area: float = 0.0, checkpoint: str | None = None, settings: Settings | None = None) -> DataFrame:

@@ -270,10 +270,12 @@ def reproject_albers(spark, d):
     return derived.table(spark, d, "customer").select("c_custkey", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
-@query(f"WITH {PARCELS} SELECT count(*) AS total_parcels, count(*) // 5000 + 1 AS estimated_chunks, round((SELECT H FROM g) * 120 / 1048576.0, 6) AS raster_size_mb FROM parcels")
+@query(f"""WITH {PARCELS}, s AS (SELECT count(*) AS n, sum([4, 3, 6, 8][shape + 1]) * 16 / 1048576.0 AS mb, (SELECT H FROM g) * 120 / 1048576.0 AS r FROM parcels)
+SELECT n AS total_parcels, n // 5000 + 1 AS estimated_chunks, round(r, 6) AS raster_size_mb, round(mb, 6) AS parcel_size_mb, round(mb + least(1000, r), 6) AS estimated_peak_mb FROM s""")
 def estimate_requirements(spark, d):
     grid, _, zones = given(spark, d)
-    return zones.agg(F.count(F.lit(1)).alias("total_parcels")).select("total_parcels", (F.floor(F.col("total_parcels") / 5000) + 1).alias("estimated_chunks"), F.round(F.lit(grid.width * grid.height / 1048576.0), 6).alias("raster_size_mb"))
+    rows = preparing.requirements(zones, grid)
+    return rows.select("total_parcels", "estimated_chunks", *[F.round(c, 6).alias(c) for c in ("raster_size_mb", "parcel_size_mb", "estimated_peak_mb")])
 
 
 @query(f"WITH {PARCELS}, d AS (SELECT zone, k FROM parcels UNION ALL SELECT zone, k FROM parcels WHERE k % 101 = 0) SELECT zone AS PARCEL_LID, min(k) AS k FROM d GROUP BY zone")
@@ -445,6 +447,13 @@ def raster_vs_parcel(spark, d):
     return cells.join(acre, "class").select("class", "raster_pct", "parcel_pct", F.round(F.col("parcel_pct") - F.col("raster_pct"), 6).alias("diff"))
 
 
+@query(f"WITH {PARCELS}, r AS (SELECT count(*) * 900 / 4046.86 AS acres FROM px WHERE val BETWEEN 1 AND 5), p AS (SELECT sum(cal) AS acres, count(*) AS n FROM parcels) SELECT round(r.acres, 4) AS raster_acres, round(p.acres, 4) AS parcel_acres, round(p.acres / r.acres * 100, 6) AS coverage_pct, n FROM r, p")
+def parcel_coverage(spark, d):
+    """Acres of zones as a share of the raster's acres with a class."""
+    grid, px, zones = given(spark, d)
+    return analysis.coverage(zones, px, grid)
+
+
 # ---- comparisons
 ERRORS = "round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, round(max(abs(e)), 6) AS max_error, round(avg(e), 6) AS mean_error, round(median(e), 6) AS median_error, round(stddev_samp(e), 6) AS std_error, round(min(e), 6) AS least_error, round(corr(calculated_acres, CAL_ACREAGE) FILTER (CAL_ACREAGE > 0 AND calculated_acres > 0), 6) AS correlation"
 

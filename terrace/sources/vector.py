@@ -20,9 +20,12 @@ def points(ring: Column) -> Column:
     return F.when(closed, F.slice(made, F.lit(1), F.size(made) - 1)).otherwise(made)
 
 
-def parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Columns asked for, and the required ones that the file has; geometry (well-known binary) becomes rings."""
+def parquet(spark: SparkSession, path: str, columns: list[str] | None = None, places: bool = False) -> DataFrame:
+    """Columns asked for, and the required ones that the file has; geometry (well-known binary) becomes rings. places: with the file and row_index of each row, for numbered_as_read()."""
     df = spark.read.parquet(path)
+    if places:
+        df = df.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row_index"))
+        columns = columns and [*columns, "file", "row_index"]
     if columns is not None:
         df = df.select(*dict.fromkeys([*columns, *[c for c in REQUIRED if c in df.columns]]))
     return wkb.decode(df) if "geometry" in df.columns else df
