@@ -39,8 +39,9 @@ class Settings:
 
     chunk_size: int = field(default_factory=lambda: int(os.environ.get("CHUNK_SIZE", 5000)))
     min_chunk: int = field(default_factory=lambda: int(os.environ.get("MIN_CHUNK", 100)))
-    chunks_a_commit: int = field(default_factory=lambda: int(os.environ.get("CHUNKS_A_COMMIT", 64)))
+    chunks_a_commit: int = field(default_factory=lambda: int(os.environ.get("CHUNKS_A_COMMIT", 100)))
     max_chunk: int = field(default_factory=lambda: int(os.environ.get("MAX_CHUNK", 10000)))
     min_valid_pixels: float = field(default_factory=lambda: float(os.environ.get("MIN_VALID_PIXELS", 0.001)))
+    output_format: str = field(default_factory=lambda: os.environ.get("OUTPUT_FORMAT", "parquet"))
     compression: str = field(default_factory=lambda: os.environ.get("PARQUET_COMPRESSION", "snappy"))
     sample_seed: int = field(default_factory=lambda: int(os.environ.get("SAMPLE_SEED", 42)))

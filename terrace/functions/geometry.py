@@ -70,6 +70,23 @@ def meets_box(rings: Column, min_x: float, min_y: float, max_x: float, max_y: fl
     return F.exists(F.flatten(rings), corner) | F.exists(edges(rings), through) | around
 
 
+def near_box(rings: Column, min_x: float, min_y: float, max_x: float, max_y: float, far: float) -> Column:
+    """Has the polygon a point within the distance of the box? So the box grows by it on all sides, with round corners. Where polygon and box do not meet, the nearest points are an end of an edge and the box, or a corner of the box and an edge."""
+
+    def beside(e: Column) -> Column:
+        off = lambda v, low, high: F.greatest(low - v, v - high, F.lit(0.0))
+        ends = [off(e[f"x{k}"], F.lit(float(min_x)), F.lit(float(max_x))) ** 2 + off(e[f"y{k}"], F.lit(float(min_y)), F.lit(float(max_y))) ** 2 for k in (1, 2)]
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+
+        def corner(x: float, y: float) -> Column:
+            along = F.least(F.greatest(F.coalesce(F.try_divide((x - e["x1"]) * dx + (y - e["y1"]) * dy, dx * dx + dy * dy), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+            return (e["x1"] + along * dx - x) ** 2 + (e["y1"] + along * dy - y) ** 2
+
+        return F.least(*ends, *[corner(float(x), float(y)) for x in (min_x, max_x) for y in (min_y, max_y)]) <= far * far
+
+    return meets_box(rings, min_x, min_y, max_x, max_y) | F.exists(edges(rings), beside)
+
+
 def reproject(rings: Column, onto=None) -> Column:
     """Longitudes and latitudes, in degrees, of all points onto a plane (the Albers projection if none is given)."""
 

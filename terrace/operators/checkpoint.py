@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Chunks that one job computes and commits.
-CHUNKS_A_GROUP = 64
+CHUNKS_A_GROUP = 100
 
 
 class Folder:

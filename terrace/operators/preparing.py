@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Grid, Settings
-from ..functions.geometry import area, meets_box, with_bounds
+from ..functions.geometry import area, meets_box, near_box, with_bounds
 from . import repairing
 
 
@@ -29,10 +29,11 @@ def drop_empty(df: DataFrame) -> DataFrame:
     return df.where(F.col("rings").isNotNull() & (F.size("rings") > 0))
 
 
-def clip(df: DataFrame, min_x: float, min_y: float, max_x: float, max_y: float) -> DataFrame:
-    """Rows whose polygon meets the box: bounds first, then the exact test. Geometries stay whole."""
-    near = with_bounds(df).where((F.col("max_x") >= min_x) & (F.col("min_x") <= max_x) & (F.col("max_y") >= min_y) & (F.col("min_y") <= max_y))
-    return near.where(meets_box(F.col("rings"), min_x, min_y, max_x, max_y))
+def clip(df: DataFrame, min_x: float, min_y: float, max_x: float, max_y: float, buffer: float = 0.0) -> DataFrame:
+    """Rows whose polygon meets the box, or comes within buffer of it: bounds first, then the exact test. Geometries stay whole."""
+    near = with_bounds(df).where((F.col("max_x") >= min_x - buffer) & (F.col("min_x") <= max_x + buffer) & (F.col("max_y") >= min_y - buffer) & (F.col("min_y") <= max_y + buffer))
+    box = (min_x, min_y, max_x, max_y)
+    return near.where(near_box(F.col("rings"), *box, buffer) if buffer > 0 else meets_box(F.col("rings"), *box))
 
 
 def statistics(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -144,7 +145,8 @@ def pending(all_ids: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def hashed_order(key: str, seed: int = 42) -> Column:
-    return F.xxhash64(F.col(key), F.lit(seed))
+    """A key's digest with a seed: an order that looks like chance and is the same in every run."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
 
 
 def sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:

@@ -14,8 +14,9 @@ from ..functions.geometry import parts
 FORMATS = ("parquet", "geojson", "csv")
 
 
-def save(rows: DataFrame, folder: str, fmt: str = "parquet", settings: Settings | None = None) -> str:
-    """Writes into a folder named by time and format; returns its path. Parquet: rings as well-known binary in a column geometry. GeoJSON: one feature a line. Both write a multipolygon where rings make several parts (see geometry.parts). CSV: without geometry."""
+def save(rows: DataFrame, folder: str, fmt: str | None = None, settings: Settings | None = None) -> str:
+    """Writes in a format (that of the settings, where none is given) into a folder named by time and format; returns its path. Parquet: rings as well-known binary in a column geometry. GeoJSON: one feature a line. Both write a multipolygon where rings make several parts (see geometry.parts). CSV: without geometry."""
+    fmt = fmt or (settings or Settings()).output_format
     if fmt not in FORMATS:
         raise ValueError(f"unknown format: {fmt}")
     path = f"{folder}/zone_results_{datetime.now(UTC):%Y%m%d_%H%M%S_%f}.{fmt}"

@@ -230,6 +230,18 @@ def clip_to_extent(spark, d):
     return preparing.clip(zones.withColumn("rings", far), 0, 0, grid.width * grid.cell, grid.height * grid.cell).select("PARCEL_LID")
 
 
+@query(f"""WITH {PARCELS}, b AS (SELECT 900.0 AS x0, 120.0 AS y0, 1800.0 AS x1, 240.0 AS y1),
+c AS (SELECT unnest([x0, x1, x1, x0]) AS cx, unnest([y0, y0, y1, y1]) AS cy, unnest([x1, x1, x0, x0]) AS dx, unnest([y0, y1, y1, y0]) AS dy FROM b),
+ends AS (SELECT zone FROM edge, b WHERE greatest(b.x0 - edge.x1, edge.x1 - b.x1, 0) ** 2 + greatest(b.y0 - edge.y1, edge.y1 - b.y1, 0) ** 2 <= 10000),
+t AS (SELECT zone, e.x1, e.y1, e.x2 - e.x1 AS ux, e.y2 - e.y1 AS uy, cx, cy, least(1, greatest(0, ((cx - e.x1) * (e.x2 - e.x1) + (cy - e.y1) * (e.y2 - e.y1)) / CAST((e.x2 - e.x1) ** 2 + (e.y2 - e.y1) ** 2 AS DOUBLE))) AS s FROM edge e, c),
+corners AS (SELECT zone FROM t WHERE (x1 + s * ux - cx) ** 2 + (y1 + s * uy - cy) ** 2 <= 10000),
+across AS (SELECT zone FROM edge e, c WHERE sign((e.x2 - e.x1) * (cy - e.y1) - (e.y2 - e.y1) * (cx - e.x1)) * sign((e.x2 - e.x1) * (dy - e.y1) - (e.y2 - e.y1) * (dx - e.x1)) <= 0 AND sign((dx - cx) * (e.y1 - cy) - (dy - cy) * (e.x1 - cx)) * sign((dx - cx) * (e.y2 - cy) - (dy - cy) * (e.x2 - cx)) <= 0 AND least(e.x1, e.x2) <= greatest(cx, dx) AND least(cx, dx) <= greatest(e.x1, e.x2) AND least(e.y1, e.y2) <= greatest(cy, dy) AND least(cy, dy) <= greatest(e.y1, e.y2)),
+around AS (SELECT zone FROM edge e, b WHERE (e.y1 <= b.y0) <> (e.y2 <= b.y0) AND e.x1 + (b.y0 - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) <= b.x0 GROUP BY zone HAVING count(*) % 2 = 1)
+SELECT zone AS PARCEL_LID FROM (SELECT zone FROM ends UNION SELECT zone FROM corners UNION SELECT zone FROM across UNION SELECT zone FROM around)""")
+def clip_with_buffer(spark, d):
+    return preparing.clip(given(spark, d)[2], 900, 120, 1800, 240, buffer=100).select("PARCEL_LID")
+
+
 @query(f"WITH {PARCELS} SELECT count_if(k % 40 = 3) AS n_null, count_if(k % 40 = 7) AS n_empty, count_if(k % 40 = 11) AS n_invalid, count_if(k % 40 NOT IN (3, 7, 11)) AS n_valid FROM parcels")
 def geometry_validation_counts(spark, d):
     zones = given(spark, d)[2]
@@ -343,12 +355,12 @@ def largest_diff_k(spark, d):
 
 
 @query(f"""WITH {PARCELS}, b AS (SELECT zone, CASE WHEN cal >= 0.1 AND cal < 0.5 THEN 0 WHEN cal >= 0.5 AND cal < 2 THEN 1 WHEN cal >= 2 AND cal < 10 THEN 2 END AS band FROM parcels)
-SELECT zone AS PARCEL_LID, band FROM (SELECT *, row_number() OVER (PARTITION BY band ORDER BY zone) AS r FROM b WHERE band IS NOT NULL) WHERE r <= 66""")
+SELECT zone AS PARCEL_LID, band FROM (SELECT *, row_number() OVER (PARTITION BY band ORDER BY md5('42:' || zone), zone) AS r FROM b WHERE band IS NOT NULL) WHERE r <= 66""")
 def stratified_sample(spark, d):
-    return preparing.stratified(given(spark, d)[2], 200, [(0.1, 0.5), (0.5, 2), (2, 10)], "CAL_ACREAGE", F.col("PARCEL_LID")).select("PARCEL_LID", "band")
+    return preparing.stratified(given(spark, d)[2], 200, [(0.1, 0.5), (0.5, 2), (2, 10)], "CAL_ACREAGE", preparing.hashed_order("PARCEL_LID")).select("PARCEL_LID", "band")
 
 
-@query()
+@query(f"WITH {PARCELS} SELECT zone AS PARCEL_LID FROM parcels ORDER BY md5('42:' || zone), zone LIMIT 100")
 def sample_n(spark, d):
     return preparing.sample(given(spark, d)[2], 100, "PARCEL_LID").select("PARCEL_LID")
 

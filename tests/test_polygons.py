@@ -206,3 +206,19 @@ def test_parts_are_saved_and_loaded_again(spark, tmp_path):
             lines = {json.loads(r[0])["properties"]["PARCEL_LID"]: json.loads(r[0])["geometry"] for r in spark.read.text(path).collect()}
             assert {z: g and g["type"] for z, g in lines.items()} == {"0": "Polygon", "1": "MultiPolygon", "2": "Polygon", "3": "MultiPolygon", "4": "Polygon", "5": None, "6": "MultiPolygon"}
             assert len(lines["3"]["coordinates"]) == 3 and lines["0"]["coordinates"][0][0] == lines["0"]["coordinates"][0][-1]
+
+
+def test_distance_to_a_box_is_round(spark):
+    from terrace.functions.geometry import near_box
+
+    shapes = [[box(13, 14, 20, 20)], [box(13.01, 14, 20, 20)], [box(15, 2, 20, 3)], [box(15.01, 2, 20, 3)], [ring((10, 17), (17, 10), (20, 20))], [ring((10, 17.1), (17.1, 10), (20, 20))], [box(-50, -50, 50, 50)], [box(-50, -50, 50, 50), box(-6, -6, 16, 16)], [ring((-50, 5), (50, 4), (50, 6))]]
+    found = [r["m"] for r in zones(spark, *[(1.0, s) for s in shapes]).select("k", near_box(F.col("rings"), 0, 0, 10, 10, 5).alias("m")).orderBy("k").collect()]
+    assert found == [True, False, True, False, True, False if 7.1 / 2**0.5 > 5 else True, True, False, True]
+
+
+def test_tables_are_saved(spark, tmp_path):
+    from terrace.operators import sinks
+
+    for n in (3, 2):  # the second takes the place of the first
+        path = sinks.save_table(spark.range(n), str(tmp_path), "shares")
+    assert path.endswith("/shares.csv") and spark.read.option("header", True).csv(path).count() == 2
