@@ -149,3 +149,11 @@ def test_numbers_in_the_order_of_files(spark, tmp_path):
     assert [r["PARCEL_LID"] for r in some] == [x for x in order if x[-1] != "5"] and [r["processing_id"] for r in some] == list(range(len(some)))
     prepared = pipeline.prepare(read, Grid(40, 40, 1.0)).orderBy("processing_id").collect()
     assert [r["PARCEL_LID"] for r in prepared] == [x for x in order if int(x[2:]) <= 40]
+
+
+def test_a_preparation_counts_in_passing(spark):
+    rows = zones(spark, *[(1.0, [box(0, 0, 30, 30)])] * 5, *[(1.0, [box(900, 900, 930, 930)])] * 3, (1.0, None), (1.0, [ring((0, 0), (30, 30), (30, 0), (0, 30))]), (1.0, [box(0, 0, 1, 1)]))
+    watch = {}
+    out = pipeline.prepare(rows, Grid(4, 4), least_area=10.0, watch=watch)
+    assert out.count() == 6
+    assert pipeline.passed(watch) == [("read", 11, 0), ("repaired", 10, 1), ("clipped", 7, 3), ("large enough", 6, 1)]
