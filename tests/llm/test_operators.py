@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -366,19 +367,62 @@ def test_substring_dedup_finds_short_units(spark):
             assert {i: out[i]["text"] for i in (2, 6, 8)} == {2: "Short. End.", 6: "丁戊。己庚。", 8: "Oh. Other."}
             # what stays of a text that repeats itself holds the whole run
             assert out[9]["text"] == "Ha. " * 8
-    # brute force: a unit goes where a run of whole units that has it, of 8 words or more, lies in an earlier text
+    # brute force: a unit goes where its whole line, or a run of whole units that has it, of 8 words or more, lies in an earlier text
     rng = random.Random(8)
     pool = [" ".join(f"u{k}v{j}" for j in range(rng.randint(1, 10))) + "." for k in range(25)]
     many = [(i, [rng.randrange(25) for _ in range(rng.randint(1, 14))]) for i in range(40)]
     out = {r["doc_id"]: r["text"] for r in substring_dedup.dedup(docs(spark, [(i, " ".join(pool[k] for k in ks)) for i, ks in many]), "sentence", 8).collect()}
     had: set = set()
     for i, ks in many:
-        runs = [(a, b) for a in range(len(ks)) for b in range(a + 1, len(ks) + 1) if sum(len(pool[k].split()) for k in ks[a:b]) >= 8]
+        runs = [(a, b) for a in range(len(ks)) for b in range(a + 1, len(ks) + 1) if sum(len(pool[k].split()) for k in ks[a:b]) >= 8 or b - a == len(ks)]
         gone = {u for a, b in runs if tuple(ks[a:b]) in had or any(tuple(ks[c:d]) == tuple(ks[a:b]) and d <= a for c, d in runs) for u in range(a, b)}
         assert out[i].split() == " ".join(pool[k] for u, k in enumerate(ks) if u not in gone).split(), i
         had |= {tuple(ks[a:b]) for a, b in runs}
 
 
+def test_substring_dedup_at_its_production_setting(spark):
+    """Texts put together from known sentences, so that the brute force splits nothing: a sentence goes where its whole line, or a run of whole sentences of 20 words or more that has it, was there before."""
+    rng = random.Random(21)
+    pool = [" ".join(f"s{k}t{j}" for j in range(rng.choice([1, 2, 5, 9, 14, 26]))) + "." for k in range(40)]
+    shared = [[rng.randrange(40) for _ in range(rng.randint(1, 3))] for _ in range(12)]
+    many = [(i, [rng.choice(shared) if rng.random() < 0.5 else [rng.randrange(40) for _ in range(rng.randint(1, 6))] for _ in range(rng.randint(1, 7))]) for i in range(60)]
+    rows = [(i, "\n".join(" ".join(pool[k] for k in line) for line in text)) for i, text in many]
+    out = {r["doc_id"]: r["text"] for r in substring_dedup.dedup(docs(spark, [*rows, (90, "---\nTail ninety"), (91, "---\ntail  NINETY\nown")])).collect()}
+    had: set = set()
+    for i, text in many:
+        flat = [k for line in text for k in line]
+        ends = np.cumsum([len(line) for line in text]).tolist()
+        spans = {(end - len(line), end) for line, end in zip(text, ends, strict=True)}
+        spans |= {(a, b) for a in range(len(flat)) for b in range(a + 1, len(flat) + 1) if sum(len(pool[k].split()) for k in flat[a:b]) >= 20}
+        first: dict = {}
+        for a, b in sorted(spans):
+            first.setdefault(tuple(flat[a:b]), b)
+        gone = {u for a, b in spans if tuple(flat[a:b]) in had or first[tuple(flat[a:b])] <= a for u in range(a, b)}
+        assert out[i].split() == " ".join(pool[k] for u, k in enumerate(flat) if u not in gone).split(), i
+        had |= set(first)
+    # lines without a letter or digit are no units, short ones are
+    assert out[90] == "---\nTail ninety" and out[91] == "---\nown"
+
+
+def test_substring_dedup_leaves_no_repeated_line(spark):
+    """On a whole table: of every line that carries a letter or digit, the occurrences after the first are gone, whatever their length."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    seen, later = set(), 0
+    for r in sorted(substring_dedup.dedup(table.withColumn("was", F.col("text"))).collect(), key=lambda r: r["doc_id"]):
+        cut = np.zeros(len(r["was"] or "") + 1, bool)
+        for span in r["removed"]:
+            cut[span["start"] : span["end"]] = True
+        at = 0
+        for line in (r["was"] or "").split("\n"):
+            words = " ".join(unicodedata.normalize("NFKC", line).lower().split())
+            if any(c.isalnum() for c in words) and words in seen:
+                later += 1
+                assert all(cut[at + k] or c.isspace() for k, c in enumerate(line)), (r["doc_id"], line)
+            seen.add(words)
+            at += len(line) + 1
+    assert later > 500
+
+
 def test_chat_tree(spark):
     rows = [(1, 0, "user", "a<b> \\l"), (1, 1, "assistant", "</turn> ok"), (2, 0, "user", "a<b> \\l"), (2, 1, "assistant", "other"), (3, 0, "user", "a<b> \\l"), (3, 1, "assistant", "</turn> ok"), (4, 0, None, None), (None, 0, "user", "x"), (5, 1, "user", "tie"), (5, 1, "user", "tie")]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -534,7 +578,7 @@ def test_pipeline(spark):
     had: dict = {}
     for i in sorted(apart):
         text, spans, own = apart[i]["text"] or "", [], {}
-        for start, end, digest in substring_dedup.units(text, "sentence"):
+        for start, end, digest in sorted(substring_dedup.units(text, "sentence")):
             if digest in had or own.setdefault(digest, end) <= start:
                 spans.append((start, end))
         had.update(own)
