@@ -1,6 +1,6 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become class symbols; transducers for target, negation, reported speech and weights are composed into one machine that runs over each clause and rewrites insults and threats into what they are there (at someone, negated, reported), with a weight. A clause scores what the machine gives its kinds of match, each kind once, so a clause is bounded however often it repeats itself; a text scores the sum of its clauses, against its length.
+Words become class symbols. Transducers for target, negation and reported speech are composed into a machine that runs over each clause and rewrites insults and threats into what they are there (at someone, negated, reported); transducers for targets and reports that follow, and for weights, are composed into a second one that reads the first one's output from its end. Weights add up: what a word is, and what its contexts change, each with its sign held: a target never makes milder, negation and report never worse. A clause scores what the machine gives its kinds of match, each kind once, so a clause is bounded however often it repeats itself; a text scores the sum of its clauses, against its length.
 """
 
 from __future__ import annotations
@@ -39,6 +39,19 @@ WORDS = {
 }
 
 
+#: What weights are the sum of: the kind of word, being at a target, a threat at a target, negated, reported.
+PARTS = ["insult", "threat", "doubtful", "target", "threat at target", "negated", "reported"]
+#: Parts of each match, in the order of MATCHES.
+DESIGN = np.array([[k == INSULT, k == THREAT, k == DOUBTFUL, t, t * (k == THREAT), n, r] for k, t, n, r in MATCHES], float)
+#: Weights before any label is seen, and the least and the greatest they may be.
+PRIOR = np.array([3.0, 1.0, 1.5, 0.5, 2.5, -3.0, -1.5])
+LEAST = np.array([0.0, 0.0, 0.0, 0.25, 0.25, -np.inf, -np.inf])
+GREATEST = np.array([np.inf, np.inf, np.inf, np.inf, np.inf, -0.25, -0.25])
+#: Clauses whose reading is known (match, toxic): labels tell too little of contexts. Each counts as KNOWN_SHARE of the training rows, KNOWN_LEAST at least.
+KNOWN = [((INSULT, 1, 0, 0), 1), ((INSULT, 1, 1, 0), 0), ((INSULT, 0, 1, 0), 0), ((THREAT, 1, 0, 0), 1), ((THREAT, 0, 0, 0), 0), ((THREAT, 1, 1, 0), 0), ((THREAT, 1, 0, 1), 0)]
+KNOWN_SHARE, KNOWN_LEAST = 0.01, 10
+
+
 @dataclass
 class Transducer:
     """Deterministic, letter to letter: step[state][symbol] is (state after, symbol out, weight); a symbol without an arc passes and leads to rest[state]."""
@@ -90,17 +103,32 @@ def weigher(weights: dict) -> Transducer:
     return Transducer({0: {m: (0, m, w) for m, w in weights.items()}}, {0: 0})
 
 
-def grammar(weights: dict) -> Transducer:
-    """lexer, target (four words), negation (three words), reported speech (clause) and weights in one machine."""
-    machine, alphabet = lexer(), set(range(7))
-    for part in (context(TARGET, 1, 4), context(NEGATION, 2, 3), context(REPORT, 3, None), weigher(weights)):
-        machine = machine.then(part, alphabet)
-    return machine
+@dataclass
+class Grammar:
+    """forward reads a clause's symbols from its start, backward reads what forward wrote from the clause's end: together they see what stands on either side of a match."""
+
+    forward: Transducer
+    backward: Transducer
+
+
+def grammar(weights: dict) -> Grammar:
+    """Forward: lexer, target (four words before), negation (three words before), reported speech (before, in the clause). Backward: target (four words after), reported speech (after, in the clause), weights."""
+    forward, backward = lexer(), context(TARGET, 1, 4)
+    for part in (context(TARGET, 1, 4), context(NEGATION, 2, 3), context(REPORT, 3, None)):
+        forward = forward.then(part, set(range(7)))
+    for part in (context(REPORT, 3, None), weigher(weights)):
+        backward = backward.then(part, {*range(7), *MATCHES})
+    return Grammar(forward, backward)
+
+
+def weights_of(parts: np.ndarray) -> dict:
+    """The weight of each match: the sum of its parts."""
+    return dict(zip(MATCHES, map(float, DESIGN @ parts), strict=True))
 
 
 def prior() -> dict:
     """Weights before any label is seen."""
-    return {(k, t, n, r): 2.0 + 1.0 * t - 1.5 * n - 1.0 * r + 0.5 * (k == THREAT) * (2 * t - 1) - 1.0 * (k == DOUBTFUL) for k, t, n, r in MATCHES}
+    return weights_of(PRIOR)
 
 
 def stems_of(word: str) -> list[str]:
@@ -132,24 +160,32 @@ class Classifier:
         return found
 
 
-def clauses(machine: Transducer, classify: Classifier, text: str | None) -> Iterator[tuple[list, float]]:
-    """The matches of each clause that has one, and its score: the machine's weights of its kinds of match, each kind once. Clauses end at . ! ? ; : after a word."""
+def clauses(machine: Grammar, classify: Classifier, text: str | None) -> Iterator[tuple[list, float]]:
+    """The matches of each clause that has one, and its score: the machine's weights of its kinds of match, each kind once. Clauses end at . ! ? ; : after a word, and with the text."""
     words = (text or "").encode().split()
     tags = list(map(classify, words))
     if not any(k in KINDS for k, _ in set(tags)):
         return
+    forward, state, read, any_ = machine.forward, machine.forward.start, [], False
+    for i, (kind, ends) in enumerate(tags):
+        state, out, _ = forward.step[state][kind]
+        read.append(out)
+        any_ = any_ or kind in KINDS
+        if ends or i == len(tags) - 1:
+            if any_:
+                yield from_end(machine.backward, read)
+            state, read, any_ = forward.start, [], False
+
+
+def from_end(machine: Transducer, read: list) -> tuple[list, float]:
+    """What the machine makes of a clause read from its end: the matches in the clause's order, and the weights of their kinds."""
     state, found, score = machine.start, [], 0.0
-    for kind, ends in tags:
-        state, out, weight = machine.step[state][kind]
+    for symbol in reversed(read):
+        state, out, weight = machine.step[state][symbol]
         if type(out) is tuple:
             score += 0.0 if out in found else weight
             found.append(out)
-        if ends:
-            if found:
-                yield found, score
-            state, found, score = machine.start, [], 0.0
-    if found:
-        yield found, score
+    return found[::-1], score
 
 
 def length(text: str | None) -> int:
@@ -157,7 +193,7 @@ def length(text: str | None) -> int:
     return round(10 * math.log1p(len((text or "").encode().split())))
 
 
-def counts(machine: Transducer, classify: Classifier, text: str | None) -> list[int]:
+def counts(machine: Grammar, classify: Classifier, text: str | None) -> list[int]:
     """Clauses with each kind of match."""
     n: dict = defaultdict(int)
     for found, _ in clauses(machine, classify, text):
@@ -230,26 +266,34 @@ def learn_stems(rows: DataFrame) -> dict[str, int]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_TRAINED) -> Model:
-    """Stems and weights from the training rows: logistic regression on the clauses with each kind of match and on the length, drawn toward prior(). Without labels of both kinds: the prior."""
+    """Stems and weights from the training rows: logistic regression on the parts of the matches of each clause (PARTS) and on the length, within the parts' bounds, with KNOWN clauses beside the rows, drawn toward the prior. Without rows: the prior."""
     rows = training_rows(docs, labels, most)
     stems = learn_stems(rows)
     machine = grammar(prior())
     fields = [("counts", T.ArrayType(T.IntegerType())), ("size", T.IntegerType())]
     counted = map_batches(rows, lambda classify, text: (counts(machine, classify, text), length(text)), ["text"], fields, setup=lambda: Classifier(stems)).groupBy("toxic", "counts", "size").count().collect()
-    begin = np.array([prior()[m] for m in MATCHES] + [0.0, -3.0])
+    begin = np.array([*PRIOR, 0.0, -3.0])
+    least, most_ = np.array([*LEAST, -np.inf, -np.inf]), np.array([*GREATEST, np.inf, np.inf])
     w = begin.copy()
     if counted:
-        x = np.array([[*r["counts"], r["size"] / 10, 1] for r in counted], float)
-        y, times = np.array([r["toxic"] for r in counted], float), np.array([r["count"] for r in counted], float)
-        hold = np.full(len(w), 1.0)
-        for _ in range(50):
+        n_rows = sum(r["count"] for r in counted)
+        once = np.eye(len(MATCHES))
+        given = [([*(np.array(r["counts"]) @ DESIGN), r["size"] / 10, 1], r["toxic"], r["count"]) for r in counted]
+        given += [([*(once[MATCHES.index(m)] @ DESIGN), math.log1p(4), 1], toxic, max(KNOWN_LEAST, KNOWN_SHARE * n_rows)) for m, toxic in KNOWN]
+        x, y, times = (np.array(c, float) for c in zip(*given, strict=True))
+        for _ in range(200):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            gradient = x.T @ (times * (p - y)) + hold * (w - begin)
-            step = np.linalg.solve((x * (times * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(hold), gradient)
-            w -= step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
-            if np.abs(step).max() < 1e-8:
+            gradient = x.T @ (times * (p - y)) + (w - begin)
+            # weights at a bound that the gradient pushes further out stay there
+            free = ~(((w <= least) & (gradient > 0)) | ((w >= most_) & (gradient < 0)))
+            bend = (x * (times * p * (1 - p) + 1e-9)[:, None]).T @ x + np.eye(len(w))
+            step = np.zeros(len(w))
+            step[free] = np.linalg.solve(bend[np.ix_(free, free)], gradient[free])
+            new = np.clip(w - step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12)), least, most_)
+            moved, w = np.abs(new - w).max(), new
+            if moved < 1e-8:
                 break
-    return Model(stems, dict(zip(MATCHES, map(float, w[:-2]), strict=True)), float(w[-1]), float(w[-2]))
+    return Model(stems, weights_of(w[: len(PARTS)]), float(w[-1]), float(w[-2]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

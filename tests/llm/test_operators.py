@@ -185,7 +185,7 @@ def test_toxicity(spark, odd):
     machine = toxicity.grammar(toxicity.prior())
     classify = toxicity.Classifier({})
     seen = [m for found, _ in toxicity.clauses(machine, classify, rows[11][1]) for m in found]
-    assert seen == [(toxicity.INSULT, 1, 1, 0), (toxicity.INSULT, 1, 0, 0)]
+    assert seen == [(toxicity.INSULT, 1, 1, 0), (toxicity.INSULT, 1, 0, 1)]
     # "he" is a target word: it marks up to four words on, and no further
     for said, at in (("someone said what an idiot.", 0), ("he said what an idiot.", 1), ("he said oh what an idiot.", 0)):
         assert [m for f, _ in toxicity.clauses(machine, classify, said) for m in f] == [(toxicity.INSULT, at, 0, 1)]
@@ -211,7 +211,7 @@ def test_toxicity_machine_is_the_grammar():
                 found = []
                 for i, k in enumerate(clause):
                     if k in toxicity.KINDS:
-                        found.append((k, int(toxicity.TARGET in clause[max(0, i - 4) : i]), int(toxicity.NEGATION in clause[max(0, i - 3) : i]), int(toxicity.REPORT in clause[:i])))
+                        found.append((k, int(toxicity.TARGET in clause[max(0, i - 4) : i + 5]), int(toxicity.NEGATION in clause[max(0, i - 3) : i]), int(toxicity.REPORT in clause)))
                 if found:
                     expected.append((found, sum(weights[m] for m in set(found))))
                 clause = []
@@ -226,12 +226,31 @@ def test_toxicity_held_out(spark):
     out = queries.op1_toxicity(spark, folder).where("held_out").join(labels, "doc_id")
     right, caught = out.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")), F.avg(F.when(F.col("toxic") == 1, F.col("predicted")))).first()
     assert right > 0.97 and caught > 0.86
-    # what the machine's weights tell apart counts: with all alike fewer are found
-    docs_, kinds = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"), toxicity.MATCHES
-    model = toxicity.fit(docs_, labels)
-    flat = toxicity.Model(model.stems, dict.fromkeys(kinds, sum(model.weights.values()) / len(kinds)), model.bias, model.a_length)
-    less = toxicity.score(docs_, flat).where(toxicity.held_out()).join(labels, "doc_id").agg(F.avg(F.when(F.col("toxic") == 1, F.col("predicted")))).first()[0]
-    assert less < caught - 0.05
+    assert out.where("predicted = 1 and toxic = 0").count() <= 5
+
+
+CONTEXTS = [("you idiot.", 1), ("what a moron you are.", 1), ("i will kill you.", 1), ("we will hurt them.", 1), ("you are not an idiot.", 0), ("she is no fool.", 0), ("kill the process.", 0), ("i will not kill you.", 0), ("do not hurt them.", 0), ("he said i will kill you.", 0), ("the paper reported he would kill them.", 0), ("beat the eggs.", 0), ("plain words.", 0)]
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.1", "/root/testdata/sf0.01"])
+def test_toxicity_contexts_decide(spark, folder):
+    """Contexts have the right sign with fitted weights, and are worth more than ignoring them or any one weight for all."""
+    table = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(table, spark.read.parquet(f"{folder}/labels.parquet"))
+
+    def totals(weights, texts):
+        machine, classify = toxicity.grammar(weights), toxicity.Classifier(model.stems)
+        return [model.bias + model.a_length * toxicity.length(t) / 10 + sum(s for _, s in toxicity.clauses(machine, classify, t)) for t in texts]
+
+    wrong = lambda weights: sum((t > 0) != bool(label) for t, (_, label) in zip(totals(weights, [c for c, _ in CONTEXTS]), CONTEXTS, strict=True))
+    at_you, plain, negated = totals(model.weights, ["you idiot.", "idiot.", "not an idiot."])
+    assert at_you > plain > negated and wrong(model.weights) == 0
+    ignored = {m: model.weights[(m[0], 0, 0, 0)] for m in toxicity.MATCHES}
+    assert wrong(ignored) > 2 and min(wrong(dict.fromkeys(toxicity.MATCHES, flat / 4)) for flat in range(60)) > 2
+    for kind in toxicity.KINDS:
+        for t, n, r in [(0, 0, 0), (0, 1, 0), (0, 0, 1), (0, 1, 1)]:
+            assert model.weights[(kind, 1, n, r)] > model.weights[(kind, t, n, r)]
+        assert model.weights[(kind, 1, 1, 0)] < model.weights[(kind, 1, 0, 0)] > model.weights[(kind, 1, 0, 1)]
 
 
 def test_ngram_join(spark, odd, monkeypatch):
