@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import fresh, map_batches, materialize, slices
+from .common import fresh, map_batches, slices
 
 #: A unit within a line counts only together with its neighbours if it has fewer words. Whole lines count at any length.
 LEAST_WORDS = 20
@@ -77,7 +77,7 @@ def units(text: str, unit: str, least: int = LEAST_WORDS) -> Iterator[tuple[int,
 
 
 def occurrences(docs: DataFrame, unit: str, least: int) -> DataFrame:
-    """A row for each line and run of units of each text: doc_id, of (digest of the text), digest (96 bits), start, end (code points), again (the text has had it before, and the first ended where this one starts or earlier)."""
+    """A row for each line and run of units of each text: doc_id, of (digest of the text), digest (96 bits), start, end (code points), again (the text has had it before, and the first ended where this one starts or earlier). Not written out: two passes over the texts cost less than a table of all occurrences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,7 +93,7 @@ def occurrences(docs: DataFrame, unit: str, least: int) -> DataFrame:
                 digests = np.frombuffer(b"".join(d[:12] for d in out[0]), [("a", "<i8"), ("b", "<i4")])
                 yield pa.RecordBatch.from_arrays([pa.array([i[0] for i in ids], pa.int64()), pa.array([i[1] for i in ids], pa.int64()), pa.array(digests["a"].copy()), pa.array(digests["b"].copy()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_())], names=OCCURRENCES.names)
 
-    return materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("of"), "text").where("doc_id is not null").mapInArrow(run, OCCURRENCES), "units")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("of"), "text").where("doc_id is not null").mapInArrow(run, OCCURRENCES)
 
 
 def dedup(docs: DataFrame, unit: str = "sentence", least: int = LEAST_WORDS) -> DataFrame:
