@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import fresh, map_batches, slices
+from .common import fresh, map_batches, materialize, slices
 
 #: A unit within a line counts only together with its neighbours if it has fewer words. Whole lines count at any length.
 LEAST_WORDS = 20
@@ -104,7 +104,8 @@ def dedup(docs: DataFrame, unit: str = "sentence", least: int = LEAST_WORDS) ->
     """
     found = occurrences(docs, unit, least)
     first = found.where("not again").groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    # at most one row a digest: a digest in very many texts is a skewed side of a left join, which Spark splits
+    # written, so that the join has a shuffle of its own on either side: only then does Spark split a digest that very many texts have
+    first = materialize(first, "repeated")
     gone = found.join(first, ["h1", "h2"], "left").where("again or doc_id > first").select("doc_id", "of", "start", "end")
     plain = docs.drop("removed", "n_removed")
     id_, of, spans_ = fresh(docs, "__id", "__of", "__cuts")
