@@ -15,29 +15,41 @@ BINS = 200
 MOST_STRATA_SENT = 20_000
 
 
+def gram_hash(a: Column, b: Column, c: Column) -> Column:
+    return F.xxhash64(a, b, c)
+
+
 def measure(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper (long) and base_failed, from whole texts.
 
-    Null text: as an empty one, all zero. Columns of these names are replaced. Repeated rows are measured alike.
-    Windows of three words are compared by hash and position, packed into one number and sorted; neighbours of equal hash are then compared word by word.
+    Null text: as an empty one, all zero. Columns of these names are replaced, all others stay. Repeated rows are measured alike; an empty table gives no rows. A text of any length is measured whole, within one row.
+    Windows of three words are compared by hash and position, packed into one number and sorted; neighbours of equal hash are then compared word by word. Where neighbours of equal hash differ, so that equal windows may stand apart, that text's windows are sorted by their words instead.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     # columns in between, under names that docs has not
-    w_, l_, b_, m_, g_, s_ = fresh(docs, "__words", "__lines", "__bits", "__mask", "__grams", "__spots")
+    w_, l_, b_, m_, g_, a_, e_, s_ = fresh(docs, "__words", "__lines", "__bits", "__mask", "__grams", "__alike", "__exact", "__spots")
     words, grams, n = F.col(w_), F.col(g_), F.size(w_)
     at = lambda i: F.get(words, i)
     bits = F.col(b_)
     place = lambda x: x.bitwiseAND(F.col(m_)).cast("int")
     high = lambda x: F.call_function("shiftright", x, bits)
-    alike = lambda x, y: (high(x) == high(y)) & (at(place(x)) == at(place(y))) & (at(place(x) + 1) == at(place(y) + 1)) & (at(place(x) + 2) == at(place(y) + 2))
-    packed = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.call_function("shiftleft", F.xxhash64(at(i), at(i + 1), at(i + 2)), bits).bitwiseOR(i.cast("long")))
-    twice = F.filter(grams, lambda x, k: F.coalesce(alike(x, F.get(grams, k + 1)), F.lit(False)) | ((k > 0) & F.coalesce(alike(x, F.get(grams, F.greatest(k - 1, F.lit(0)))), F.lit(False))))
-    spots = F.array_sort(F.transform(twice, place))
+    same = lambda x, y: (at(place(x)) == at(place(y))) & (at(place(x) + 1) == at(place(y) + 1)) & (at(place(x) + 2) == at(place(y) + 2))
+    packed = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.call_function("shiftleft", gram_hash(at(i), at(i + 1), at(i + 2)), bits).bitwiseOR(i.cast("long")))
+    # of each window and the next: 1 equal, 2 equal hashes of different words, 0 neither
+    to_next = F.transform(grams, lambda x, k: F.when(high(x) == high(F.get(grams, k + 1)), F.when(same(x, F.get(grams, k + 1)), 1).otherwise(2)).otherwise(0))
+    twice = F.filter(grams, lambda x, k: F.coalesce(F.get(F.col(a_), k) == 1, F.lit(False)) | F.coalesce(F.get(F.col(a_), k - 1) == 1, F.lit(False)))
+    collide = F.array_contains(a_, 2)
+    window = lambda i: F.struct(at(i).alias("a"), at(i + 1).alias("b"), at(i + 2).alias("c"), i.alias("at"))
+    exact, equal = F.col(e_), lambda x, y: F.coalesce((x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), F.lit(False))
+    by_words = F.filter(exact, lambda x, k: equal(x, F.get(exact, k + 1)) | equal(x, F.get(exact, k - 1)))
+    spots = F.array_sort(F.when(collide, F.transform(by_words, lambda x: x["at"])).otherwise(F.transform(twice, place)))
     covered = F.aggregate(F.col(s_), F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")), lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")))["n"]
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     out = docs.withColumns({w_: F.regexp_extract_all(text, F.lit(WORD), 0), l_: lines})
     out = out.withColumn(b_, F.ceil(F.log2(n + 2)).cast("int")).withColumn(m_, F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
     out = out.withColumn(g_, F.when(n >= 3, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>")))
+    out = out.withColumn(a_, to_next)
+    out = out.withColumn(e_, F.when(collide, F.array_sort(F.transform(F.sequence(F.lit(0), n - 3), window))))
     out = out.withColumn(s_, spots)
     left = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
     out = out.withColumns(
@@ -52,7 +64,7 @@ def measure(docs: DataFrame) -> DataFrame:
         }
     )
     out = out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return out.drop(w_, l_, b_, m_, g_, s_)
+    return out.drop(w_, l_, b_, m_, g_, a_, e_, s_)
 
 
 def shares() -> dict[str, Column]:

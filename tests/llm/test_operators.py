@@ -146,6 +146,103 @@ def test_quality(spark, odd):
     assert quality.judge(none, quality.cutoffs(none, labels)).count() == 0
 
 
+def test_quality_repeats_under_colliding_hashes(spark, monkeypatch):
+    """Windows of one hash whose equal ones stand apart, since others lie between them by position."""
+    monkeypatch.setattr(quality, "gram_hash", lambda a, b, c: F.length(a).cast("long"))
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["a", "b", "cc", "dd", f"x{rng.randrange(99)}"]) for _ in range(rng.randint(0, 90)))) for i in range(60)]
+    rows += [(60, "a b c a b d a b c"), (61, "a b c"), (62, "a a a a"), (63, None)]
+    out = {r["doc_id"]: r["n_repeat_words"] for r in quality.measure(docs(spark, rows)).select("doc_id", "n_repeat_words").collect()}
+    for i, t in rows:
+        assert out[i] == repeat_words((t or "").split()), t
+
+
+def repeat_words(w):
+    seen = Counter(zip(w, w[1:], w[2:], strict=False))
+    return len({k + j for k in range(len(w) - 2) if seen[tuple(w[k : k + 3])] > 1 for j in range(3)})
+
+
+def verdicts(texts, langs, marks, risk=0.04, error=0.05, enough=0.98):
+    """kept by id, in plain Python with exact binomial sums: texts and languages by id, labels (id, quality)."""
+    from fractions import Fraction
+    from math import comb
+
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    names = ("dup_lines", "repeats", "symbols", "upper")
+    bins, failed = {}, {}
+    for i, t in texts.items():
+        w, lines = word.findall(t or ""), [x for x in (t or "").split("\n") if word.search(x)]
+        chars, twice = sum(map(len, w)), repeat_words(w)
+        pairs = {"dup_lines": (len(lines) - len(set(lines)), len(lines)), "repeats": (twice, len(w)), "symbols": (sum(c in "#*$%&|<>" for c in t or ""), chars), "upper": (sum(unicodedata.category(c) == "Lu" for c in t or ""), chars)}
+        bins[i] = {r: int(min(a / b, 1.0) * 200) if b else 0 for r, (a, b) in pairs.items()}
+        failed[i] = len(w) < 50 or 100 * twice > 50 * len(w)
+    marked = {}
+    for i, q in marks:
+        if q is not None:
+            marked[i] = min(q, marked.get(i, q))
+    held = {}
+    for i, q in marked.items():
+        if i in texts and not failed[i]:
+            held.setdefault(langs[i] or "", {0: [], 1: []})[q].append(i)
+
+    def at_most(k, n, p):
+        return sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+
+    cuts = {}
+    for lang, of in held.items():
+        choices = {}
+        for parts in (1, 2, 4):
+            found = []
+            for r in names:
+                tested = []
+                for b in sorted({bins[i][r] for q in of.values() for i in q}, reverse=True):
+                    k = sum(bins[i][r] > b for i in of[1])
+                    if at_most(k, len(of[1]), Fraction(str(risk)) / parts) * len(held) * 12 > Fraction(str(error)):
+                        break
+                    tested.append((b, sum(bins[i][r] > b for i in of[0])))
+                most = max((c for _, c in tested), default=0)
+                if most:
+                    found.append((-most, r, max(b for b, c in tested if c >= enough * most)))
+            choice = {r: b for _, r, b in sorted(found)[:parts]}
+            if choice:
+                choices[parts] = (sum(any(bins[i][r] > b for r, b in choice.items()) for i in of[0]), choice)
+        if choices:
+            most = max(n for n, _ in choices.values())
+            cuts[lang] = next(choice for n, choice in (choices[p] for p in sorted(choices)) if n >= enough * most)
+    kept = {i: not failed[i] and not any(bins[i][r] > b for r, b in cuts.get(langs[i] or "", {}).items()) for i in texts}
+    return kept, cuts
+
+
+def test_quality_verdicts_against_brute_force(spark):
+    """Cutoffs of every stratum and kept of every row, on the given tables and on made strata."""
+    for folder in (SF, "/root/testdata/sf0.01"):
+        table = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").collect()
+        labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality").collect()
+        expected, cuts = verdicts({r[0]: r[1] for r in table}, {r[0]: r[2] for r in table}, [(r[0], r[1]) for r in labels])
+        assert {r["doc_id"]: r["kept"] for r in queries.op5_quality_rules(spark, folder).collect()} == expected
+    assert cuts and not all(expected.values())
+    # strata whose bad documents show by one rule, by two, or not at all, and one of too few labels; two labels for one document
+    rng, rows, marks = random.Random(12), [], []
+    for lang, size in (("a", 420), ("b", 900), (None, 500), ("d", 20)):
+        for k in range(size):
+            i, bad = len(rows), k % 6 == 0
+            words = [f"q{i}x{j}" for j in range(60)]
+            if bad and lang in ("a", "d"):
+                words += ["###"] * rng.randint(1, 20)
+            if bad and lang == "b":
+                words = [x.upper() for x in words] if k % 4 else words + ["$$$"] * 15
+            if not bad and rng.random() < 0.01:
+                words += ["%"] * rng.randint(1, 9)
+            rows.append((i, " ".join(words), lang))
+            marks += [(i, 0 if bad else 1)] + [(i, 1)] * (k % 50 == 0)
+    expected, cuts = verdicts({i: t for i, t, _ in rows}, {i: x for i, _, x in rows}, marks)
+    measured = materialize(quality.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string")), "t")
+    limits = quality.cutoffs(measured, spark.createDataFrame(marks, "doc_id long, quality int"))
+    found = {r["stratum"]: {k: r[f"cut_{k}"] for k in ("dup_lines", "repeats", "symbols", "upper") if r[f"cut_{k}"] is not None} for r in limits.collect()}
+    assert found == cuts and len(cuts["b"]) > 1 and set(cuts) == {"a", "b"}
+    assert {r["doc_id"]: r["kept"] for r in quality.judge(measured, limits).collect()} == expected
+
+
 def test_binomial_bound(spark):
     from math import comb
 
