@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -267,21 +268,26 @@ def edge_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def against_first(percent: int):
-    """Rows of the product whose left side is one row: tiles in order, in each the first row (side 0) before the others. Only the first row's set is kept."""
+    """Tiles of the product whose left side is one row: in each tile the first row (side 0) comes before the others, and meets up to BLOCK of them at once. Only the first row's set is kept from batch to batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, lead_id, first = None, 0, None
+        key, lead_id, first = None, 0, np.zeros(0, np.uint64)
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for part in slices(batch):
-                for lead, salt, side, id_, grams in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    if side == 0:
-                        key, lead_id, first = (lead, salt), id_, np.frombuffer(grams, "<u8")
-                    elif (lead, salt) == key:
-                        row = np.frombuffer(grams, "<u8")
-                        over = overlaps([first], [row])
-                        if linked(over, np.array([len(first)]), np.array([len(row)]), percent)[0, 0]:
-                            out.append((lead_id, id_))
+            for part in slices(batch, BLOCK):
+                rows = zip(*(c.to_pylist() for c in part.columns), strict=True)
+                for tile, group in itertools.groupby(rows, lambda r: r[:2]):
+                    ids, sets = [], []
+                    for _, _, side, id_, grams in group:
+                        if side == 0:
+                            key, lead_id, first = tile, id_, np.frombuffer(grams, "<u8")
+                        else:
+                            ids.append(id_)
+                            sets.append(np.frombuffer(grams, "<u8"))
+                    if sets and tile == key:
+                        over = overlaps([first], sets)
+                        near = linked(over, np.array([len(first)]), np.array([len(s) for s in sets]), percent)[0]
+                        out += [(lead_id, ids[x]) for x in np.nonzero(near)[0]]
             yield edge_batch(out)
 
     return run

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -407,11 +408,50 @@ def test_sketches_bound_differences():
         assert links.any() and not (links & ~may).any() and (~may).sum() > 20
 
 
-def test_ngram_join_runs_the_product_on_the_tables(spark):
+def test_ngram_join_runs_the_product_on_the_tables(spark, monkeypatch):
     """The tiles of the product, and not its first rows alone, have work on the given documents."""
-    docs_ = spark.read.parquet(f"{SF}/documents.parquet")
+    rows, shape = {}, ngram_join.materialize
+
+    def counting(df, name):
+        out = shape(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", counting)
+    docs_ = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     out = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(docs_, 5, 80).collect()}
     assert out == brute([(r["doc_id"], r["text"] or "") for r in docs_.collect()], 5, 80)
+    assert rows["stars"] and rows["tiles"] and rows["tile-rows"]
+    # chains of edits of given texts, each linked to the next and not to those far off: lists keep several components after their first rows, which only tiles can link
+    rng, chained = random.Random(2), []
+    for r in docs_.where("doc_id < 100").collect():
+        words = (r["text"] or "").split()
+        step = len(words) // 25
+        for k in range(8 if step else 0):
+            chained.append((r["doc_id"], " ".join(words)))
+            start = len(words) - (k + 1) * step
+            words[start : start + step] = [f"e{k}x{j}" for j in range(step)]
+    ids = rng.sample(range(10**6), len(chained))
+    chained = [(i, t) for i, (_, t) in zip(ids, chained, strict=True)]
+    for block in (3, 256):
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
+        out = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(docs(spark, chained), 5, 80).collect()}
+        assert out == brute(chained, 5, 80)
+        assert rows["tile-rows"] > 50
+
+
+def test_first_rows_meet_a_tile_at_once(monkeypatch):
+    rng = random.Random(9)
+    sets = [np.array(sorted(rng.sample(range(40), 36)), np.uint64) for _ in range(24)]
+    rows = [(lead, 0, side, 100 * lead + k, s.tobytes()) for lead, part in ((1, sets[:15]), (2, sets[15:])) for k, s in enumerate(part) for side in [int(k > 0)]]
+    shapes, count = [], ngram_join.overlaps
+    monkeypatch.setattr(ngram_join, "overlaps", lambda a, b: shapes.append((len(a), len(b))) or count(a, b))
+    expected = {(100 * lead, 100 * lead + k) for lead, part in ((1, sets[:15]), (2, sets[15:])) for k, s in enumerate(part) if k and 100 * len(set(part[0]) & set(s)) >= 82 * len(set(part[0]) | set(s))}
+    for at in (1, 7, 24):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + at], strict=True)], names=["lead", "salt", "side", "id", "grams"]) for k in range(0, 24, at)]
+        found = [x for b in ngram_join.against_first(82)(iter(batches)) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert sorted(found) == sorted(expected)
+    assert 0 < len(expected) < 22 and shapes[-2:] == [(1, 14), (1, 8)]
 
 
 def test_ngram_join_repeated_id(spark):
@@ -423,7 +463,8 @@ def test_ngram_join_repeated_id(spark):
 
 def brute(rows, width, percent):
     words = {i: t.encode().lower().split() for i, t in rows}
-    sets = {i: {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set() for i, w in words.items()}
+    number = {}
+    sets = {i: {number.setdefault(tuple(w[k : k + width]), len(number)) for k in range(max(1, len(w) - width + 1))} if w else set() for i, w in words.items()}
     parent = {i: i for i in sets}
 
     def root(x):
@@ -433,7 +474,7 @@ def brute(rows, width, percent):
 
     for a in sets:
         for b in sets:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * (over := len(sets[a] & sets[b])) >= percent * (len(sets[a]) + len(sets[b]) - over):
                 p, q = sorted((root(a), root(b)))
                 parent[q] = p
     return {i: root(i) for i in sets}
