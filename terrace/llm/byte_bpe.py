@@ -21,5 +21,15 @@ def decode(rows: DataFrame, ranks: str, pattern: str, ids: str = "ids") -> DataF
     return map_tool(rows, (ByteBPE, ranks, pattern), lambda bpe, value: (bpe.decode(value or b""),), [ids], [("decoded", T.BinaryType())])
 
 
+def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
+    """encode() and then decode(), without the text, by one Python worker a task: texts go to Python once and do not come back."""
+
+    def one(bpe: ByteBPE, value: str | None) -> tuple[bytes, int, bytes]:
+        ids = bpe.encode(value or "")
+        return ids, len(ids) // 4, bpe.decode(ids)
+
+    return map_tool(docs, (ByteBPE, ranks, pattern), one, [text], [("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("decoded", T.BinaryType())], drop=(text,))
+
+
 def digests(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

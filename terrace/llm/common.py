@@ -67,24 +67,35 @@ def sent(df: DataFrame, most: int = MOST_SENT) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def map_batches(df: DataFrame, per_row: Callable[..., tuple], inputs: list[str], fields: list[tuple[str, T.DataType]], setup: Callable[[], object] | None = None) -> DataFrame:
-    """The columns of df, with fields added (or replaced, where the names clash): per_row gets the inputs' values, and setup()'s result first if there is one."""
+Batches = Iterator[pa.RecordBatch]
+
+
+def mapped(df: DataFrame, per_row: Callable[..., tuple], inputs: list[str], fields: list[tuple[str, T.DataType]], setup: Callable[[], object] | None = None, drop: tuple[str, ...] = ()) -> tuple[DataFrame, Callable[[Batches], Batches], T.StructType]:
+    """What map_batches() sends to Python (an input that is kept goes once), the function of its batches, and the schema that this gives."""
     new = T.StructType([T.StructField(n, t) for n, t in fields])
-    names = {n.lower() for n in new.names}
+    names = {n.lower() for n in (*new.names, *drop)}
     keep = [f for f in df.schema.fields if f.name.lower() not in names]
     arrow = _arrow(new)
+    kept = {f.name: f"__keep{i}" for i, f in enumerate(keep)}
+    sent = [kept.get(n, f"__in{i}") for i, n in enumerate(inputs)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         tool = (setup(),) if setup else ()
         for batch in batches:
             for part in slices(batch):
-                columns = [part.column(f"__in{i}").to_pylist() for i in range(len(inputs))]
+                columns = [part.column(n).to_pylist() for n in sent]
                 rows = [per_row(*tool, *values) for values in zip(*columns, strict=True)]
                 made = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(arrow)]
                 yield pa.RecordBatch.from_arrays([part.column(f"__keep{i}") for i in range(len(keep))] + made, names=[f.name for f in keep] + new.names)
 
-    chosen = [df[_quote(f.name)].alias(f"__keep{i}") for i, f in enumerate(keep)] + [df[_quote(n)].alias(f"__in{i}") for i, n in enumerate(inputs)]
-    return df.select(*chosen).mapInArrow(run, T.StructType(keep + new.fields))
+    chosen = [df[_quote(f.name)].alias(f"__keep{i}") for i, f in enumerate(keep)] + [df[_quote(n)].alias(f"__in{i}") for i, n in enumerate(inputs) if n not in kept]
+    return df.select(*chosen), run, T.StructType(keep + new.fields)
+
+
+def map_batches(df: DataFrame, per_row: Callable[..., tuple], inputs: list[str], fields: list[tuple[str, T.DataType]], setup: Callable[[], object] | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of df but for drop, with fields added (or replaced, where the names clash): per_row gets the inputs' values, and setup()'s result first if there is one."""
+    rows, run, schema = mapped(df, per_row, inputs, fields, setup, drop)
+    return rows.mapInArrow(run, schema)
 
 
 def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -116,11 +127,20 @@ def text_rows(df: DataFrame, *extra: str) -> DataFrame:
 
 def numbered(df: DataFrame, value: str, name: str) -> DataFrame:
     """Adds to the rows of df, in the order its partitions have them: part, row (within the part), before (sum of value in the rows of the part before it). Written out, so that both stay as they are."""
-    schema = T.StructType(df.schema.fields + [T.StructField("part", T.IntegerType()), T.StructField("row", T.LongType()), T.StructField("before", T.LongType())])
+    return _numbered(df, lambda batches: batches, df.schema, value, name)
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def numbered_map(df: DataFrame, value: str, name: str, per_row: Callable[..., tuple], inputs: list[str], fields: list[tuple[str, T.DataType]], setup: Callable[[], object] | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
+    """numbered() of map_batches(), by one Python worker a task."""
+    return _numbered(*mapped(df, per_row, inputs, fields, setup, drop), value, name)
+
+
+def _numbered(rows: DataFrame, first: Callable[[Batches], Batches], made: T.StructType, value: str, name: str) -> DataFrame:
+    schema = T.StructType(made.fields + [T.StructField("part", T.IntegerType()), T.StructField("row", T.LongType()), T.StructField("before", T.LongType())])
+
+    def run(batches: Batches) -> Batches:
         part, row, total = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
+        for batch in first(batches):
             before = []
             for n in batch.column(value).to_pylist():
                 before.append(total)
@@ -130,7 +150,7 @@ def numbered(df: DataFrame, value: str, name: str) -> DataFrame:
             row += k
             yield pa.RecordBatch.from_arrays(batch.columns + added, names=schema.names)
 
-    return materialize(df.mapInArrow(run, schema), name)
+    return materialize(rows.mapInArrow(run, schema), name)
 
 
 def with_offsets(rows: DataFrame, value: str, out: str) -> DataFrame:

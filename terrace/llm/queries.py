@@ -51,8 +51,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(text_rows(table(spark, sf_dir, "documents")), ranks, public_tokenizers.PATTERN).drop("text")
-    return byte_bpe.digests(byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+    return byte_bpe.digests(byte_bpe.round_trip(text_rows(table(spark, sf_dir, "documents")), ranks, public_tokenizers.PATTERN))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,6 +78,32 @@ def test_byte_bpe(spark, odd):
     assert byte_bpe.encode(empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_byte_bpe_round_trip(spark, odd):
+    table, rows = odd
+    theirs = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=load_ranks(RANKS), special_tokens={})
+    out = byte_bpe.round_trip(table.select("doc_id", "text", "lang"), RANKS, public_tokenizers.PATTERN)
+    assert out.columns == ["doc_id", "lang", "ids", "n_tokens", "decoded"]
+    found = Counter((r["doc_id"], bytes(r["ids"]), r["n_tokens"], bytes(r["decoded"])) for r in out.collect())
+    ids = [(i, t or "", theirs.encode_ordinary(t or "")) for i, t in rows]
+    assert found == Counter((i, np.array(x, "<u4").tobytes(), len(x), t.encode()) for i, t, x in ids)
+    assert byte_bpe.round_trip(empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
+    assert plan_of(queries.op4_byte_bpe(spark, SF)).count("MapInArrow") == 1
+
+
+def test_byte_bpe_merges_a_word_once():
+    ours, merged = ByteBPE(RANKS, public_tokenizers.PATTERN), []
+    ours.merge = lambda key: merged.append(key) or [0]
+    letters = str.maketrans("0123456789", "qxzjkvwyhg")
+    text = " ".join(f"{i:06d}".translate(letters) for i in range(250_000))
+    for _ in range(2):
+        ours.encode(text)
+    assert len(merged) == len(set(merged)) > 240_000
+
+
 def test_sorted_table(spark, odd, tmp_path):
     table, rows = odd
     folder = f"file://{tmp_path}/sst"
