@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import numbered, slices, text_rows, with_offsets
-from .tokens import Library, map_tool
+from .common import numbered_map, slices, text_rows, with_offsets
+from .tokens import Library, tool
 
 PIECES = T.StructType([T.StructField(n, T.BinaryType() if n == "ids" else T.BooleanType() if n == "crosses" else T.LongType()) for n in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "crosses")])
 
@@ -24,10 +24,16 @@ def widen(packed: bytes) -> bytes:
     return np.frombuffer(packed, "<u2", offset=1).astype("<u4").tobytes() if packed[0] == 2 else packed[1:]
 
 
-def encode_with_end(docs: DataFrame, tokenizer: str, cut: str, end_id: int) -> DataFrame:
-    """doc_id, packed (ids of the whole text with end_id last, by narrow()) and n_tokens."""
+def encoded(docs: DataFrame, tokenizer: str, cut: str, end_id: int) -> DataFrame:
+    """doc_id, packed (ids of the whole text with end_id last, by narrow()) and n_tokens, numbered: encoded and counted by one Python worker a task."""
     end = np.uint32(end_id).tobytes()
-    return map_tool(text_rows(docs), (Library, tokenizer, cut), lambda lib, text: (narrow(ids := lib.encode(text) + end), len(ids) // 4), ["text"], [("packed", T.BinaryType()), ("n_tokens", T.LongType())]).drop("text")
+
+    def one(lib: Library, text: str) -> tuple[bytes, int]:
+        ids = lib.encode(text) + end
+        return narrow(ids), len(ids) // 4
+
+    fields = [("packed", T.BinaryType()), ("n_tokens", T.LongType())]
+    return numbered_map(text_rows(docs), "n_tokens", "packing", one, ["text"], fields, setup=lambda: tool(Library, tokenizer, cut), drop=("text",))
 
 
 def pack(docs: DataFrame, tokenizer: str, cut: str = "space", end_id: int = 1, window: int = 2048) -> DataFrame:
@@ -37,7 +43,7 @@ def pack(docs: DataFrame, tokenizer: str, cut: str = "space", end_id: int = 1, w
     First pass: tokens are written out with the count before each row of its part; the parts' totals, summed up, give every document's place. Second pass: each document is cut where windows end. Only the last sequence is short of window tokens.
     Null and empty texts are a piece of the end id alone; repeated rows are documents of their own; an empty table has no pieces; other columns are left out.
     """
-    rows = with_offsets(numbered(encode_with_end(docs, tokenizer, cut, end_id), "n_tokens", "packing"), "n_tokens", "place")
+    rows = with_offsets(encoded(docs, tokenizer, cut, end_id), "n_tokens", "place")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

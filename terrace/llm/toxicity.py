@@ -141,7 +141,7 @@ class Classifier:
 
     def __init__(self, stems: dict[str, int]):
         self.fixed = {w: k for k, words in WORDS.items() for w in words.split()}
-        self.stems, self.memo = stems, {}
+        self.stems, self.memo, self.answers = stems, {}, {}
 
     def __call__(self, word: bytes) -> tuple[int, bool]:
         found = self.memo.get(word)
@@ -156,7 +156,8 @@ class Classifier:
             found = (kind, text[-1:] in ".!?;:")
             if len(self.memo) > 500_000:
                 self.memo.clear()
-            self.memo[word] = found
+            # the few answers there are, each kept once
+            self.memo[word] = found = self.answers.setdefault(found, found)
         return found
 
 

@@ -13,9 +13,9 @@ import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from terrace.llm import byte_bpe, chat_tree, fingerprint, ngram_join, packing, quality, queries, sorted_table, substring_dedup, toxicity, url_lists
+from terrace.llm import byte_bpe, chat_tree, common, fingerprint, ngram_join, packing, quality, queries, sorted_table, substring_dedup, toxicity, url_lists
 from terrace.llm.common import materialize
 from terrace.llm.tokens import ByteBPE, Library, PerfectHash, load_ranks
 
@@ -104,6 +104,26 @@ def test_byte_bpe_merges_a_word_once():
     assert len(merged) == len(set(merged)) > 240_000
 
 
+def test_packing_counts_where_it_encodes(spark, odd, monkeypatch):
+    table, written = odd[0], []
+    monkeypatch.setattr(common, "materialize", lambda df, name: written.append(df) or materialize(df, name))
+    assert packing.pack(table, JSON, window=64).count()
+    assert [plan_of(df).count("MapInArrow") for df in written] == [1] and "text" not in written[0].columns
+
+
+def test_map_batches_sends_kept_inputs_once(spark, odd):
+    table = odd[0].select("doc_id", "text")
+    sent, _, schema = common.mapped(table, lambda text, i: (len(text or ""),), ["text", "doc_id"], [("n", T.LongType())])
+    assert len(sent.columns) == 2 and schema.names == ["doc_id", "text", "n"]
+    out = common.map_batches(table, lambda text, i: (len(text or ""),), ["text", "doc_id"], [("n", T.LongType())], drop=("text",))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(((i, len(t or "")) for i, t in odd[1]), key=str)
+
+
+def test_classifier_keeps_an_answer_once():
+    classify = toxicity.Classifier({})
+    assert classify(b"table") is classify(b"chair") and classify(b"table.") is classify(b"chair!")
+
+
 def test_sorted_table(spark, odd, tmp_path):
     table, rows = odd
     folder = f"file://{tmp_path}/sst"
