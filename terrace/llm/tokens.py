@@ -13,6 +13,7 @@ import json
 import os
 import re
 import struct
+import unicodedata
 from collections.abc import Callable
 
 import numpy as np
@@ -27,6 +28,8 @@ MEMO = 200_000
 BPE_MEMO = 600_000
 # Fixed value: how byte-level files cut text.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: how files with word ends cut text, lower-cased by then.
+WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A space or line end before more white space or at the end: there, whole runs of white space belong together.
 UNSAFE_SPACE, UNSAFE_LINE = re.compile(r" (?:\s|\Z)"), re.compile(r"\n(?:\s|\Z)")
 
@@ -61,10 +64,31 @@ def spaced(text: str) -> list[str] | None:
 
 #: The rank table's pattern matching has no stack for long runs of white space; texts with one go to the library.
 LONG_BLANK = re.compile(r"\s{500}")
-#: End-of-word mark inside rank tables: a byte that no UTF-8 text has.
-WORD_END = b"\xff"
-#: Pieces that normalising leaves as they are, lower-case letters apart: here words can be cut without the library.
-PLAIN = re.compile(r"[!-@\[-~\u00df-\u00f6\u00f8-\u00ff]+")
+#: End-of-word mark inside rank tables: matches have no space.
+WORD_END = b" "
+#: Texts of Latin-1 characters that normalising changes one by one, by FOLDED: these are cut without the library.
+PLAIN = re.compile(r"[\t-\r -~\u00a1-\u00ff]*")
+#: Stands for a word that is not plain, among plain ones.
+ODD = "\0"
+SPACE, LETTER, NUMBER, OTHER = range(4)
+_KIND = {"L": LETTER, "N": NUMBER, "Z": SPACE}
+KINDS = np.array([SPACE if 9 <= i <= 13 else _KIND.get(unicodedata.category(chr(i))[0], OTHER) for i in range(256)], np.uint8)
+FOLDED = np.array([32 if KINDS[i] == SPACE else ord(chr(i).lower()) for i in range(256)], np.uint8)
+#: A short form is a match of its own where no run of other characters takes its apostrophe.
+SHORT = re.compile(b"(?<![" + re.escape(bytes(np.flatnonzero(KINDS == OTHER).tolist())) + b"])'(?:[stmd]|re|ve|ll)")
+
+
+def ended(text: str) -> str:
+    """The matches of WORD_LEVEL in a plain text, lower-cased, each with WORD_END behind it. More spaces may stand between them."""
+    held = FOLDED[np.frombuffer(text.encode("latin-1"), np.uint8)]
+    kinds, begins = KINDS[held], np.zeros(len(held) + 1, bool)
+    begins[1:-1] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == NUMBER)
+    folded = held.tobytes()
+    if b"'" in folded:
+        for found in SHORT.finditer(folded):
+            begins[found.start() + 1], begins[found.end()] = False, True
+    begins[-1] = True
+    return np.insert(held, np.flatnonzero(begins), 32).tobytes().decode("latin-1")
 
 
 def byte_of_char() -> dict[str, int]:
@@ -81,13 +105,16 @@ def merge_ranks(model: dict) -> dict[bytes, int] | None:
         return None
     ends = [t for t in model["vocab"] if suffix and t.endswith(suffix)]
     marked = set(ends)
-    return {bytes(byte[c] for c in (t[: -len(suffix)] if t in marked else t)) + WORD_END * (t in marked): i for t, i in model["vocab"].items()}
+    ranks = {bytes(byte[c] for c in (t[: -len(suffix)] if t in marked else t)) + WORD_END * (t in marked): i for t, i in model["vocab"].items()}
+    # a token's own space may read as an end
+    return ranks if len(ranks) == len(model["vocab"]) else None
 
 
 class Library:
     """A file of the tokenizers library. cut: "space" for byte-level files, "words" for those that drop white space and lower-case.
 
     Merging is left to a rank table, which gives the same ids as the file's merges in a fraction of the time; what the table can't express goes to the library itself.
+    With "words", plain texts go to the table whole; of other texts the plain words do, together, and each word that is not plain goes through a memo.
     """
 
     def __init__(self, path: str, cut: str):
@@ -103,11 +130,9 @@ class Library:
         self.table = None
         if ranks is not None and cut == "space" and (stated.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not stated.get("normalizer"):
             self.table = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
-        elif ranks is not None and cut == "words":
-            import regex
-
-            self.table = tiktoken.Encoding("file", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-            self.words = regex.compile(stated["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        elif ranks is not None and cut == "words" and stated["model"].get("end_of_word_suffix") and stated["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == WORD_LEVEL:
+            self.odd = max(ranks.values()) + 1
+            self.table = tiktoken.Encoding("file", pat_str=r"[^ ]+ ", mergeable_ranks=ranks, special_tokens={ODD: self.odd})
         self.memo = Memo(self.piece)
 
     def piece(self, piece: bytes) -> bytes:
@@ -115,17 +140,31 @@ class Library:
         text = piece.decode()
         if text[-1:] in (".", ",") and text[-2:-1].lower().isalpha():
             return self.memo[piece[:-1]] + self.memo[piece[-1:]]
-        if self.table is None or not PLAIN.fullmatch(text):
-            return self.whole(text)
-        words = [text] if text.isalpha() else self.words(text)
-        return b"".join(packed(self.table._encode_single_piece(w.encode() + WORD_END)) for w in words)
+        return self.merged(text) if self.table is not None and PLAIN.fullmatch(text) else self.whole(text)
+
+    def merged(self, text: str) -> bytes:
+        """The ids of a plain text; self.odd where it has ODD."""
+        return self.table.encode_to_numpy(ended(text), allowed_special={ODD}, disallowed_special=()).astype("<u4", copy=False).tobytes()
+
+    def mixed(self, text: str) -> bytes:
+        """The ids of a text with words that are not plain."""
+        words = b" ".join(text.encode().lower().split()).decode().split(" ")
+        plain = list(map(PLAIN.fullmatch, words))
+        ids = self.merged(" ".join([word if ok else ODD for word, ok in zip(words, plain, strict=True)]))
+        out, at = [], 0
+        for place, word in zip((4 * np.flatnonzero(np.frombuffer(ids, "<u4") == self.odd)).tolist(), (word for word, ok in zip(words, plain, strict=True) if not ok), strict=True):
+            out += ids[at:place], self.memo[word.encode()]
+            at = place + 4
+        return b"".join(out) + ids[at:]
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tool.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.cut == "words":
-            return self.memo.ids(text.encode().lower().split())
+            if self.table is None:
+                return self.memo.ids(text.encode().lower().split())
+            return self.merged(text) if PLAIN.fullmatch(text) else self.mixed(text)
         if self.table is None or LONG_BLANK.search(text):
             return self.whole(text)
         return np.asarray(self.table.encode_ordinary(text), "<u4").tobytes()

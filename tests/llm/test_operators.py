@@ -104,6 +104,22 @@ def test_byte_bpe_merges_a_word_once():
     assert len(merged) == len(set(merged)) > 240_000
 
 
+def test_plain_texts_go_to_the_table_whole():
+    rng = random.Random(5)
+    marks = [chr(i) for i in range(9, 256)] + ["'s", "'S", "'re", "'r", "'ll", "'d", "''", "!'s", "5's", " ", " ", "e", "tion", "\u2019s", "日"]
+    lib, alone = Library(WORDS, "words"), []
+    for _ in range(4000):
+        t = "".join(rng.choice(marks) for _ in range(rng.randint(0, 25)))
+        assert lib.encode(t) == lib.whole(t)
+    plain = " ".join(f"It's {i} Naïve: «L'Été», x{i}y don'ts ''s ..." for i in range(200))
+    answer = lib.memo.encode
+    lib.memo.clear()
+    lib.memo.old, lib.memo.encode = {}, lambda piece: alone.append(piece) or answer(piece)
+    assert lib.encode(plain) == lib.whole(plain) and not alone
+    mixed = f"{plain} they\u2019re few {plain}"
+    assert lib.encode(mixed) == lib.whole(mixed) and alone == ["they\u2019re".encode()]
+
+
 def test_packing_counts_where_it_encodes(spark, odd, monkeypatch):
     table, written = odd[0], []
     monkeypatch.setattr(common, "materialize", lambda df, name: written.append(df) or materialize(df, name))
