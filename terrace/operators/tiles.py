@@ -53,12 +53,14 @@ def near(raster: DataFrame, zones: DataFrame, grid: Grid) -> DataFrame:
 
 
 def met(covered: DataFrame, raster: DataFrame, zones: DataFrame, grid: Grid, *columns: str) -> DataFrame:
-    """zone, columns and val of covered cells (zone, band, row, col) that have data: cells are gathered by zone and tile where they are, and meet their tile once."""
+    """zone, columns and val of covered cells (zone, band, row, col) that have data: cells are gathered by zone and tile where they are, and meet their tile once.
+
+    The join is by shuffle: Spark takes covered cells for as small as the file of zones they come from, and would send them all through the driver."""
     cut = near(raster, zones, grid)
     cut = cut if is_tiled(cut) else tiled(cut)
     cell = F.struct(_place(F.col("row"), F.col("col")).alias("at"), *columns)
     held = covered.withColumns(_key(F.col("row"), F.col("col"))).groupBy("zone", "band", "trow", "tcol").agg(F.collect_list(cell).alias("cells"))
-    rows = held.join(cut, ["trow", "tcol"]).select("zone", F.explode(F.transform("cells", lambda c: F.struct(*[c[n].alias(n) for n in columns], F.get("vals", c["at"]).alias("val")))).alias("c"))
+    rows = held.hint("merge").join(cut, ["trow", "tcol"]).select("zone", F.explode(F.transform("cells", lambda c: F.struct(*[c[n].alias(n) for n in columns], F.get("vals", c["at"]).alias("val")))).alias("c"))
     return rows.select("zone", "c.*").where(F.col("val") != NODATA)
 
 

@@ -117,6 +117,18 @@ def test_a_run_that_breaks_off_goes_on(spark, tmp_path, monkeypatch):
     assert pipeline.run(parcels.where("false"), px, grid, checkpoint=f"{tmp_path}/none", settings=s).count() == 0
 
 
+def test_covered_cells_meet_tiles_by_shuffle(spark):
+    """However small the file of zones: their cells are many times as large, and a broadcast takes them through the driver."""
+    grid = derived.grid_of(spark, DATA)
+    px, rows = derived.raster(spark, DATA), derived.parcels(spark, DATA, grid)
+    covered = {"covered": coverage.cover(rows, grid, F.lit(5)), "touched": coverage.touched(rows, grid).withColumn("hits", F.lit(1))}
+    for name, cells in covered.items():
+        for whole in (px, tiles.tiled(px)):
+            plan = tiles.met(cells, whole, rows, grid, "hits")._jdf.queryExecution().sparkPlan().toString()
+            joins = [line for line in plan.splitlines() if "Join" in line]
+            assert len(joins) == 2 and "SortMergeJoin [trow" in joins[0] and "LeftSemi" in joins[1], (name, plan)
+
+
 def test_chunks_of_zones_on_a_line(spark):
     for shape in ([box(5, 5, 5, 5)], [box(5, 0, 5, 40)], [box(0, 7, 30, 7)]):
         rows = zones(spark, *[(1.0, shape)] * 9)
