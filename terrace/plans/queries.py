@@ -300,7 +300,8 @@ def dedup_keep_first(spark, d):
 def geometry_join(spark, d):
     zones = given(spark, d)[2]
     twice = zones.unionByName(zones.where("k % 101 = 0")).select("PARCEL_LID", "rings")
-    return twice.join(run(spark, d, "subpixel").select("PARCEL_LID", "majority_land_use"), "PARCEL_LID").select("PARCEL_LID", "majority_land_use")
+    # by shuffle: the planner takes zones for as small as their file, and would send them all through the driver
+    return twice.hint("merge").join(run(spark, d, "subpixel").select("PARCEL_LID", "majority_land_use"), "PARCEL_LID").select("PARCEL_LID", "majority_land_use")
 
 
 @query(f"""WITH {PARCELS}, n AS (SELECT n_name AS NAME, n_nationkey % 5 * 720 AS ax, n_nationkey // 5 * (SELECT H FROM g) * 6 AS ay FROM nation)

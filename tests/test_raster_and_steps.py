@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrace.config import Grid, Settings
 from terrace.operators import checkpoint, coverage, preparing, tiles, zonal
 from terrace.plans import pipeline
+from terrace.plans.queries import QUERIES
 from terrace.sources import derived
 from tests.test_zonal import DATA, box, ring, zones
 
@@ -125,8 +126,17 @@ def test_covered_cells_meet_tiles_by_shuffle(spark):
     for name, cells in covered.items():
         for whole in (px, tiles.tiled(px)):
             plan = tiles.met(cells, whole, rows, grid, "hits")._jdf.queryExecution().sparkPlan().toString()
-            joins = [line for line in plan.splitlines() if "Join" in line]
-            assert len(joins) == 2 and "SortMergeJoin [trow" in joins[0] and "LeftSemi" in joins[1], (name, plan)
+            found = [line for line in plan.splitlines() if "Join" in line]
+            assert len(found) == 2 and "SortMergeJoin [trow" in found[0] and "LeftSemi" in found[1], (name, plan)
+
+
+def joins(df):
+    return [line for line in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
+
+
+def test_zones_join_their_results_by_shuffle(spark):
+    first = joins(QUERIES["geometry_join"](spark, DATA))[0]
+    assert "SortMergeJoin [PARCEL_LID" in first, first
 
 
 def test_chunks_of_zones_on_a_line(spark):
