@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from ..config import CLASSES, PERCENTS, SIZE_EDGES, SQUARE_METRES_AN_ACRE, Grid
 
@@ -23,8 +24,9 @@ def bucket(acreage: Column, edges: tuple[float, ...] = SIZE_EDGES) -> Column:
 
 
 def majority_distribution(rows: DataFrame) -> DataFrame:
-    total = rows.where(F.col("majority_land_use").isNotNull()).agg(F.count(F.lit(1)).alias("total"))
-    return rows.where(F.col("majority_land_use").isNotNull()).groupBy("majority_land_use").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(total)).select("majority_land_use", "n", F.round(F.col("n") * 100 / F.col("total"), 6).alias("pct"))
+    """Zones of each majority and their share; the total is taken over the few counts, so zones are computed once."""
+    counts = rows.where(F.col("majority_land_use").isNotNull()).groupBy("majority_land_use").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("majority_land_use", "n", F.round(F.col("n") * 100 / F.sum("n").over(Window.partitionBy()), 6).alias("pct"))
 
 
 def average_proportions(rows: DataFrame) -> DataFrame:

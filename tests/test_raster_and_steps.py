@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.config import Grid, Settings
-from terrace.operators import checkpoint, coverage, preparing, tiles, zonal
+from terrace.operators import analysis, checkpoint, coverage, preparing, tiles, zonal
 from terrace.plans import pipeline
 from terrace.plans.queries import QUERIES
 from terrace.sources import derived
@@ -139,6 +139,13 @@ def test_zones_join_their_results_by_shuffle(spark):
     assert "SortMergeJoin [PARCEL_LID" in first, first
 
 
+def test_majority_distribution_computes_zones_once(spark):
+    found = joins(QUERIES["majority_distribution"](spark, DATA))
+    assert len([x for x in found if "[trow" in x]) == 1, found
+    rows = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "majority_land_use string")
+    assert {tuple(r) for r in analysis.majority_distribution(rows).collect()} == {("A", 2, 66.666667), ("B", 1, 33.333333)}
+
+
 def test_chunks_of_zones_on_a_line(spark):
     for shape in ([box(5, 5, 5, 5)], [box(5, 0, 5, 40)], [box(0, 7, 30, 7)]):
         rows = zones(spark, *[(1.0, shape)] * 9)
