@@ -44,17 +44,20 @@ def spans(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
     d = F.col("yb") - F.col("ya")
     num = F.col("xa") * d + (s * (2 * F.col("r") + 1) - F.col("ya")) * (F.col("xb") - F.col("xa"))
     k = F.ceil((num - s * d) / (2 * s * d))
-    crossed = rows.select("zone", "n", "band", "r", k.alias("k")).groupBy("zone", "n", "band", "r").agg(F.array_sort(F.collect_list("k")).alias("ks"))
-    pairs = F.transform(F.sequence(F.lit(0), (F.size("ks") / 2).cast("int") - 1), lambda i: F.struct(F.greatest(F.get("ks", 2 * i), F.lit(0)).alias("a"), F.least(F.get("ks", 2 * i + 1), F.lit(grid.width) * F.col("n")).alias("b")))
+    crossed = rows.select("zone", "n", "band", "r", k.alias("k")).groupBy("zone", "n", "band", "r").agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    pair = lambda i: F.struct(F.greatest(F.get("ks", i), F.lit(0)).alias("a"), F.least(F.get("ks", i + 1), F.lit(grid.width) * F.col("n")).alias("b"))
+    pairs = F.when(F.size("ks") < 4, F.array(pair(F.lit(0)))).otherwise(F.transform(F.sequence(F.lit(0), (F.size("ks") / 2).cast("int") - 1), lambda i: pair(2 * i)))
     return crossed.where("size(ks) >= 2").select("zone", "n", "band", "r", F.explode(pairs).alias("p")).select("zone", "n", "band", "r", "p.a", "p.b").where("a < b")
 
 
 def cover(parcels: DataFrame, grid: Grid, n: Column) -> DataFrame:
     """zone, n, band, row, col, hits: sub-cells (of n by n) of the cell whose centres the zone covers; only cells with any."""
     n_ = F.col("n")
-    cells = spans(parcels, grid, n).withColumn("col", F.explode(F.sequence(F.floor(F.col("a") / n_), F.floor((F.col("b") - 1) / n_))))
+    # sub-rows of a cell's row often have equal spans, which are counted before they become cells
+    equal = spans(parcels, grid, n).groupBy("zone", "n", "band", F.floor(F.col("r") / n_).alias("row"), "a", "b").agg(F.count(F.lit(1)).alias("times"))
+    cells = equal.withColumn("col", F.explode(F.sequence(F.floor(F.col("a") / n_), F.floor((F.col("b") - 1) / n_))))
     hits = F.least(F.col("b"), (F.col("col") + 1) * n_) - F.greatest(F.col("a"), F.col("col") * n_)
-    return cells.select("zone", "n", "band", F.floor(F.col("r") / n_).alias("row"), "col", hits.alias("hits")).groupBy("zone", "n", "band", "row", "col").agg(F.sum("hits").alias("hits"))
+    return cells.select("zone", "n", "band", "row", "col", (hits * F.col("times")).alias("hits")).groupBy("zone", "n", "band", "row", "col").agg(F.sum("hits").alias("hits"))
 
 
 def touched(parcels: DataFrame, grid: Grid) -> DataFrame:
@@ -80,7 +83,7 @@ def touched(parcels: DataFrame, grid: Grid) -> DataFrame:
     d = 2 * rise
     num = 2 * F.col("x1") * d + way * (middle - 2 * F.col("y1")) * 2 * (F.col("x2") - F.col("x1"))
     crossing = F.when(~flat & (2 * F.col("low") <= middle) & (middle < 2 * F.col("high")), F.ceil((num - s * d) / (2 * s * d)))
-    met = rows.select("zone", "band", "row", passed.alias("passed"), crossing.alias("k")).groupBy("zone", "band", "row").agg(F.array_sort(F.collect_list("k")).alias("ks"), F.collect_list("passed").alias("passed"))
+    met = rows.select("zone", "band", "row", passed.alias("passed"), crossing.alias("k")).groupBy("zone", "band", "row").agg(F.sort_array(F.collect_list("k")).alias("ks"), F.collect_list("passed").alias("passed"))
     spans = F.transform(F.sequence(F.lit(0), (F.size("ks") / 2).cast("int") - 1), lambda i: F.struct(F.greatest(F.get("ks", 2 * i), F.lit(0)).alias("a"), F.least(F.get("ks", 2 * i + 1), F.lit(grid.width)).alias("b"), F.lit(True).alias("centre")))
     edges_ = F.transform("passed", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), F.lit(False).alias("centre")))
     runs = met.select("zone", "band", "row", F.explode(F.concat(F.when(F.size("ks") >= 2, spans).otherwise(F.slice(spans, 1, 0)), edges_)).alias("p")).select("zone", "band", "row", "p.*").where("a < b")
