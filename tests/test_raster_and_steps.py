@@ -134,6 +134,18 @@ def joins(df):
     return [line for line in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in line]
 
 
+FROM_CELLS = (
+    "acre_diff", "acre_weighted", "average_proportions", "below_pixels", "center_error_metrics", "class_share_errors", "developed_parcels", "dominant_use", "error_by_size", "error_by_size_6", "error_reduction", "majority_agreement",
+    "geometry_join", "largest_diff_k", "majority_class", "majority_distribution", "method_agreement", "method_comparison", "method_error_metrics", "percentage_errors", "pixel_statistics", "raster_vs_parcel", "subpixel5_mapped",
+)
+
+
+@pytest.mark.parametrize("name", FROM_CELLS)
+def test_no_query_broadcasts_covered_cells(spark, name):
+    found = [x for x in joins(QUERIES[name](spark, DATA)) if "[trow" in x]
+    assert found and all("SortMergeJoin" in x for x in found), found
+
+
 def test_zones_join_their_results_by_shuffle(spark):
     first = joins(QUERIES["geometry_join"](spark, DATA))[0]
     assert "SortMergeJoin [PARCEL_LID" in first, first
